@@ -104,7 +104,13 @@ def lookup_table(registry: Registry, by: str, aliases: bool = False) -> DataFram
 
 
 def _unknown_policy(df: DataFrame, match: Column, value: Column, column: str, errors: str, observation):
-    """Apply the policy for values that have no match. Nulls are not unknown."""
+    """Apply the policy for values that have no match. Nulls are not unknown.
+
+    ``raise`` fails the row when it is computed, ``warn`` counts unknown and null rows into the given Observation while
+    the query runs (no filter is pushed through the count), ``ignore`` does nothing.
+    """
+    if errors == "warn" and observation is None:
+        raise ValueError("errors='warn' needs an Observation to count into")
     if errors not in POLICIES:
         raise ValueError(f"Unrecognised values for parameter errors: {errors}")
     unknown = value.isNotNull() & match.isNull()
@@ -112,14 +118,13 @@ def _unknown_policy(df: DataFrame, match: Column, value: Column, column: str, er
         message = F.concat(F.lit(f"Unknown {column} value in data: "), value.cast("string"))
         return df, F.when(unknown, F.raise_error(message)).otherwise(match)
     if errors == "warn":
-        name = observation if observation is not None else f"unknown_{column}"
-        df = df.observe(name, F.count(F.when(unknown, 1)).alias("unknown_rows"),
+        df = df.observe(observation, F.count(F.when(unknown, 1)).alias("unknown_rows"),
                         F.count(F.when(value.isNull(), 1)).alias("null_rows"))
     return df, match
 
 
 def attach_match(df: DataFrame, registry: Registry, column: str, by: str, aliases: bool = False,
-                 errors: str = "warn", observation=None, into: str = "match") -> DataFrame:
+                 errors: str = "ignore", observation=None, into: str = "match") -> DataFrame:
     """Add a struct column with the registry attributes of the entity that ``column`` names, null if unknown.
 
     One join serves every attribute. With ``aliases`` the value is normalised and alternative names match too.
@@ -143,7 +148,7 @@ def resolve_names(df: DataFrame, registry: Registry, column: str, by: str = "ent
 
 
 def lookup(df: DataFrame, registry: Registry, column: str, by: str, target: str, into: str = None,
-           clean: bool = False, errors: str = "warn", observation=None) -> DataFrame:
+           clean: bool = False, errors: str = "ignore", observation=None) -> DataFrame:
     """Add one registry attribute found under ``column``; unknown and null values give null."""
     if target not in ATTRIBUTES:
         raise ValueError(f"Unrecognised registry column {target}")
@@ -167,7 +172,7 @@ def country_to_entity(df, registry, column, into="entity_name", clean=True, erro
     return lookup(df, registry, column, "country", "entity_name", into, clean, errors)
 
 
-def enrich(df: DataFrame, registry: Registry, column: str, by: str, clean: bool = False, errors: str = "warn",
+def enrich(df: DataFrame, registry: Registry, column: str, by: str, clean: bool = False, errors: str = "ignore",
            require_entity: bool = False, observation=None) -> DataFrame:
     """Fill the four index columns from one key with one join.
 
@@ -197,9 +202,10 @@ def unknown_values(df: DataFrame, registry: Registry, column: str, by: str, alia
     return counted.join(registry.side(known), "lookup_key", "left_anti").drop("lookup_key")
 
 
-def invert(pairs: DataFrame, key: str, value: str) -> DataFrame:
-    """Swap the two columns of a key-value table."""
-    return pairs.select(F.col(value).alias(key), F.col(key).alias(value))
+def invert(pairs: DataFrame) -> DataFrame:
+    """Swap the columns of a two-column key-value table."""
+    key, value = pairs.columns
+    return pairs.select(value, key)
 
 
 def map_ids(df: DataFrame, pairs: DataFrame, column: str, into: str, key: str, value: str,
@@ -209,7 +215,7 @@ def map_ids(df: DataFrame, pairs: DataFrame, column: str, into: str, key: str, v
     A repeated key keeps its greatest value. The table side is left to Spark's own size-based join choice.
     """
     if reverse:
-        pairs = invert(pairs, key, value)
+        pairs, key, value = invert(pairs.select(key, value)), value, key
     table = (pairs.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key"))
              .agg(F.max(value).alias("__value")))
     return (df.withColumn("__key", F.col(column)).join(table, "__key", "left")

@@ -54,5 +54,5 @@ def embedded_csv(df: DataFrame, column: str, schema: str, skip: int = 2, keep=()
     """
     lines = F.regexp_extract_all(quoted(column), F.lit(r'(?:[^"\r\n]++|"[^"]*+")++'), F.lit(0))
     rows = (df.select(*keep, F.posexplode(lines).alias("__pos", "__line")).where(F.col("__pos") >= skip)
-            .withColumn("__row", F.from_csv("__line", F.lit(schema), {"mode": "PERMISSIVE"})))
+            .withColumn("__row", F.from_csv("__line", F.lit(schema), {"mode": "PERMISSIVE", "escape": '"', "multiLine": "true"})))
     return rows.select(*keep, "__row.*")
