@@ -1,4 +1,4 @@
 """Queries over the given tables that exercise every operator and dataset."""
 
-from . import operators, pages  # noqa: F401
+from . import datasets, operators, pages  # noqa: F401
 from .inputs import QUERIES, SQL  # noqa: F401

@@ -234,9 +234,9 @@ def projects(raw: DataFrame, registry: Registry, schemas: dict = None, text: str
 
 def risk_index(raw: DataFrame, registry: Registry, latest: bool = False) -> DataFrame:
     """Risk scores by ISO3. A country without an entity keeps its row, without index values."""
-    df = rename(raw, {"IndicatorId": "indicator", "IndicatorScore": "value", "Year": "year"})
-    df = enrich(df, registry, "Iso3", "iso3", errors="ignore", require_entity=True)
-    df = drop_strict(df, ["Iso3", "IndicatorName", "nodelevel", "ValidityYear", "Unit", "Note"])
+    df = rename(raw, {"Iso3": "source_code", "IndicatorId": "indicator", "IndicatorScore": "value", "Year": "year"})
+    df = enrich(df, registry, "source_code", "iso3", errors="ignore", require_entity=True)
+    df = drop_strict(df, ["source_code", "IndicatorName", "nodelevel", "ValidityYear", "Unit", "Note"])
     df = index_first(recode(df, "indicator", RISK_LABELS), ["indicator", "value", "year"])
     return latest_indicators(df) if latest else df
 
