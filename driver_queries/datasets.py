@@ -261,7 +261,7 @@ def projects_raw(spark, sf_dir):
         return F.concat(F.lit("{'name': '"), value, F.lit("', 'x': None}"))
     society = F.concat(F.lit("{'society_name': "), F.when(F.col("l_suppkey") % 9 == 0, F.lit("None")).otherwise(
         F.concat(F.lit("'NATION_"), text(F.col("l_suppkey") % 24), F.lit("'"))), F.lit(", 'ok': True}"))
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    day = text(F.col("l_shipdate").cast("date"))
     return table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("Project "), text("l_orderkey")).alias("name"), F.col("l_returnflag").alias("primary_sector_display"),
         F.col("l_linestatus").alias("programme_type_display"), F.lit("op").alias("operation_type_display"),

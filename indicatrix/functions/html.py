@@ -4,7 +4,7 @@ Scripts, styles and comments are cut first. Nested blocks are found by counting
 so a block ends where its own closing tag stands.
 """
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .text import normalise, strip
 
@@ -23,6 +23,11 @@ def without_inert(html: Column) -> Column:
         html, r"(?is)<!--.*?-->|<script(?:\s[^>]*)?>.*?</script\s*>|<style(?:\s[^>]*)?>.*?</style\s*>", "")
 
 
+def _once(value: Column, body) -> Column:
+    """Use a computed value several times in ``body`` while computing it once per row."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _numeric_references(c: Column) -> Column:
     def decode(piece):
         digits = F.regexp_extract(piece, r"^(\d{1,7});", 1)
@@ -34,17 +39,20 @@ def _numeric_references(c: Column) -> Column:
         char = F.when(code == 38, F.lit("&amp;")).otherwise(char)
         rest = F.regexp_replace(piece, r"^[^;]*;", "")
         return F.when(F.coalesce(valid, F.lit(False)), F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), piece))
-    pieces = F.split(c, "&#")
-    tail = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces), F.lit(1))), decode)
-    return F.when(F.contains(c, F.lit("&#")), F.concat(pieces[0], F.array_join(tail, ""))).otherwise(c)
+
+    def join(pieces):
+        return F.concat(pieces[0], F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode), ""))
+    return F.when(F.contains(c, F.lit("&#")), _once(F.split(c, "&#"), join)).otherwise(c)
 
 
 def unescape(c: Column) -> Column:
     """Decode numeric and common named character references."""
-    c = _numeric_references(c)
-    for name, char in NAMED_REFERENCES.items():
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return F.replace(c, F.lit("&amp;"), F.lit("&"))
+    def decode(text):
+        out = _numeric_references(text)
+        for name, char in NAMED_REFERENCES.items():
+            out = F.replace(out, F.lit(name), F.lit(char))
+        return F.when(F.contains(text, F.lit("&")), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(text)
+    return _once(c, decode)
 
 
 def text_of(fragment: Column) -> Column:
@@ -75,11 +83,13 @@ def has_class(element: Column, name: str) -> Column:
     return F.coalesce(F.array_contains(classes, F.lit(name)), F.lit(False))
 
 
-def block(html: Column, tag: str, name: str, value: str) -> Column:
-    """Inner HTML of the first ``<tag name="...value...">``, nested same-named tags included; null if absent."""
-    opening = rf"""(?is)<{tag}\s[^>]*?\b{name}\s*=\s*["'](?:[^"']*\s)?{value}(?:\s[^"']*)?["'][^>]*>"""
-    at_block = F.element_at(F.split(html, f"(?={opening})", 2), -1)
-    pieces = F.split(at_block, rf"(?i)(?=<{tag}[\s>])|(?=</{tag}\s*>)")
+def with_block(df: DataFrame, html: str, into: str, tag: str, name: str, value: str) -> DataFrame:
+    """Add the inner HTML of the first ``<tag name="...value...">``, nested same-named tags included; null if absent.
+
+    The steps are columns of their own, so that each is computed once per page.
+    """
+    opening = rf"""(?is)(?=<{tag}\s[^>]*?\b{name}\s*=\s*["'](?:[^"']*\s)?{value}(?:\s[^"']*)?["'][^>]*>)"""
+    tags = rf"(?i)(?=<{tag}[\s>])|(?=</{tag}\s*>)"
 
     def step(acc, piece):
         change = (F.when(piece.rlike(rf"(?i)^<{tag}[\s>]"), F.lit(1))
@@ -90,9 +100,12 @@ def block(html: Column, tag: str, name: str, value: str) -> Column:
                         (acc["kept"] + F.when(open_, F.lit(1)).otherwise(F.lit(0))).alias("kept"))
 
     start = F.struct(F.lit(0).alias("depth"), F.lit(True).alias("open"), F.lit(0).alias("kept"))
-    kept = F.aggregate(pieces, start, step)["kept"]
-    inner = F.regexp_replace(F.array_join(F.slice(pieces, F.lit(1), kept), ""), r"(?s)^<[^>]*>", "")
-    return F.when(html.rlike(opening), inner)
+    # The leading blank makes the block the second part wherever it stands.
+    found = df.withColumn("__at", F.get(F.split(F.concat(F.lit(" "), F.col(html)), opening, 2), F.lit(1)))
+    found = found.withColumn("__pieces", F.split("__at", tags))
+    found = found.withColumn("__kept", F.aggregate("__pieces", start, step)["kept"])
+    inner = F.regexp_replace(F.array_join(F.slice("__pieces", F.lit(1), F.col("__kept")), ""), r"(?s)^<[^>]*>", "")
+    return found.withColumn(into, inner).drop("__at", "__pieces", "__kept")
 
 
 def table_rows(html: Column) -> Column:

@@ -4,13 +4,15 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-# (?U) makes \s cover non-breaking and other Unicode blanks.
-_BLANKS = r"(?U)\s+"
+# The characters that count as whitespace, non-breaking and other Unicode blanks included.
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+              "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+_BLANKS = f"[{WHITESPACE}]+"
 
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing whitespace of any kind; inner whitespace stays."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    return F.trim(c, F.lit(WHITESPACE))
 
 
 def normalise(c: Column) -> Column:

@@ -13,15 +13,29 @@ from .columns import quoted
 from .registry import ATTRIBUTES, Registry, cascade_table, lookup_table
 
 
-def _map_value(table: DataFrame, value: str) -> Column:
-    entries = F.collect_list(F.struct(F.col("lookup_key"), F.col(value)))
-    return table.select(F.map_from_entries(entries)).scalar()
+N_BUCKETS = 256
+
+
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(N_BUCKETS)).cast("int")
+
+
+def _lookup_value(table: DataFrame, value: str) -> Column:
+    """The table as one value: an array of small maps, indexed by a hash of the key.
+
+    A map lookup in Spark walks over the entries, so the entries are spread over buckets.
+    """
+    per_bucket = table.groupBy(_bucket(F.col("lookup_key")).alias("b")).agg(
+        F.map_from_entries(F.collect_list(F.struct("lookup_key", value))).alias("m"))
+    maps = F.map_from_entries(F.collect_list(F.struct("b", "m")))
+    return per_bucket.select(F.transform(F.sequence(F.lit(0), F.lit(N_BUCKETS - 1)), lambda i: maps[i])).scalar()
 
 
 def _resolve_in_row(df, column, into, table, value, key, combine):
-    looked_up = df.withColumn("__map", _map_value(table, value))
-    return (looked_up.withColumn(into, F.transform(
-        quoted(column), lambda x: combine(x, [F.col("__map")[k] for k in key(x)]))).drop("__map"))
+    def item(x):
+        return combine(x, [F.col("__maps")[_bucket(k)][k] for k in key(x)])
+    with_maps = df.withColumn("__maps", _lookup_value(table, value))
+    return with_maps.withColumn(into, F.transform(quoted(column), item)).drop("__maps")
 
 
 def _resolve_by_join(df, column, into, table, value, key, combine):

@@ -18,7 +18,7 @@ POLICIES = ("raise", "warn", "ignore")
 
 MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_CHARS = 32 * 1024 * 1024
-MAX_MAP_KEYS = 4_096
+MAX_MAP_KEYS = 16_384
 
 
 @dataclass(frozen=True)
@@ -106,21 +106,22 @@ def lookup_table(registry: Registry, by: str, aliases: bool = False) -> DataFram
 def _unknown_policy(df: DataFrame, match: Column, value: Column, column: str, errors: str, observation):
     """Apply the policy for values that have no match. Nulls are not unknown.
 
-    ``raise`` fails the row when it is computed, ``warn`` counts unknown and null rows into the given Observation while
-    the query runs (no filter is pushed through the count), ``ignore`` does nothing.
+    ``raise`` fails on the first such row the query computes; it is a row filter, so it holds whichever columns are
+    read. ``warn`` counts unknown and null rows into the given Observation while the query runs (filters are then not
+    pushed below the count). ``ignore`` does nothing.
     """
-    if errors == "warn" and observation is None:
-        raise ValueError("errors='warn' needs an Observation to count into")
     if errors not in POLICIES:
         raise ValueError(f"Unrecognised values for parameter errors: {errors}")
     unknown = value.isNotNull() & match.isNull()
     if errors == "raise":
         message = F.concat(F.lit(f"Unknown {column} value in data: "), value.cast("string"))
-        return df, F.when(unknown, F.raise_error(message)).otherwise(match)
+        return df.where(F.when(unknown, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
     if errors == "warn":
-        df = df.observe(observation, F.count(F.when(unknown, 1)).alias("unknown_rows"),
-                        F.count(F.when(value.isNull(), 1)).alias("null_rows"))
-    return df, match
+        if observation is None:
+            raise ValueError("errors='warn' needs an Observation to count into")
+        return df.observe(observation, F.count(F.when(unknown, 1)).alias("unknown_rows"),
+                          F.count(F.when(value.isNull(), 1)).alias("null_rows"))
+    return df
 
 
 def attach_match(df: DataFrame, registry: Registry, column: str, by: str, aliases: bool = False,
@@ -133,8 +134,8 @@ def attach_match(df: DataFrame, registry: Registry, column: str, by: str, aliase
     key = match_key(value) if aliases else F.lower(value)
     table = lookup_table(registry, by, aliases).withColumnsRenamed({"lookup_key": "__key", "match": "__match"})
     joined = df.withColumn("__key", key).join(registry.side(table), "__key", "left")
-    joined, match = _unknown_policy(joined, F.col("__match"), value, column, errors, observation)
-    return joined.withColumn(into, match).drop("__key", "__match")
+    joined = _unknown_policy(joined, F.col("__match"), value, column, errors, observation)
+    return joined.withColumn(into, F.col("__match")).drop("__key", "__match")
 
 
 def resolve_names(df: DataFrame, registry: Registry, column: str, by: str = "entity_name", errors: str = "raise",

@@ -53,9 +53,10 @@ def expand_struct(df: DataFrame, columns, drop=False, sep: str = ".") -> DataFra
 
 def python_text_to_json(c):
     """Python's literal spelling of None, True and False to JSON's, where they stand as whole values."""
+    out = c
     for old, new in (("None", "null"), ("True", "true"), ("False", "false")):
-        c = F.regexp_replace(c, rf"(?<=[:\[,{{]\s?){old}(?=\s*[,}}\]])", new)
-    return c
+        out = F.regexp_replace(out, rf"{old}(?<=[:\[,{{]\s?{old})(?=\s*[,}}\]])", new)
+    return F.when(c.rlike("None|True|False"), out).otherwise(c)
 
 
 def parse_dict(df: DataFrame, column: str, schema, text: str = "json", errors: str = "raise") -> DataFrame:
@@ -67,18 +68,16 @@ def parse_dict(df: DataFrame, column: str, schema, text: str = "json", errors: s
         raise ValueError(f"text must be 'json' or 'python', not {text!r}")
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    source = quoted(column) if text == "json" else python_text_to_json(quoted(column))
-    checked = T.StructType(schema.fields + [T.StructField("__bad", T.StringType())])
-    parsed = F.from_json(source, checked, {"allowSingleQuotes": "true", "columnNameOfCorruptRecord": "__bad"})
-    df = df.withColumn("__parsed", parsed)
-    bad = quoted("__parsed")["__bad"].isNotNull()
-    good = F.when(quoted(column).isNotNull(), F.struct(*[quoted("__parsed")[f.name].alias(f.name) for f in schema]))
+    if text == "python":
+        df = df.withColumn(column, python_text_to_json(quoted(column)))
+    options = {"allowSingleQuotes": "true"}
     if errors == "raise":
-        message = F.concat(F.lit(f"Cannot parse {column}: "), quoted(column))
-        good = F.when(bad, F.raise_error(message)).otherwise(good)
-    else:
-        good = F.when(~bad, good)
-    return df.withColumn(column, good).drop("__parsed")
+        return df.withColumn(column, F.from_json(quoted(column), schema, {**options, "mode": "FAILFAST"}))
+    checked = T.StructType(schema.fields + [T.StructField("__bad", T.StringType())])
+    parsed = F.from_json(quoted(column), checked, {**options, "columnNameOfCorruptRecord": "__bad"})
+    df = df.withColumn(column, parsed)
+    fields = F.struct(*[quoted(column)[f.name].alias(f.name) for f in schema])
+    return df.withColumn(column, F.when(quoted(column).isNotNull() & quoted(column)["__bad"].isNull(), fields))
 
 
 def expand_dict_columns(df: DataFrame, schemas: dict, drop=False, text: str = "json", sep: str = ".",

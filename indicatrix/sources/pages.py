@@ -10,33 +10,39 @@ def _cell_text(row, label):
     return H.text_of(H.labelled_cell(row, label))
 
 
+def _block_of(pages: DataFrame, tag: str, name: str, value: str) -> DataFrame:
+    """Pages with their ``block`` column: the inner HTML of the wanted element, scripts and comments removed."""
+    cleaned = pages.withColumn("__html", H.without_inert(F.col("html")))
+    return H.with_block(cleaned, "__html", "block", tag, name, value).drop("__html")
+
+
 def evaluation_listing(pages: DataFrame, home: str) -> DataFrame:
     """Rows of the listing table: one per ``<tr>`` of a table of class views-table that has a Title cell."""
-    body = H.block(H.without_inert(F.col("html")), "table", "class", "views-table")
-    rows = pages.select(F.explode(H.table_rows(body)).alias("row"))
-    title = H.labelled_cell(F.col("row"), "Title")
+    rows = _block_of(pages, "table", "class", "views-table").select(F.explode(H.table_rows(F.col("block"))).alias("row"))
+    rows = rows.withColumn("title_cell", H.labelled_cell(F.col("row"), "Title")).where("title_cell is not null")
+
     def listed(label):
         return F.transform(F.split(_cell_text(F.col("row"), label), ","), strip)
-    return rows.where(title.isNotNull()).select(
+    return rows.select(
         _cell_text(F.col("row"), "Location").alias("country"),
-        H.text_of(title).alias("title"),
+        H.text_of(F.col("title_cell")).alias("title"),
         listed("Category").alias("categories"),
         listed("Type").alias("evaluation_type"),
         listed("Organization").alias("organization"),
         _cell_text(F.col("row"), "Date").alias("date"),
         _cell_text(F.col("row"), "Management response").alias("management_response"),
-        F.concat(F.lit(home), H.attribute(H.first_element(title, "a"), "href")).alias("url"))
+        F.concat(F.lit(home), H.attribute(H.first_element(F.col("title_cell"), "a"), "href")).alias("url"))
 
 
 def download_links(pages: DataFrame) -> DataFrame:
     """The single download link of each detail page. Another number of links is an error."""
-    area = H.block(H.without_inert(F.col("html")), "div", "class", "download-links")
-    found = pages.select("url", H.elements(H.block(area, "div", "class", "download-links__links-content"), "a")
-                         .alias("anchors"))
+    area = _block_of(pages, "div", "class", "download-links")
+    inner = H.with_block(area, "block", "links", "div", "class", "download-links__links-content")
+    found = inner.select("url", H.elements(F.col("links"), "a").alias("anchors"))
     wrong = F.concat(F.lit("Expected one download link at "), F.col("url"))
-    link = F.when(F.coalesce(F.size("anchors") == 1, F.lit(False)), H.attribute(F.col("anchors")[0], "href"))
-    return found.select("url", F.when(F.coalesce(F.size("anchors") != 1, F.lit(True)), F.raise_error(wrong))
-                        .otherwise(link).alias("document_url"))
+    one = F.coalesce(F.size("anchors") == 1, F.lit(False))
+    return found.select("url", F.when(one, H.attribute(F.col("anchors")[0], "href"))
+                        .otherwise(F.raise_error(wrong)).alias("document_url"))
 
 
 def join_details(listing: DataFrame, details: DataFrame, how: str = "left", key: str = "url") -> DataFrame:
@@ -46,37 +52,35 @@ def join_details(listing: DataFrame, details: DataFrame, how: str = "left", key:
 
 def presence_listing(pages: DataFrame) -> DataFrame:
     """Items of the regional lists: name, link, presence (has a link), key operation (has that class)."""
-    region_block = H.block(H.without_inert(F.col("html")), "div", "id", "blockRegionalList")
-    items = (pages.select(F.explode(H.elements(region_block, "li")).alias("item"))
+    lists = _block_of(pages, "div", "id", "blockRegionalList")
+    items = (lists.select(F.explode(H.elements(F.col("block"), "li")).alias("item"))
              .where(H.has_class(F.col("item"), "item")))
-    anchor = H.first_element(F.col("item"), "a")
-    url = H.attribute(anchor, "href")
+    items = items.withColumn("url", H.attribute(H.first_element(F.col("item"), "a"), "href"))
     return items.select(
-        H.text_of(F.col("item")).alias("country"), url.isNotNull().alias("presence"), url.alias("url"),
+        H.text_of(F.col("item")).alias("country"), F.col("url").isNotNull().alias("presence"), "url",
         H.has_class(F.col("item"), "keyOperations").alias("key_operation"))
 
 
 def introductions(pages: DataFrame) -> DataFrame:
     """Text of the third element inside each page's introduction block, null where there is none."""
-    intro = H.block(H.without_inert(F.col("html")), "div", "class", "block-introduction")
-    third = F.regexp_extract(intro, r"(?is)^(?:[^<]*(?:</[^>]*>[^<]*)*<[a-z][^>]*>){2}[^<]*(?:</[^>]*>[^<]*)*"
-                                    r"<([a-z][a-z0-9]*)(?:\s[^>]*)?>(.*?)</\1\s*>", 2)
-    return pages.select("url", F.nullif(H.text_of(third), F.lit("")).alias("description"))
+    third = F.regexp_extract("block", r"(?is)^(?:[^<]*(?:</[^>]*>[^<]*)*<[a-z][^>]*>){2}[^<]*(?:</[^>]*>[^<]*)*"
+                                      r"<([a-z][a-z0-9]*)(?:\s[^>]*)?>(.*?)</\1\s*>", 2)
+    return _block_of(pages, "div", "class", "block-introduction").select(
+        "url", F.nullif(H.text_of(third), F.lit("")).alias("description"))
 
 
 def law_listing(pages: DataFrame, node_prefix: str, duplicates=()) -> DataFrame:
     """Country options of the selection list, the first (a prompt) skipped, listed duplicates left out."""
-    options = H.elements(H.block(H.without_inert(F.col("html")), "select", "data-drupal-selector", "edit-country"),
-                         "option")
-    rows = pages.select(F.posexplode(options).alias("pos", "option")).where("pos > 0")
+    lists = _block_of(pages, "select", "data-drupal-selector", "edit-country")
+    rows = lists.select(F.posexplode(H.elements(F.col("block"), "option")).alias("pos", "option")).where("pos > 0")
     name = H.unescape(F.regexp_replace("option", r"(?s)<[^>]*>", ""))
     out = rows.select(name.alias("country"), H.attribute(F.col("option"), "value").alias("law_id"))
     for listed_name, listed_id in duplicates:
-        out = out.where(~((strip(F.col("country")).eqNullSafe(listed_name)) & F.col("law_id").eqNullSafe(listed_id)))
+        out = out.where(~(strip(F.col("country")).eqNullSafe(listed_name) & F.col("law_id").eqNullSafe(listed_id)))
     return out.withColumn("url", F.concat(F.lit(node_prefix), F.col("law_id")))
 
 
 def law_descriptions(pages: DataFrame) -> DataFrame:
-    """All paragraph texts of the page's paragraphs block, joined with newlines."""
-    body = H.block(H.without_inert(F.col("html")), "div", "class", "field--name-field-paragraphs")
-    return pages.select("url", F.when(body.isNotNull(), F.array_join(H.paragraphs(body), "\n")).alias("description"))
+    """All paragraph texts of the page's paragraphs block, joined with newlines; null without the block."""
+    return _block_of(pages, "div", "class", "field--name-field-paragraphs").select(
+        "url", F.array_join(H.paragraphs(F.col("block")), "\n").alias("description"))
