@@ -113,6 +113,13 @@ def documents_indicators_latest(spark, sf_dir):
     return D.documents(P.flatten_documents(documents_payload(spark, sf_dir)), registry(spark, sf_dir), latest=True)
 
 
+@query(f"""SELECT * FROM ({DOCUMENTS}) WHERE country IN ('Country 2', 'Country 4', 'Country 9') AND iso3 IN ('N02', 'N09')""")
+def documents_filtered_at_source(spark, sf_dir):
+    """Entity filters become source keys and reach the raw rows before they are processed."""
+    return collect.dataset("documents", P.flatten_documents(documents_payload(spark, sf_dir)), registry(spark, sf_dir),
+                           country=["Country 2", "Country 4", "Country 9"], iso3=["N02", "N09"])
+
+
 # ---------------------------------------------------------------- contacts
 
 def contacts_raw(spark, sf_dir):

@@ -35,10 +35,12 @@ def require_single_value(df: DataFrame, column: str) -> DataFrame:
     return df.where(one.scalar())
 
 
-def require_equal(df: DataFrame, column: str, value: str, message: str) -> DataFrame:
-    """Fail at run time on a row whose column is not ``value``."""
-    return df.where(F.when(quoted(column).eqNullSafe(F.lit(value)), F.lit(True))
-                    .otherwise(F.raise_error(F.lit(message)).cast("boolean")))
+def require_equal(df: DataFrame, column: str, value: str, message: str, only=None) -> DataFrame:
+    """Fail at run time on a row whose column is not ``value``. ``only`` limits the check to rows where it holds."""
+    good = quoted(column).eqNullSafe(F.lit(value))
+    if only is not None:
+        good = good | ~only
+    return df.where(F.when(good, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean")))
 
 
 def recode(df: DataFrame, column: str, labels: dict, allow_only: bool = True) -> DataFrame:

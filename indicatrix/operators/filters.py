@@ -6,6 +6,7 @@ from .columns import quoted
 from .registry import Registry
 
 MAX_INLINE_VALUES = 1_000
+MAX_BROADCAST_VALUES = 100_000
 
 
 def as_list(value, name: str):
@@ -40,8 +41,9 @@ def keep_values(df: DataFrame, column: str, values) -> DataFrame:
                                    F.lit(False)))
     if len(values) <= MAX_INLINE_VALUES:
         return df.where(quoted(column).isin(list(values)))
-    wanted = df.sparkSession.createDataFrame([(v,) for v in sorted(set(values))], f"`{column}` string")
-    return df.join(wanted, column, "left_semi")
+    distinct = sorted(set(values))
+    wanted = df.sparkSession.createDataFrame([(v,) for v in distinct], f"`{column}` string")
+    return df.join(F.broadcast(wanted) if len(distinct) <= MAX_BROADCAST_VALUES else wanted, column, "left_semi")
 
 
 def filter_entities(df: DataFrame, registry: Registry, iso3=None, country=None, entity_name=None,
@@ -63,14 +65,18 @@ def source_keys(registry: Registry, filters: dict, key: str = "entity_id") -> Da
     return rows.where(F.col(key).isNotNull()).select(key).distinct()
 
 
-def restrict_to_keys(raw: DataFrame, column: str, registry: Registry, filters: dict,
-                     key: str = "entity_id") -> DataFrame:
+def restrict_to_keys(raw: DataFrame, column: str, registry: Registry, filters: dict, key: str = "entity_id",
+                     ignore_case: bool = False) -> DataFrame:
     """Keep the raw rows of the filtered entities before any processing.
 
     The keys of a registry that was measured to be small become an IN list, which reaches the file scan; otherwise
-    this is a semi join.
+    this is a semi join. ``ignore_case`` compares lower-cased keys: still done right after the scan, but not in it.
     """
-    keys = source_keys(registry, filters, key)
+    keys = source_keys(registry, filters, key).withColumnRenamed(key, "__key")
+    value = quoted(column)
+    if ignore_case:
+        keys, value = keys.select(F.lower("__key").alias("__key")).distinct(), F.lower(value)
     if registry.fits_map:
-        return raw.where(F.col(column).isin([r[0] for r in keys.collect()]))
-    return raw.join(keys.withColumnRenamed(key, column), column, "left_semi")
+        return raw.where(value.isin([r[0] for r in keys.collect()]))
+    keyed = raw.withColumn("__key", value)
+    return keyed.join(registry.side(keys), "__key", "left_semi").drop("__key")

@@ -55,8 +55,9 @@ def _resolve_by_join(df, column, into, table, value, key, combine):
 
 
 def _resolve(df, registry, column, into, table, value, key, combine):
-    how = _resolve_in_row if registry.fits_map else _resolve_by_join
-    return how(df, column, into, table, value, key, combine)
+    if registry.fits_map:
+        return _resolve_in_row(df, column, into, table, value, key, combine)
+    return _resolve_by_join(df, column, into, registry.side(table), value, key, combine)
 
 
 def resolve_list(df: DataFrame, registry: Registry, column: str, into: str = None, by: str = "country",

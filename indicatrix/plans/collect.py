@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.values import is_quantitative, year_of
 from ..operators.checks import count_per_entity
 from ..operators.columns import add_missing, conform
-from ..operators.filters import entity_filters, keep_values, validate_filters
+from ..operators.filters import entity_filters, keep_values, restrict_to_keys, validate_filters
 from ..operators.latest import latest_indicators
 from ..operators.registry import Registry
 from ..operators.reshape import melt, to_indicator, union_by_name
@@ -59,16 +59,21 @@ def _youth(df, entry, as_of):
 
 @dataclass(frozen=True)
 class Kind:
-    """How one kind of dataset is built, and how it becomes indicator rows (None: it does not)."""
+    """How one kind of dataset is built, and how it becomes indicator rows (None: it does not).
+
+    ``source_key`` is the raw column that holds a registry key, and which key: entity filters are then applied to the
+    raw table as well, before anything else happens to it.
+    """
 
     build: Callable
     has_latest: bool = False
     indicators: Callable = None
+    source_key: tuple = None
 
 
 KINDS = {
-    "databank": Kind(D.databank, True, _as_is),
-    "documents": Kind(D.documents, True, _as_is),
+    "databank": Kind(D.databank, True, _as_is, ("entity_id", "entity_id")),
+    "documents": Kind(D.documents, True, _as_is, ("entity_id", "entity_id")),
     "contacts": Kind(D.contacts, False, _as_is),
     "capacity_assessments": Kind(D.capacity_assessments, True),
     "capacity_assessment_dates": Kind(D.capacity_assessment_dates, False, _capacity_dates),
@@ -76,7 +81,7 @@ KINDS = {
     "operations": Kind(D.operations),
     "projects": Kind(D.projects),
     "risk_index": Kind(D.risk_index, True, _as_is),
-    "development_indicators": Kind(D.development_indicators, True, _as_is),
+    "development_indicators": Kind(D.development_indicators, True, _as_is, ("countryiso3code", "iso3")),
     "field_presence": Kind(D.field_presence, False, _presence),
     "disaster_law": Kind(D.disaster_law, False, _law),
     "corruption_perception": Kind(D.corruption_perception, True, _perception),
@@ -104,6 +109,9 @@ def dataset(kind, raw: DataFrame, registry: Registry, latest: bool = False, iso3
         options["latest"] = bool(latest)
     elif latest:
         log.warning("latest does not apply to %s: the whole dataset is returned", kind)
+    if filters and spec.source_key:
+        column, key = spec.source_key
+        raw = restrict_to_keys(raw, column, registry, filters, key, ignore_case=True)
     df = spec.build(raw, registry, **options)
     for column, values in filters.items():
         df = keep_values(df, column, values)

@@ -204,9 +204,11 @@ def operations(raw: DataFrame, registry: Registry, schemas: dict = None, text: s
     df = expand_dict_columns(raw, schemas, drop=True, text=text)
     for column in ("start_date", "end_date"):
         df = df.withColumn(column, timestamp_or_null(F.col(column), NO_DATE))
-    df = drop_null_keys(rename(df, {"country.society_name": "entity_name"}), ["entity_name"])
-    df = df.where(differs(F.col("entity_name"), "") & (F.col("status_display") == "Active"))
-    df = enrich(drop_existing(df, ["country.name"]), registry, "entity_name", "entity_name", True, "raise")
+    df = rename(df, {"country.society_name": "entity_name"}).where(F.col("status_display") == "Active")
+    df = enrich(df.withColumn("entity_name", F.nullif("entity_name", F.lit(""))).drop("country.name"), registry,
+                "entity_name", "entity_name", clean=True, errors="raise")
+    # Dropped after the lookup: before it, the filter would parse the dictionary text a second time.
+    df = drop_null_keys(df, ["entity_name"])
     df = df.withColumns({c: F.col(c).cast("double") for c in ("amount_funded", "amount_requested")})
     df = df.withColumn("funding", rounded_percentage(F.col("amount_funded"), F.col("amount_requested")))
     names = {"name": "operation_name", "atype_display": "operation_kind", "num_beneficiaries": "beneficiaries",
@@ -221,9 +223,12 @@ def projects(raw: DataFrame, registry: Registry, schemas: dict = None, text: str
                           "event_detail": "name STRING", "reporting_ns_detail": "society_name STRING"}
     df = expand_dict_columns(raw, schemas, drop=True, text=text)
     df = df.withColumns({c: F.to_date(F.col(c), "yyyy-MM-dd") for c in ("start_date", "end_date")})
-    df = drop_null_keys(rename(df, {"project_country_detail.society_name": "entity_name"}), ["entity_name"])
+    df = rename(df, {"project_country_detail.society_name": "entity_name"})
     df = enrich(df, registry, "entity_name", "entity_name", clean=True, errors="raise")
-    df = require_equal(df, "visibility", "public", "Dataset contains non-public data.")
+    # Dropped after the lookup: before it, the filter would parse the dictionary text a second time.
+    df = drop_null_keys(df, ["entity_name"])
+    df = require_equal(df, "visibility", "public", "Dataset contains non-public data.",
+                       only=F.col("entity_name").isNotNull())
     names = {"name": "project_name", "dtype_detail.name": "disaster_type", "event_detail.name": "event_description",
              "primary_sector_display": "sector", "programme_type_display": "programme_type",
              "operation_type_display": "operation_type", "start_date": "start_date", "end_date": "end_date",

@@ -144,6 +144,8 @@ def test_projects(spark, reg):
     [got] = D.projects(raw, reg, text="python").collect()
     assert tuple(got)[:8] == ALB + ("P", "Flood", None, "Health")
     assert str(got["start_date"]) == "2020-01-02" and got["end_date"] is None and got["reached_total"] == 4
+    nobody = row[:4] + ("private",) + row[5:11] + ("{'society_name': None}",) + row[12:]
+    assert D.projects(spark.createDataFrame([row, nobody], schema), reg, text="python").count() == 1
     hidden = spark.createDataFrame([row, row[:4] + ("private",) + row[5:]], schema)
     with pytest.raises(Exception, match="non-public"):
         D.projects(hidden, reg, text="python").collect()
