@@ -46,7 +46,7 @@ WITH {REGISTRY},
 src AS (
   SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'Financial statement available' WHEN '2-HIGH' THEN 'Annual report available'
       WHEN '3-MEDIUM' THEN 'Supported NSs' WHEN '4-NOT SPECIFIED' THEN 'Number of local units' END AS indicator,
-    'D' || lpad(CAST(o_custkey % 25 AS VARCHAR), 3, '0') AS id, year(o_orderdate) AS year,
+    'D' || lpad(CAST(o_custkey % 25 AS VARCHAR), 3, '0') AS id, CAST(year(o_orderdate) AS INTEGER) AS year,
     CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN CASE o_orderstatus WHEN 'F' THEN 'Yes' WHEN 'O' THEN 'No' END
          WHEN o_orderpriority = '3-MEDIUM' THEN coalesce(a.entity_name, 'D' || lpad(CAST(o_orderkey % 25 AS VARCHAR), 3, '0'))
               || ', ' || b.entity_name || ', X1'
@@ -97,8 +97,8 @@ WITH {REGISTRY},
 docs AS (
   SELECT o_custkey % 23 AS n, CASE o_orderpriority WHEN '1-URGENT' THEN 'Annual report' WHEN '2-HIGH' THEN 'Emblem law'
      WHEN '3-MEDIUM' THEN 'Strategic Plan' END AS indicator, 'https://files.example.org/' || o_orderkey AS value,
-     year(o_orderdate) AS year FROM orders
-  UNION ALL SELECT o_custkey % 23, 'Strategic Plan', 'plan/' || o_orderkey, year(o_orderdate) FROM orders)
+     CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
+  UNION ALL SELECT o_custkey % 23, 'Strategic Plan', 'plan/' || o_orderkey, CAST(year(o_orderdate) AS INTEGER) FROM orders)
 SELECT entity_name, country, iso3, region, indicator, value, year FROM docs JOIN registry ON n_nationkey = n
 WHERE indicator IS NOT NULL"""
 

@@ -112,7 +112,7 @@ def id_cascade_resolve(spark, sf_dir):
 
 @query("""
 SELECT user_id, event_type, year, value, event_id FROM (
-  SELECT user_id, event_type, day(ts) AS year, value, event_id, row_number() OVER (
+  SELECT user_id, event_type, CAST(day(ts) AS INTEGER) AS year, value, event_id, row_number() OVER (
     PARTITION BY user_id, event_type ORDER BY day(ts) DESC NULLS LAST, value ASC NULLS LAST, event_id) AS rn
   FROM events) WHERE rn = 1""")
 def latest_per_entity_indicator(spark, sf_dir):
@@ -135,7 +135,7 @@ def latest_per_entity(spark, sf_dir):
 @query("""
 WITH flags AS (
   SELECT o_custkey, o_orderpriority AS indicator, CASE WHEN o_orderstatus = 'F' THEN 'Yes' ELSE 'No' END AS value,
-         year(o_orderdate) AS year, o_orderkey FROM orders),
+         CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey FROM orders),
 newest AS (
   SELECT *, row_number() OVER (PARTITION BY o_custkey, indicator ORDER BY year DESC, o_orderkey) AS rn
   FROM flags WHERE value = 'Yes' AND indicator IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW'))
@@ -192,16 +192,16 @@ def assessment_sheet(spark, sf_dir):
 
 @query("""
 SELECT 'a' || n_nationkey AS assessment, n_name AS entity_name, CAST(n_nationkey % 4 + 2015 AS VARCHAR) AS year,
-       CAST(count(*) FILTER (c_mktsegment = 'BUILDING') AS VARCHAR) AS building,
-       CAST(count(*) FILTER (c_mktsegment = 'MACHINERY') AS VARCHAR) AS seg_machinery
-FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL""")
+       CAST(nullif(count(*) FILTER (c_mktsegment = 'BUILDING'), 0) AS VARCHAR) AS building,
+       CAST(nullif(count(*) FILTER (c_mktsegment = 'MACHINERY'), 0) AS VARCHAR) AS seg_machinery
+FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL""")
 def transpose_assessments(spark, sf_dir):
     sheet = assessment_sheet(spark, sf_dir)
     sheet = sheet.withColumn("label", F.trim(F.coalesce("Name", "Code"))).drop("Name", "Code")
     wide = S.transpose(sheet, "label", rows=["National Society", "Year", "BUILDING", "SEG_MACHINERY"],
                        column_name="assessment")
     return wide.withColumnsRenamed({"National Society": "entity_name", "Year": "year", "BUILDING": "building",
-                                    "SEG_MACHINERY": "seg_machinery"}).where("building <> '0' or seg_machinery <> '0'")
+                                    "SEG_MACHINERY": "seg_machinery"})
 
 
 @query("""
@@ -224,7 +224,7 @@ def dict_column_expand(spark, sf_dir):
 YEARLY = """
 yearly AS (
   SELECT o_orderpriority AS indicator, 'D' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS entity_id,
-         year(o_orderdate) AS year, count(*) AS n
+         CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
 
 
@@ -259,6 +259,19 @@ def nested_payload_flatten(spark, sf_dir):
     return P.flatten_nested(parsed)
 
 
+@query("""
+SELECT o_orderkey, o_orderpriority AS indicator, o_totalprice AS value FROM orders
+UNION ALL SELECT o_orderkey, 'second', NULL FROM orders""")
+def paged_element_rows(spark, sf_dir):
+    """One page text per order: metadata first, then the page's rows."""
+    def row(indicator, value):
+        return F.struct(F.col("o_orderkey").alias("o_orderkey"), indicator.alias("indicator"), value.alias("value"))
+    rows = F.to_json(F.array(row(F.col("o_orderpriority"), F.col("o_totalprice")),
+                             row(F.lit("second"), F.lit(None).cast("double"))))
+    pages = table(spark, sf_dir, "orders").select(F.concat(F.lit('[{"page": 1, "pages": 9}, '), rows, F.lit("]")).alias("body"))
+    return P.page_element_rows(pages, "body", "o_orderkey BIGINT, indicator STRING, value DOUBLE")
+
+
 @query(f"""
 WITH {YEARLY} SELECT indicator, entity_id AS iso3, CAST(year AS VARCHAR) AS year, CAST(n AS DOUBLE) AS value
 FROM yearly""")
@@ -348,11 +361,11 @@ def indicator_recode_allowlist(spark, sf_dir):
 
 
 @query("""
-WITH codes AS (SELECT DISTINCT p_brand AS code, 'Label of ' || p_brand AS label FROM part WHERE p_size > 45)
+WITH codes AS (SELECT DISTINCT p_brand AS code, 'Label of ' || p_brand AS label FROM part WHERE p_size > 48 AND p_type = 'ECONOMY')
 SELECT p_partkey, label AS brand FROM part JOIN codes ON code = p_brand""")
 def indicator_recode_from_table(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    codes = part.where("p_size > 45").select(
+    codes = part.where("p_size > 48 and p_type = 'ECONOMY'").select(
         F.col("p_brand").alias("code"), F.concat(F.lit("Label of "), "p_brand").alias("label")).distinct()
     df = part.select("p_partkey", F.col("p_brand").alias("brand"))
     return C.recode_from(df, "brand", codes)
@@ -409,7 +422,7 @@ def conditional_yes_no(spark, sf_dir):
 
 
 @query("""
-SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN year(o_orderdate) END AS year,
+SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(year(o_orderdate) AS INTEGER) END AS year,
        CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day
 FROM orders""")
 def sentinel_to_null(spark, sf_dir):
@@ -431,12 +444,12 @@ def ratio_rounded_pct(spark, sf_dir):
 @query("""
 SELECT p_partkey, small_size, cheap FROM (
   SELECT p_partkey, CASE WHEN p_size <= 20 THEN p_size END AS small_size,
-         CASE WHEN p_retailprice < 1200 THEN p_type END AS cheap FROM part)
+         CASE WHEN p_retailprice < 1000 THEN p_type END AS cheap FROM part)
 WHERE small_size IS NOT NULL OR cheap IS NOT NULL""")
 def drop_all_null_rows(spark, sf_dir):
     df = table(spark, sf_dir, "part").select(
         "p_partkey", F.when(F.col("p_size") <= 20, F.col("p_size")).alias("small_size"),
-        F.when(F.col("p_retailprice") < 1200, F.col("p_type")).alias("cheap"))
+        F.when(F.col("p_retailprice") < 1000, F.col("p_type")).alias("cheap"))
     return C.drop_empty_rows(df, ["small_size", "cheap"])
 
 
@@ -565,7 +578,7 @@ def comma_name_repair_split(spark, sf_dir):
 UNIFIED = f"""
 WITH {REGISTRY},
 by_year AS (
-  SELECT c_nationkey AS nation, year(o_orderdate) AS year, count(*) AS n,
+  SELECT c_nationkey AS nation, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n,
          sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
 segments AS (SELECT c_nationkey AS nation, c_mktsegment AS indicator, count(*) AS n FROM customer GROUP BY ALL),

@@ -1,6 +1,6 @@
 """Landed JSON payloads to rows. Many payload files are many partitions."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.checks import require_single_value
 from ..operators.columns import quoted
@@ -22,6 +22,19 @@ def page_results(pages: DataFrame, field: str = "results") -> DataFrame:
     return pages.select(F.explode(quoted(field)).alias("r")).select("r.*")
 
 
+def read_page_texts(spark: SparkSession, path: str) -> DataFrame:
+    """One row per landed page file, holding its whole text in ``value``."""
+    return spark.read.option("wholetext", True).text(path)
+
+
+def page_element_rows(pages: DataFrame, column: str, schema: str, position: int = 1) -> DataFrame:
+    """Rows of pages that are arrays of unlike elements, such as ``[metadata, rows]``."""
+    element = F.get(F.from_json(quoted(column), "array<string>"), F.lit(position))
+    row = T.StructType.fromDDL(schema)
+    parsed = F.from_json(element, T.ArrayType(row), {"mode": "FAILFAST"})
+    return pages.select(F.explode(parsed).alias("r")).select("r.*")
+
+
 def flatten_nested(payload: DataFrame, check_years: bool = True) -> DataFrame:
     """Nested payload to (indicator, entity_id, year, value). Empty levels give null rows."""
     items = payload.select(F.explode_outer("data").alias("i"))

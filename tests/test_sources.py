@@ -64,6 +64,15 @@ def test_pages_and_maps_and_csv(spark):
     assert rows(P.embedded_csv(csv, "csv", "n STRING, y INT")) == [('a "b"\nc, d', 1), ("last", 2)]
 
 
+def test_metadata_and_rows_pages(spark, tmp_path):
+    write(tmp_path / "p1.json", '[{"page": 1, "pages": 2},\n [{"date": "2020", "value": 1.5, "country": {"id": "A"}}, {"date": "2021", "value": null}]]')
+    write(tmp_path / "p2.json", '[{"page": 2, "pages": 2}, [{"date": "2022", "value": 3}]]')
+    df = P.page_element_rows(P.read_page_texts(spark, str(tmp_path)), "value",
+                             "date STRING, value DOUBLE, country STRUCT<id: STRING>")
+    assert rows(df, "date", "value", "country.id") == sorted([
+        ("2020", 1.5, "A"), ("2021", None, None), ("2022", 3.0, None)], key=repr)
+
+
 def test_snapshot_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, ("x", [1, 2]))], "id int, s struct<a: string, b: array<int>>")
     N.write_snapshot(df, str(tmp_path), "raw")
