@@ -24,12 +24,12 @@ def page_results(pages: DataFrame, field: str = "results") -> DataFrame:
 
 def read_page_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row per landed page file, holding its whole text in ``value``."""
-    return spark.read.option("wholetext", True).text(path)
+    return spark.read.text(path, wholetext=True)
 
 
 def page_element_rows(pages: DataFrame, column: str, schema: str, position: int = 1) -> DataFrame:
     """Rows of pages that are arrays of unlike elements, such as ``[metadata, rows]``."""
-    element = F.get(F.from_json(quoted(column), "array<string>"), F.lit(position))
+    element = F.get(F.from_json(quoted(column), "array<string>", {"mode": "FAILFAST"}), F.lit(position))
     row = T.StructType.fromDDL(schema)
     parsed = F.from_json(element, T.ArrayType(row), {"mode": "FAILFAST"})
     return pages.select(F.explode(parsed).alias("r")).select("r.*")

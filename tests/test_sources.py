@@ -71,6 +71,9 @@ def test_metadata_and_rows_pages(spark, tmp_path):
                              "date STRING, value DOUBLE, country STRUCT<id: STRING>")
     assert rows(df, "date", "value", "country.id") == sorted([
         ("2020", 1.5, "A"), ("2021", None, None), ("2022", 3.0, None)], key=repr)
+    cut = spark.createDataFrame([('[{"page": 1}, [{"date": "2020"',)], "value string")
+    with pytest.raises(Exception):
+        P.page_element_rows(cut, "value", "date STRING").collect()
 
 
 def test_snapshot_round_trip(spark, tmp_path):
