@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from indicatrix.operators.registry import enrich
+from indicatrix.operators.reshape import union_by_name
 from indicatrix.plans import collect, datasets as D
 from indicatrix.plans.catalogue import filter_catalogue
 from indicatrix.schemas import CATALOGUE_SCHEMA, INDEX_COLUMNS
@@ -592,12 +594,11 @@ CATALOGUE_SQL = "catalogue(name, type, privacy, archived, n_raw) AS (" + " UNION
 WITH {CATALOGUE_SQL}
 SELECT name, type, n_raw FROM catalogue WHERE lower(type) = 'internal' AND privacy = 'public'""")
 def catalogue_filter(spark, sf_dir):
-    sizes = None
-    for name, *_, source in CATALOGUE_ROWS:
-        one = table(spark, sf_dir, source).agg(F.count("*").alias("n_raw")).withColumn("name", F.lit(name))
-        sizes = one if sizes is None else sizes.unionByName(one)
+    counts = [table(spark, sf_dir, source).agg(F.count("*").alias("n_raw")).withColumn("source_table", F.lit(source))
+              for source in sorted({row[-1] for row in CATALOGUE_ROWS})]
+    sources = spark.createDataFrame([(row[0], row[-1]) for row in CATALOGUE_ROWS], "name string, source_table string")
     kept = filter_catalogue(catalogue(spark), {"Type": "INTERNAL", "privacy": "Public"})
-    return kept.join(sizes, "name").select("name", "type", "n_raw")
+    return kept.join(sources, "name").join(union_by_name(counts), "source_table").select("name", "type", "n_raw")
 
 
 @query(f"""
@@ -612,7 +613,7 @@ def dataset_selection(spark, sf_dir):
                              names=[" contacts", "LAW", "Presence", "Nothing", "Human"], filters={"privacy": "public"})
     counts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("dataset"), "n_rows")
               for name, df in built.items()]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return union_by_name(counts)
 
 
 @query(f"""
@@ -621,7 +622,6 @@ SELECT entity_name, country, title, iso3 FROM (
     JOIN registry r ON n_nationkey = c_nationkey)) WHERE iso3 IN ('N03', 'N05') AND country = 'Country 5'""")
 def dataset_for_entities(spark, sf_dir):
     """A user-defined dataset function, filtered by entity."""
-    from indicatrix.operators.registry import enrich
     raw = table(spark, sf_dir, "customer").select(iso3_of(F.col("c_nationkey")).alias("code"), F.col("c_name").alias("title"))
     df = collect.dataset(lambda raw, reg: enrich(raw, reg, "code", "iso3"), raw, registry(spark, sf_dir),
                          iso3=["N03", "N05"], country="Country 5")

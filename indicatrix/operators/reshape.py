@@ -55,8 +55,9 @@ def python_text_to_json(c):
     """Python's literal spelling of None, True and False to JSON's, where they stand as whole values."""
     out = c
     for old, new in (("None", "null"), ("True", "true"), ("False", "false")):
-        out = F.regexp_replace(out, rf"{old}(?<=[:\[,{{]\s?{old})(?=\s*[,}}\]])", new)
-    return F.when(c.rlike("None|True|False"), out).otherwise(c)
+        replaced = F.regexp_replace(out, rf"{old}(?<=[:\[,{{]\s?{old})(?=\s*[,}}\]])", new)
+        out = F.when(F.contains(c, F.lit(old)), replaced).otherwise(out)
+    return out
 
 
 def parse_dict(df: DataFrame, column: str, schema, text: str = "json", errors: str = "raise") -> DataFrame:
