@@ -46,10 +46,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
              sum(source_size * 2.0) over f - source_size * 2.0 capped, sum(weight) over () - sum(weight) over f + weight open
       from sizes window f as (order by source_size * 2.0 / weight, source nulls last)),
     levels as (
-      select *, (min(case when (budget - capped) / open < fill then {'fill': fill, 'level': (budget - capped) / open} end)
-                 over ()).level from ranked),
+      select *, (min(case when (budget - capped) / open < fill then {'f': fill, 'x': (budget - capped) / open} end)
+                 over ()).x as lev from ranked),
     targets as (
-      select source, source_size, case when level is null or fill <= level then cap else level * weight end target from levels),
+      select source, source_size, case when lev is null or fill <= lev then cap else lev * weight end target from levels),
     budgets as (
       select *, coalesce(case when source_size > 0 then floor(target / source_size) end, 0)::bigint epochs from targets),
     keyed as (
