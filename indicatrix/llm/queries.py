@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from .exact_dedup import exact_groups
 from .line_dedup import apply_bitmaps, line_bitmaps
 from .mixing import mix
+from .packing import pack_documents
+from .token_ids import packed_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,6 +26,13 @@ def query(sql: str | None = None):
     return add
 
 
+def vocabulary(name: str) -> str:
+    """A public vocabulary file, from the package that keeps them outside the repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -96,3 +105,13 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     select doc_id, keep_id, group_size, doc_id = keep_id kept, text_sha256 from rows join groups on g = text_sha256""")
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query()
+def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
