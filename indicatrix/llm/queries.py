@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import build_index, search_index
 from .exact_dedup import exact_groups
 from .line_dedup import apply_bitmaps, line_bitmaps
 from .mixing import mix
@@ -115,3 +116,9 @@ def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query()
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return search_index(build_index(vectors), vectors.where("vec_id % 20 = 0"))
