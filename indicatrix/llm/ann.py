@@ -178,7 +178,8 @@ def search_index(index: DataFrame, queries: DataFrame, *, vec_id: str = "vec_id"
     asked = stored(asked.withColumn("dim", F.size("v")), "queries")
     n_blocks = parts_for(asked.count(), block)
     asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)))
-    spread = asked.join(index.select("dim", "shard"), "dim")
+    shards = index.select(F.col("dim").alias("to_dim"), F.col("shard").alias("to_shard"))
+    spread = asked.join(shards, F.col("dim") == F.col("to_dim"))
     blocks = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
 
     def search(graphs: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
@@ -198,7 +199,7 @@ def search_index(index: DataFrame, queries: DataFrame, *, vec_id: str = "vec_id"
                 out.append(pd.DataFrame({"query_id": query_id, "vec_id": theirs[best], "score": each[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    found = (blocks.groupBy("dim", "shard", "block").cogroup(spread.groupBy("dim", "shard", "block"))
+    found = (blocks.groupBy("dim", "shard", "block").cogroup(spread.groupBy("to_dim", "to_shard", "block"))
              .applyInPandas(search, "query_id long, vec_id long, score double"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
