@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann import build_index, search_index
+from .common import crc_remainder
 from .exact_dedup import exact_groups
+from .language_id import identify, train
 from .line_dedup import apply_bitmaps, line_bitmaps
 from .mixing import mix
 from .packing import pack_documents
@@ -122,3 +124,11 @@ def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return search_index(build_index(vectors), vectors.where("vec_id % 20 = 0"))
+
+
+@query()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, pieces = table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")
+    held_out = crc_remainder(F.col("doc_id"), 4) == 2
+    langs, model = train(docs.where(~held_out).select("lang", "text"), pieces)
+    return identify(docs, langs, model, pieces, keep={"doc_id": F.col("doc_id"), "held_out": held_out})
