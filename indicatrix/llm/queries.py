@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann import build_index, search_index
+from . import quality
 from .common import crc_remainder
 from .exact_dedup import exact_groups
 from .language_id import identify, train
@@ -132,3 +133,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_remainder(F.col("doc_id"), 4) == 2
     langs, model = train(docs.where(~held_out).select("lang", "text"), pieces)
     return identify(docs, langs, model, pieces, keep={"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
+@query()
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_remainder(F.col("doc_id"), 5) == 0
+    labels = (table(spark, sf_dir, "labels").where(crc_remainder(F.col("doc_id"), 5) != 0)
+              .select("doc_id", F.col("quality").alias("label")))
+    model = quality.train(docs.where(~held_out), labels)
+    return quality.score(docs, model, keep={"doc_id": F.col("doc_id"), "held_out": held_out})
