@@ -14,6 +14,7 @@ from .exact_dedup import exact_groups
 from .language_id import identify, train
 from .line_dedup import apply_bitmaps, line_bitmaps
 from .mixing import mix
+from .near_join import near_classes
 from .packing import pack_documents
 from .token_ids import packed_documents
 
@@ -143,3 +144,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
               .select("doc_id", F.col("quality").alias("label")))
     model = quality.train(docs.where(~held_out), labels)
     return quality.score(docs, model, keep={"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
+@query()
+def op7_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
