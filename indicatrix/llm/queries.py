@@ -11,6 +11,7 @@ from .ann import build_index, search_index
 from . import quality
 from .common import crc_remainder
 from .exact_dedup import exact_groups
+from .katz import katz_scores
 from .language_id import identify, train
 from .line_dedup import apply_bitmaps, line_bitmaps
 from .mixing import mix
@@ -149,3 +150,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query()
+def op4_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_remainder(F.col("doc_id"), 10) == 0
+    scores = katz_scores(table(spark, sf_dir, "documents"), held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
