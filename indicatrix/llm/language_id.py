@@ -10,6 +10,7 @@ the words it has scored, so a text costs one lookup per word.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -249,32 +250,48 @@ class Scorer:
 _scorers: dict[str, Scorer] = {}
 
 
+def _predict(langs: list[str], key: str, vocabulary: str, shared, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    if key not in _scorers:
+        _scorers.clear()
+        _scorers[key] = Scorer(vocabulary, shared.value)
+    found = _scorers[key](texts) if langs else np.zeros((len(texts), 1))
+    best = found.argmax(1)
+    sure = 1 / np.exp(found - found.max(1, keepdims=True)).sum(1)
+    lettered = np.array([bool(langs and t and LETTERS.search(t)) for t in texts], bool)
+    names = [langs[b] if ok else NONE for b, ok in zip(best.tolist(), lettered.tolist(), strict=True)]
+    return names, np.where(lettered, sure, 0.0)
+
+
 def identify(docs: DataFrame, langs: list[str], model: np.ndarray, vocabulary: str, *, text: str = "text",
              keep: dict[str, Column] | None = None) -> DataFrame:
     """The columns ``keep`` (by name) with lang_pred and score, the language's probability given equal chances beforehand.
 
     A text that is null or has no letter, or any text if no language was learned, is ``und`` with score 0. Ties go to the
-    language first in code point order. Only the text is looked at.
+    language first in code point order. Only the text is looked at. An empty table gives an empty result.
     """
     keep = keep or {}
     kept = list(keep)
-    shared, key = docs.sparkSession.sparkContext.broadcast(model), f"{id(model)}-{model.sum()!r}"
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     rows = docs.select(*[c.alias(n) for n, c in keep.items()], F.col(text).alias("__text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(vocabulary, shared.value)
         for batch in batches:
-            texts = batch.column("__text").to_pylist()
-            found = _scorers[key](texts) if langs else np.zeros((len(texts), 1))
-            best = found.argmax(1)
-            sure = 1 / np.exp(found - found.max(1, keepdims=True)).sum(1)
-            lettered = np.array([bool(langs and t and LETTERS.search(t)) for t in texts], bool)
-            names = [langs[b] if ok else NONE for b, ok in zip(best.tolist(), lettered.tolist(), strict=True)]
+            names, sure = _predict(langs, key, vocabulary, shared, batch.column("__text").to_pylist())
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], pa.array(names, pa.string()),
-                                              pa.array(np.where(lettered, sure, 0.0), pa.float64())],
-                                             [*kept, "lang_pred", "score"])
+                                              pa.array(sure, pa.float64())], [*kept, "lang_pred", "score"])
 
     types = [f"`{n}` {t}" for n, t in rows.dtypes if n != "__text"]
     return rows.mapInArrow(score, ", ".join([*types, "lang_pred string", "score double"]))
+
+
+def accepted(docs: DataFrame, langs: list[str], model: np.ndarray, vocabulary: str, *, text: str = "text",
+             least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is found with a probability of at least ``least``."""
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, sure = _predict(langs, key, vocabulary, shared, batch.column(text).to_pylist())
+            yield batch.filter(pa.array((sure >= least) & (np.array(names, object) != NONE), pa.bool_()))
+
+    return docs.mapInArrow(choose, docs.schema)

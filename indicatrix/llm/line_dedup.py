@@ -123,3 +123,10 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, text: str = "text", doc_i
     kept = F.coalesce(_cut("bitmap", F.when(F.col("bitmap").isNotNull(), F.col("v"))), F.col("v"))
     return joined.select("row", kept.alias("kept"), F.size(F.split("v", "\n")).cast("long").alias("n_lines"),
                          F.coalesce("lost", F.lit(0)).cast("long").alias("n_dropped"))
+
+
+def without_common_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+    """``docs`` with all columns; texts lose their common lines. A null text stays null."""
+    kept = apply_bitmaps(docs, line_bitmaps(docs, text, doc_id, **options), text, doc_id)
+    new = F.when(F.col("row")[text].isNotNull(), F.col("kept"))
+    return kept.select(*[(new if c == text else F.col("row")[c]).alias(c) for c in docs.columns])

@@ -95,3 +95,15 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, *, doc_id: str = "doc
               .withColumn("extra", (F.col("until") - F.col("size") / 2 <= F.col("rest")).cast("long")).drop("until"))
     both = outside.unionByName(inside).withColumn("copies", F.col("epochs") + F.col("extra"))
     return both.withColumn("taken", F.col("copies") * F.col("size")).drop("key", "key_range", "cut", "rest", "epochs", "extra")
+
+
+def mixed(docs: DataFrame, quality: DataFrame | None = None, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents of the mix, with all their columns, each as often as the mix takes it.
+
+    Rows that repeat an identifier and its text are all taken as often as the first of them.
+    """
+    key = F.xxhash64(F.col(doc_id), F.coalesce(F.col(text), F.lit("")))
+    copies = (mix(docs, quality, doc_id=doc_id, carry=[key.alias("row_key")], **options)
+              .groupBy("row_key").agg(F.max("copies").cast("int").alias("copies")).where("copies > 0"))
+    rows = docs.select(F.struct("*").alias("row"), key.alias("row_key")).join(copies, "row_key")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

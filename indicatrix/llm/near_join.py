@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -310,3 +310,12 @@ def near_classes(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     return placed.join(top, F.col("root") == F.col("class")).select(
         "doc_id", "row_key", F.col("least.doc_id").alias("class_id"), F.col("n_links").cast("long").alias("n_links"),
         (F.col("place") == F.col("least.place")).alias("first"))
+
+
+def one_per_class(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+    """``docs`` with all columns; of each class, one row stays: one with the smallest identifier (null last)."""
+    first = (near_classes(docs, text=text, doc_id=doc_id, **options).where("first").select(F.col("row_key").alias("key"))
+             .distinct())
+    rows = docs.select(F.struct("*").alias("row"), row_key(F.col(doc_id), F.col(text)).alias("row_key"))
+    turn = F.row_number().over(Window.partitionBy("row_key").orderBy(F.lit(1)))  # identical rows
+    return rows.join(first, F.col("row_key") == F.col("key")).withColumn("turn", turn).where("turn = 1").select("row.*")

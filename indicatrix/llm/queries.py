@@ -32,6 +32,11 @@ def query(sql: str | None = None):
     return add
 
 
+def quality_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (table(spark, sf_dir, "labels").where("quality is not null")
+            .select("doc_id", F.when(F.col("quality") == 1, 2.0).otherwise(0.5).alias("weight")))
+
+
 def vocabulary(name: str) -> str:
     """A public vocabulary file, from the package that keeps them outside the repository."""
     import public_tokenizers
@@ -77,9 +82,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     from keyed""")
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents labelled good are drawn four times as readily as those labelled bad."""
-    quality = (table(spark, sf_dir, "labels").where("quality is not null")
-               .select("doc_id", F.when(F.col("quality") == 1, 2.0).otherwise(0.5).alias("weight")))
-    mixed = mix(table(spark, sf_dir, "documents"), quality)
+    mixed = mix(table(spark, sf_dir, "documents"), quality_weights(spark, sf_dir))
     return mixed.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target",
                         F.col("taken").cast("long").alias("taken"))
 
