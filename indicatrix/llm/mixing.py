@@ -77,7 +77,7 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, *, doc_id: str = "doc
     by_range = rows.groupBy("source", "key_range").agg(F.sum("size").alias("range_size"))
     by_range = stored(by_range, "mix-ranges")
     targets = source_targets(by_range.groupBy("source").agg(F.sum("range_size").alias("source_size")), weights, share, most)
-    targets = (targets.withColumn("epochs", F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0)))
+    targets = (targets.withColumn("epochs", F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)))
                .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")))
     before = F.sum("range_size").over(Window.partitionBy("source").orderBy("key_range")) - F.col("range_size")
     cut = (by_range.withColumn("before", before).withColumnRenamed("source", "cut_source")
