@@ -79,6 +79,11 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
     return np.c_[own, before, after, np.ones(len(own))], (breaks - starts).astype(float), counts
 
 
+def _scaled(features: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """In standard deviations of the training lines, at most four: a line unlike any of them is no more than unusual."""
+    return np.clip((features - centre) / scale, -4, 4)
+
+
 @dataclass
 class Crf:
     centre: np.ndarray
@@ -89,7 +94,7 @@ class Crf:
 
     def marginals(self, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Probability of good for every line."""
-        scores, out = ((features - self.centre) / self.scale) @ self.weights, np.empty(len(features))
+        scores, out = _scaled(features, self.centre, self.scale) @ self.weights, np.empty(len(features))
         for places in _blocks(counts):
             lines, mask = _padded(counts, places)
             nodes, _, _ = _forward_backward(scores[lines], mask, self.moves)
@@ -153,7 +158,7 @@ def fit(features: np.ndarray, lengths: np.ndarray, counts: np.ndarray, labels: n
     centre, scale = features.mean(0), features.std(0)
     centre[-1], scale[-1] = 0, 1
     scale[scale < 1e-6] = 1
-    x, target = (features - centre) / scale, np.repeat(labels, counts)
+    x, target = _scaled(features, centre, scale), np.repeat(labels, counts)
     truth = np.eye(2)[target]
     inside = np.ones(len(target), bool)
     inside[np.cumsum(counts) - counts] = False
