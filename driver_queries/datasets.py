@@ -28,6 +28,9 @@ def latest_sql(source: str, keys: str = "entity_name, indicator", ties: str = "c
 
 # ---------------------------------------------------------------- databank
 
+NO_ENTITY = ["DBE004", "NONE"]  # the tokens of the lists below that mean no entity
+
+
 def databank_raw(spark, sf_dir):
     """One reported value per order; the order's priority plays the indicator code."""
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
@@ -35,7 +38,7 @@ def databank_raw(spark, sf_dir):
             .when(priority == "3-MEDIUM", F.lit("supported1"))
             .when(priority == "4-NOT SPECIFIED", F.lit("KPI_noLocalUnits")).otherwise(F.lit("unlisted")))
     flag = F.when(status == "F", F.lit("True")).when(status == "O", F.lit("False"))
-    ids = F.concat(id_of(F.col("o_orderkey") % 25), F.lit("; Land "), text(F.col("o_custkey") % 7), F.lit(",DBE004, X1"))
+    ids = F.concat(id_of(F.col("o_orderkey") % 25), F.lit("; Land "), text(F.col("o_custkey") % 7), F.lit(",DBE004, X1; NONE "))
     value = (F.when(priority.isin("1-URGENT", "2-HIGH"), flag).when(priority == "3-MEDIUM", ids)
              .otherwise(text(F.col("o_custkey") % 100)))
     return table(spark, sf_dir, "orders").select(
@@ -69,13 +72,13 @@ FROM flags WHERE rn = 1"""
 
 @query(DATABANK)
 def databank_indicators(spark, sf_dir):
-    return D.databank(databank_raw(spark, sf_dir), registry(spark, sf_dir), page_prefix=PREFIX)
+    return D.databank(databank_raw(spark, sf_dir), registry(spark, sf_dir), page_prefix=PREFIX, invalid_ids=NO_ENTITY)
 
 
 @query(latest_sql(DATABANK, ties="country, iso3, region, url"))
 def databank_indicators_latest(spark, sf_dir):
     return collect.dataset("databank", databank_raw(spark, sf_dir), registry(spark, sf_dir), latest=True,
-                           options={"page_prefix": PREFIX})
+                           options={"page_prefix": PREFIX, "invalid_ids": NO_ENTITY})
 
 
 # ---------------------------------------------------------------- documents
@@ -376,8 +379,11 @@ def corruption_perception(spark, sf_dir):
     return D.corruption_perception(perception_raw(spark, sf_dir), registry(spark, sf_dir))
 
 
-@query(f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_name ORDER BY year DESC NULLS LAST,
-  country NULLS LAST, iso3 NULLS LAST, region NULLS LAST, score, rank) AS rn FROM ({PERCEPTION})) WHERE rn = 1""")
+PERCEPTION_LATEST = f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_name ORDER BY year DESC NULLS LAST,
+  country NULLS LAST, iso3 NULLS LAST, region NULLS LAST, score, rank) AS rn FROM ({PERCEPTION})) WHERE rn = 1"""
+
+
+@query(PERCEPTION_LATEST)
 def corruption_perception_latest(spark, sf_dir):
     return D.corruption_perception(perception_raw(spark, sf_dir), registry(spark, sf_dir), latest=True)
 
@@ -499,13 +505,14 @@ def evaluations(spark, sf_dir):
     return df.select("title", *[F.array_join(c, "|", "~").alias(c) for c in INDEX_COLUMNS])
 
 
-@query("""
-SELECT 'Country 3' AS country, 'NATION_3' AS entity_name, count(*) AS n_rows FROM pages""")
+@query(f"""
+WITH {REGISTRY}
+SELECT 'https://site.example.org/eval/' || page_id AS url, r.country, r.entity_name, r.iso3
+FROM pages JOIN registry r ON n_nationkey = page_id % 23""")
 def evaluations_from_pages(spark, sf_dir):
     listing = W.evaluation_listing(listing_pages(table(spark, sf_dir, "pages")), "https://site.example.org")
     df = D.evaluations(listing, registry(spark, sf_dir))
-    df = df.select(F.explode(F.arrays_zip("country", "entity_name")).alias("z")).select("z.*")
-    return df.groupBy("country", "entity_name").agg(F.count("*").alias("n_rows"))
+    return df.select("url", F.explode(F.arrays_zip("country", "entity_name", "iso3")).alias("z")).select("url", "z.*")
 
 
 # ---------------------------------------------------------------- sheets
@@ -559,22 +566,26 @@ def logistics_projects(spark, sf_dir):
 # ---------------------------------------------------------------- catalogue and collection
 
 CATALOGUE_ROWS = [
-    # name, kind, type, privacy, link, label, archived, table it is derived from
-    ("Contacts", "contacts", "internal", "public", None, None, False, "customer"),
-    ("Capacity Dates", "capacity_assessment_dates", "Internal", "public", None, "Dates", False, "supplier"),
-    ("Branch Dates", "branch_assessment_dates", "Internal", "public", None, "Branches", False, "supplier"),
-    ("Presence", "field_presence", "External", "public", None, "Is present", False, "supplier"),
-    ("Law", "disaster_law", "External", "public", None, None, False, "supplier"),
-    ("Perception", "corruption_perception", "external", "public", None, None, False, "customer"),
-    ("Youth", "youth_engagement", "internal", "public", "https://y.example.org", None, False, "supplier"),
-    ("Statutes", "statutes", "Internal", "confidential", None, None, False, "supplier"),
-    ("Human", "human_development", "External", "public", None, None, True, "orders"),
+    # name, kind, type, privacy, link, label, archived
+    ("Contacts", "contacts", "internal", "public", None, None, False),
+    ("Capacity Dates", "capacity_assessment_dates", "Internal", "public", None, "Dates", False),
+    ("Branch Dates", "branch_assessment_dates", "Internal", "public", None, "Branches", False),
+    ("Presence", "field_presence", "External", "public", None, "Is present", False),
+    ("Law", "disaster_law", "External", "public", None, None, False),
+    ("Perception", "corruption_perception", "external", "public", None, None, False),
+    ("Youth", "youth_engagement", "internal", "public", "https://y.example.org", None, False),
+    ("Statutes", "statutes", "Internal", "confidential", None, None, False),
+    ("Databank", "databank", "Internal", "public", None, None, False),
+    ("Documents", "documents", "internal", "public", None, None, False),
+    ("Risk", "risk_index", "external", "public", None, None, False),
+    ("Development", "development_indicators", "external", "public", None, None, False),
+    ("Human", "human_development", "External", "public", None, None, True),
 ]
 
 
 def catalogue(spark):
     rows = [(name, kind, "file", None, type_, privacy, link, None, label, archived)
-            for name, kind, type_, privacy, link, label, archived, _ in CATALOGUE_ROWS]
+            for name, kind, type_, privacy, link, label, archived in CATALOGUE_ROWS]
     return spark.createDataFrame(rows, CATALOGUE_SCHEMA)
 
 
@@ -583,37 +594,49 @@ def raw_tables(spark, sf_dir):
     return {"Contacts": contacts_raw(spark, sf_dir), "Capacity Dates": dates_raw(spark, sf_dir),
             "Branch Dates": dates_raw(spark, sf_dir), "Presence": presence_raw(spark, sf_dir),
             "Law": law_raw(spark, sf_dir), "Perception": perception_raw(spark, sf_dir),
-            "Youth": youth_raw(spark, sf_dir), "Statutes": sheet}
+            "Youth": youth_raw(spark, sf_dir), "Statutes": sheet, "Databank": databank_raw(spark, sf_dir),
+            "Documents": P.flatten_documents(documents_payload(spark, sf_dir)), "Risk": risk_raw(spark, sf_dir),
+            "Development": development_raw(spark, sf_dir)}
 
 
-CATALOGUE_SQL = "catalogue(name, type, privacy, archived, n_raw) AS (" + " UNION ALL ".join(
-    f"SELECT '{r[0]}', '{r[2]}', '{r[3]}', {r[6]}, count(*) FROM {r[7]}" for r in CATALOGUE_ROWS) + ")"
+OPTIONS = {"Databank": {"page_prefix": PREFIX, "invalid_ids": NO_ENTITY}}
 
 
-@query(f"""
-WITH {CATALOGUE_SQL}
-SELECT name, type, n_raw FROM catalogue WHERE lower(type) = 'internal' AND privacy = 'public'""")
+@query("""
+SELECT p_name AS name, p_type AS source, CASE WHEN p_size % 2 = 0 THEN 'Internal' ELSE 'external' END AS type
+FROM part WHERE p_size % 2 = 0 AND p_size % 3 = 0""")
 def catalogue_filter(spark, sf_dir):
-    counts = [table(spark, sf_dir, source).agg(F.count("*").alias("n_raw")).withColumn("source_table", F.lit(source))
-              for source in sorted({row[-1] for row in CATALOGUE_ROWS})]
-    sources = spark.createDataFrame([(row[0], row[-1]) for row in CATALOGUE_ROWS], "name string, source_table string")
-    kept = filter_catalogue(catalogue(spark), {"Type": "INTERNAL", "privacy": "Public"})
-    return kept.join(sources, "name").join(union_by_name(counts), "source_table").select("name", "type", "n_raw")
+    """A catalogue of one dataset per part."""
+    size = F.col("p_size")
+    rows = table(spark, sf_dir, "part").select(
+        F.col("p_name").alias("name"), F.lit("contacts").alias("kind"), F.col("p_type").alias("source"),
+        F.when(size % 2 == 0, F.lit("Internal")).otherwise(F.lit("external")).alias("type"),
+        F.when(size % 3 == 0, F.lit("Public")).otherwise(F.lit("confidential")).alias("privacy"))
+    return filter_catalogue(rows, {"Type": "INTERNAL", "privacy": "public"}).select("name", "source", "type")
 
 
 @query(f"""
-WITH {CATALOGUE_SQL},
-built(dataset, n_rows) AS (
-  SELECT 'Contacts', count(*) FROM ({CONTACTS}) UNION ALL SELECT 'Presence', count(*) FROM ({PRESENCE})
-  UNION ALL SELECT 'Law', count(*) FROM ({LAW}))
-SELECT dataset, n_rows FROM built""")
+SELECT 'Contacts' AS dataset, entity_name, country, indicator AS what, value FROM ({CONTACTS})
+UNION ALL SELECT 'Presence', entity_name, country, url, CAST(presence AS VARCHAR) FROM ({PRESENCE})
+UNION ALL SELECT 'Law', entity_name, country, law_id, description FROM ({LAW})""")
 def dataset_selection(spark, sf_dir):
     """Names in any case; an unknown and an archived dataset are skipped."""
     built = collect.datasets(catalogue(spark), raw_tables(spark, sf_dir), registry(spark, sf_dir),
                              names=[" contacts", "LAW", "Presence", "Nothing", "Human"], filters={"privacy": "public"})
-    counts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("dataset"), "n_rows")
-              for name, df in built.items()]
-    return union_by_name(counts)
+    shown = {"Contacts": ("indicator", "value"), "Law": ("law_id", "description"), "Presence": ("url", "presence")}
+    return union_by_name([
+        df.select(F.lit(name).alias("dataset"), "entity_name", "country", F.col(shown[name][0]).alias("what"),
+                  F.col(shown[name][1]).cast("string").alias("value")) for name, df in built.items()])
+
+
+@query(f"""
+WITH {REGISTRY}
+SELECT 'N' || lpad(CAST(c_custkey % 30 AS VARCHAR), 2, '0') AS unknown_value, count(*) AS n_rows FROM customer
+WHERE c_custkey % 30 >= 25 GROUP BY 1""")
+def dataset_unknown_entities(spark, sf_dir):
+    """What the registry does not know, asked of a dataset that lets unknown codes pass."""
+    raw = table(spark, sf_dir, "customer").select(iso3_of(F.col("c_custkey") % 30).alias("iso3"))
+    return collect.unknown_entities("corruption_perception", raw, registry(spark, sf_dir))
 
 
 @query(f"""
@@ -638,15 +661,35 @@ UNION ALL SELECT entity_name, country, iso3, region, 'Law', description, 2024, '
 UNION ALL SELECT entity_name, country, iso3, region, 'Corruption Perception Index', CAST(score AS VARCHAR), year, '', '', 'Perception' FROM ({PERCEPTION})
 UNION ALL SELECT entity_name, country, iso3, region, indicator, CASE indicator WHEN 'Youth Policy' THEN youth_policy
   WHEN 'Youth Engagement Strategy' THEN youth_strategy WHEN 'Youth in GB' THEN youth_in_board ELSE youth_led END, year, '', 'https://y.example.org', 'Youth'
-  FROM ({YOUTH}), (VALUES ('Youth Policy'), ('Youth Engagement Strategy'), ('Youth in GB'), ('Youth-led structure')) t(indicator)"""
+  FROM ({YOUTH}), (VALUES ('Youth Policy'), ('Youth Engagement Strategy'), ('Youth in GB'), ('Youth-led structure')) t(indicator)
+UNION ALL SELECT entity_name, country, iso3, region, indicator, value, year, '', url, 'Databank' FROM ({DATABANK})
+UNION ALL SELECT entity_name, country, iso3, region, indicator, value, year, '', '', 'Documents' FROM ({DOCUMENTS})
+UNION ALL SELECT entity_name, country, iso3, region, indicator, CAST(value AS VARCHAR), year, '', '', 'Risk' FROM ({RISK})
+UNION ALL SELECT entity_name, country, iso3, region, indicator, CAST(value AS VARCHAR), year, '', '', 'Development' FROM ({DEVELOPMENT})"""
+
+# scores take their latest row as a dataset, before the unified rule
+LATEST_UNIFIED = latest_sql(UNIFIED.replace(f"({PERCEPTION})", f"({PERCEPTION_LATEST})"), "dataset, entity_name, indicator", "country, iso3, region, description, url")
 
 
 @query(UNIFIED)
 def collected_indicators(spark, sf_dir):
-    return collect.indicators(catalogue(spark), raw_tables(spark, sf_dir), registry(spark, sf_dir), as_of="2024-05-01")
+    return collect.indicators(catalogue(spark), raw_tables(spark, sf_dir), registry(spark, sf_dir), as_of="2024-05-01",
+                              options=OPTIONS)
 
 
 @query(f"""SELECT * FROM ({UNIFIED}) WHERE value IS NULL OR NOT regexp_matches(value, '^[0-9]+$')""")
 def collected_indicators_qualitative(spark, sf_dir):
     return collect.indicators(catalogue(spark), raw_tables(spark, sf_dir), registry(spark, sf_dir), as_of="2024-05-01",
-                              quantitative=False)
+                              quantitative=False, options=OPTIONS)
+
+
+@query(LATEST_UNIFIED)
+def collected_indicators_latest(spark, sf_dir):
+    return collect.indicators(catalogue(spark), raw_tables(spark, sf_dir), registry(spark, sf_dir), as_of="2024-05-01",
+                              latest=True, options=OPTIONS)
+
+
+@query(f"""SELECT * REPLACE (CAST(value AS DOUBLE) AS value) FROM ({UNIFIED}) WHERE regexp_matches(value, '^[0-9]+$')""")
+def collected_indicators_quantitative(spark, sf_dir):
+    return collect.indicators(catalogue(spark), raw_tables(spark, sf_dir), registry(spark, sf_dir), as_of="2024-05-01",
+                              quantitative=True, options=OPTIONS)

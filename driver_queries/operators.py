@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from indicatrix import load_registry
 from indicatrix.functions.text import clean_list
 from indicatrix.functions.values import (
     is_quantitative, not_in, rounded_percentage, strict_number, timestamp_or_null, yes_no)
@@ -13,7 +14,7 @@ from indicatrix.schemas import INDEX_COLUMNS
 from indicatrix.sources import payloads as P
 
 from .inputs import (
-    DIRTY, REGISTRY, country_of, dirty_customers, id_of, iso3_of, money, query, registry, table)
+    DIRTY, REGISTRY, country_of, dirty_customers, id_of, iso3_of, money, query, registry, registry_rows, table)
 
 # ---------------------------------------------------------------- registry
 
@@ -28,6 +29,17 @@ def alias_resolve(spark, sf_dir):
     return df.select("c_custkey", F.col("raw_name").alias("entity_name"), "resolved")
 
 
+@query("""
+SELECT c_custkey, n_name AS entity_name, r_name AS region FROM customer JOIN nation ON c_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey""")
+def registry_repeated_keys(spark, sf_dir):
+    """Every entity is listed twice: a lookup still gives one row."""
+    twice = load_registry(registry_rows(spark, sf_dir).unionByName(registry_rows(spark, sf_dir))
+                          .withColumn("entity_name", F.coalesce("entity_name", F.concat(F.lit("NATION_"), F.substring("iso3", 2, 2)))))
+    df = table(spark, sf_dir, "customer").select("c_custkey", country_of(F.col("c_nationkey")).alias("place"))
+    return R.enrich(df, twice, "place", "country").select("c_custkey", "entity_name", "region")
+
+
 @query(f"""
 WITH {REGISTRY}, {DIRTY}
 SELECT tidy AS unknown_value, count(*) AS n_rows FROM clean

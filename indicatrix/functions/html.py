@@ -4,17 +4,16 @@ Scripts, styles and comments are cut first. Nested blocks are found by counting
 so a block ends where its own closing tag stands.
 """
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .text import normalise, strip
 
-# The named character references that are decoded.
-NAMED_REFERENCES = {
-    "&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&copy;": "©",
-    "&reg;": "®", "&middot;": "·", "&ndash;": "–", "&mdash;": "—", "&lsquo;": "‘",
-    "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”", "&hellip;": "…", "&eacute;": "é",
-    "&egrave;": "è", "&ccedil;": "ç", "&ocirc;": "ô", "&iacute;": "í", "&aacute;": "á",
-}
+#: All standard named character references, by name without ``&``; most end in ``;``, the oldest also stand without it.
+REFERENCES = {name: char for name, char in html5.items()}
+_BARE = "|".join(sorted((n for n in REFERENCES if not n.endswith(";")), key=lambda n: (-len(n), n)))
 
 
 def without_inert(html: Column) -> Column:
@@ -28,36 +27,39 @@ def _once(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _numeric_references(c: Column) -> Column:
+def unescape(c: Column) -> Column:
+    """Decode numeric and named character references, also those without ``;`` that pages may use. Codes that are no
+    character stay as they are."""
+    table = F.from_json(F.lit(json.dumps(REFERENCES)), "map<string,string>")
+
     def decode(piece):
-        digits = F.regexp_extract(piece, r"^(\d{1,7});", 1)
-        hexa = F.regexp_extract(piece, r"^[xX]([0-9a-fA-F]{1,6});", 1)
+        digits = F.regexp_extract(piece, r"^#(\d{1,7});?", 1)
+        hexa = F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]{1,6});?", 1)
         code = (F.when(digits != "", digits.try_cast("int"))
                 .when(hexa != "", F.conv(hexa, 16, 10).try_cast("int")))
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        char = F.when(code == 38, F.lit("&amp;")).otherwise(char)
-        rest = F.regexp_replace(piece, r"^[^;]*;", "")
-        return F.when(F.coalesce(valid, F.lit(False)), F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), piece))
+        char = F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF),
+                      F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        name = F.regexp_extract(piece, r"^[A-Za-z][A-Za-z0-9]*;", 0)
+        bare = F.regexp_extract(piece, rf"^(?:{_BARE})", 0)
+        named = F.when(name != "", table[name])
+        return (F.when(char.isNotNull(), F.concat(char, F.regexp_replace(piece, r"^#[xX]?[0-9a-fA-F]*;?", "")))
+                .when(named.isNotNull(), F.concat(named, F.substr(piece, F.length(name) + 1)))
+                .when(bare != "", F.concat(table[bare], F.substr(piece, F.length(bare) + 1)))
+                .otherwise(F.concat(F.lit("&"), piece)))
 
     def join(pieces):
         return F.concat(pieces[0], F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode), ""))
-    return F.when(F.contains(c, F.lit("&#")), _once(F.split(c, "&#"), join)).otherwise(c)
+    return F.when(F.contains(c, F.lit("&")), _once(F.split(c, "&"), join)).otherwise(c)
 
 
-def unescape(c: Column) -> Column:
-    """Decode numeric and common named character references."""
-    def decode(text):
-        out = _numeric_references(text)
-        for name, char in NAMED_REFERENCES.items():
-            out = F.replace(out, F.lit(name), F.lit(char))
-        return F.when(F.contains(text, F.lit("&")), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(text)
-    return _once(c, decode)
+def whole_text_of(fragment: Column) -> Column:
+    """Text of a fragment: tags removed, references decoded."""
+    return unescape(F.regexp_replace(fragment, r"(?s)<[^>]*>", ""))
 
 
 def text_of(fragment: Column) -> Column:
-    """Visible text of a fragment: tags removed, references decoded, ends stripped."""
-    return strip(unescape(F.regexp_replace(fragment, r"(?s)<[^>]*>", "")))
+    """Visible text of a fragment, ends stripped."""
+    return strip(whole_text_of(fragment))
 
 
 def elements(html: Column, tag: str) -> Column:
@@ -112,10 +114,18 @@ def table_rows(html: Column) -> Column:
     return elements(html, "tr")
 
 
-def labelled_cell(row: Column, label: str) -> Column:
-    """The ``<td>`` whose data-label is ``label``, null when the row has none."""
-    pattern = rf"""(?is)<td\s[^>]*?data-label\s*=\s*["']{label}["'][^>]*>.*?</td\s*>"""
-    return F.nullif(F.regexp_extract(row, pattern, 0), F.lit(""))
+_CELL = r"""(?is)<td\s[^>]*?data-label\s*=\s*["']([^"']*)["'][^>]*>.*?</td\s*>"""
+
+
+def with_cells(df: DataFrame, row: str) -> DataFrame:
+    """Add ``__labels`` and ``__cells``: all labelled cells of a row, found in one pass over each."""
+    return (df.withColumn("__labels", F.regexp_extract_all(F.col(row), F.lit(_CELL), F.lit(1)))
+            .withColumn("__cells", F.regexp_extract_all(F.col(row), F.lit(_CELL), F.lit(0))))
+
+
+def labelled_cell(label: str) -> Column:
+    """The first cell with this label in a row prepared by ``with_cells``, null when it has none."""
+    return F.get("__cells", F.nullif(F.array_position("__labels", F.lit(label)), F.lit(0)).cast("int") - 1)
 
 
 def links(html: Column) -> Column:
@@ -127,4 +137,4 @@ def paragraphs(html: Column) -> Column:
     """Texts of all paragraphs in page order. A paragraph ends at its closing tag or where the next one starts."""
     pieces = F.split(html, r"(?i)<p(?:\s[^>]*)?>")
     bodies = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces), F.lit(1)))
-    return F.transform(bodies, lambda b: text_of(F.split(b, r"(?i)</p\s*>")[0]))
+    return F.transform(bodies, lambda b: whole_text_of(F.split(b, r"(?i)</p\s*>")[0]))

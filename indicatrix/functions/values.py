@@ -50,3 +50,14 @@ def strict_number(c: Column) -> Column:
 def year_of(as_of=None) -> Column:
     """The current year, or the year of ``as_of`` ('yyyy-MM-dd') to make runs repeatable."""
     return F.year(F.current_date() if as_of is None else F.to_date(F.lit(str(as_of))))
+
+
+def as_text(value: Column, kind) -> Column:
+    """Text of a value of the given type. Floating-point numbers are written in full, without an exponent and with one
+    zero after the point at least, wherever that is exact; other types are cast."""
+    if kind.typeName() not in ("double", "float"):
+        return value.cast("string")
+    number = value.cast("string").cast("double")
+    exact = number.try_cast("decimal(38,17)")
+    written = F.regexp_replace(exact.cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(F.coalesce(exact.cast("double") == number, F.lit(False)), written).otherwise(value.cast("string"))

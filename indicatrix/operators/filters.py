@@ -1,5 +1,7 @@
 """Entity filters: validation against the registry, row filters and key restriction."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .columns import quoted
@@ -42,8 +44,10 @@ def keep_values(df: DataFrame, column: str, values) -> DataFrame:
     if len(values) <= MAX_INLINE_VALUES:
         return df.where(quoted(column).isin(list(values)))
     distinct = sorted(set(values))
-    wanted = df.sparkSession.createDataFrame([(v,) for v in distinct], f"`{column}` string")
-    return df.join(F.broadcast(wanted) if len(distinct) <= MAX_BROADCAST_VALUES else wanted, column, "left_semi")
+    kind = T.StructType([T.StructField("__wanted", df.schema[column].dataType)])
+    wanted = df.sparkSession.createDataFrame([(v,) for v in distinct], kind)
+    side = F.broadcast(wanted) if len(distinct) <= MAX_BROADCAST_VALUES else wanted
+    return df.join(side, quoted(column) == F.col("__wanted"), "left_semi")
 
 
 def filter_entities(df: DataFrame, registry: Registry, iso3=None, country=None, entity_name=None,
@@ -73,7 +77,8 @@ def restrict_to_keys(raw: DataFrame, column: str, registry: Registry, filters: d
     this is a semi join. ``ignore_case`` compares lower-cased keys: still done right after the scan, but not in it.
     """
     keys = source_keys(registry, filters, key).withColumnRenamed(key, "__key")
-    value = quoted(column)
+    value = reduce(lambda c, field: c[field], column.split(".")[1:], quoted(column.split(".")[0])) \
+        if column not in raw.columns else quoted(column)
     if ignore_case:
         keys, value = keys.select(F.lower("__key").alias("__key")).distinct(), F.lower(value)
     if registry.fits_map:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import (
     clean_list, join_list, match_key, normalise, recode_list, replace_in_order, split_list, strip)
 from .columns import quoted
-from .registry import ATTRIBUTES, Registry, cascade_table, lookup_table
+from .registry import ATTRIBUTES, Registry, _side, cascade_table, lookup_table
 
 
 N_BUCKETS = 256
@@ -54,10 +54,11 @@ def _resolve_by_join(df, column, into, table, value, key, combine):
     return joined.withColumn(into, F.coalesce("__out", empty)).drop("__list", "__out")
 
 
-def _resolve(df, registry, column, into, table, value, key, combine):
-    if registry.fits_map:
+def _resolve(df, registry, column, into, table, value, key, combine, id_names=None):
+    """In the row if the table is made from a registry that was measured to be small; a user's ids are always joined."""
+    if registry.fits_map and id_names is None:
         return _resolve_in_row(df, column, into, table, value, key, combine)
-    return _resolve_by_join(df, column, into, registry.side(table), value, key, combine)
+    return _resolve_by_join(df, column, into, _side(registry, id_names)(table), value, key, combine)
 
 
 def resolve_list(df: DataFrame, registry: Registry, column: str, into: str = None, by: str = "country",
@@ -114,7 +115,7 @@ def resolve_id_text(df: DataFrame, registry: Registry, column: str, when: Column
     ready = df.withColumn("__tokens", F.when(touched, tokens))
     done = _resolve(ready, registry, "__tokens", "__names", table, "name",
                     lambda x: [F.concat(F.lit("id:"), x), F.concat(F.lit("name:"), match_key(x))],
-                    lambda x, hits: F.coalesce(*hits, normalise(x)))
+                    lambda x, hits: F.coalesce(*hits, normalise(x)), id_names)
     return done.withColumn(
         target, F.when(touched & F.col(column).isNotNull(), join_list(F.col("__names"))).otherwise(F.col(column))
     ).drop("__tokens", "__names")

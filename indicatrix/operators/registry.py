@@ -17,8 +17,10 @@ ALIASES = {"entity_name": "alt_entity_names", "country": "alt_country_names"}
 POLICIES = ("raise", "warn", "ignore")
 
 MAX_BROADCAST_ROWS = 100_000
-MAX_BROADCAST_CHARS = 32 * 1024 * 1024
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 MAX_MAP_KEYS = 16_384
+#: Values without a key are spread over so many, where a lookup shuffles.
+NULL_KEYS = 4_096
 
 
 @dataclass(frozen=True)
@@ -28,44 +30,34 @@ class Registry:
     rows: DataFrame
     broadcastable: bool
     fits_map: bool
-    unique_keys: bool
 
     def side(self, df: DataFrame) -> DataFrame:
         """Mark a registry-derived table as the build side when the registry was measured to be small."""
         return F.broadcast(df) if self.broadcastable else df
 
 
-def load_registry(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_chars: int = MAX_BROADCAST_CHARS,
+def load_registry(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES,
                   max_map_keys: int = MAX_MAP_KEYS) -> Registry:
     """Conform a table to the registry schema and measure it.
 
-    The measurement is one job over at most ``max_rows + 1`` rows, so a huge table is recognised without being read.
+    The measurement is one job over at most ``max_rows + 1`` rows, so a huge table is recognised without being read. It
+    counts what a lookup's build side holds: every attribute, once for each name or alias. Its outcome chooses a plan
+    only; lookups give the same rows either way.
     """
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in REGISTRY_SCHEMA])
 
-    def entry(kind, key):
-        return F.struct(F.lit(kind).alias("kind"), key.alias("key"))
+    def size(column):
+        return F.coalesce(F.octet_length(column), F.lit(0))
 
-    owner = F.xxhash64(*ATTRIBUTES)
-    keys = [F.array(entry("row", owner.cast("string")),
-                    *[entry(c, F.lower(c)) for c in ("entity_name", "country", "iso3", "entity_id")])]
-
-    def alias_entries(column, aliases):
-        known = F.coalesce(F.col(aliases), F.array().cast("array<string>"))
-        return F.transform(known, lambda a: entry(column, F.lower(a)))
-
-    keys += [alias_entries(*pair) for pair in ALIASES.items()]
-    stats = (
-        rows.limit(max_rows + 1)
-        .select(owner.alias("owner"), F.explode(F.concat(*keys)).alias("k")).where("k.key is not null")
-        .groupBy("k").agg(F.count("*").alias("n"), F.min("owner").alias("lo"), F.max("owner").alias("hi"))
-        .agg(F.count("*").alias("keys"),
-             F.sum(F.length("k.key")).alias("chars"),
-             F.sum(F.when(F.col("k.kind") == "row", F.col("n"))).alias("rows"),
-             F.max(F.when(F.col("lo") != F.col("hi"), 1).otherwise(0)).alias("shared"))
-        .first())
-    small = (stats["rows"] or 0) <= max_rows and (stats["chars"] or 0) <= max_chars
-    return Registry(rows, small, small and stats["keys"] <= max_map_keys, small and not stats["shared"])
+    aliases = F.concat(*[F.coalesce(F.col(a), F.array().cast("array<string>")) for a in ALIASES.values()])
+    names = F.size(aliases) + len(ATTRIBUTES)
+    alias_bytes = F.aggregate(aliases, F.lit(0).cast("long"), lambda total, x: total + size(x))
+    row_bytes = sum((size(c) for c in ATTRIBUTES), F.lit(0)).cast("long")
+    stats = (rows.limit(max_rows + 1)
+             .agg(F.count(F.lit(1)).alias("rows"), F.sum(names).alias("keys"),
+                  F.sum(alias_bytes + (names + 1) * row_bytes).alias("bytes")).first())
+    small = stats["rows"] <= max_rows and (stats["bytes"] or 0) <= max_bytes
+    return Registry(rows, small, small and (stats["keys"] or 0) <= max_map_keys)
 
 
 def entity_names(registry: Registry) -> DataFrame:
@@ -83,7 +75,7 @@ def iso3_codes(registry: Registry) -> DataFrame:
 def lookup_table(registry: Registry, by: str, aliases: bool = False) -> DataFrame:
     """``lookup_key`` (lower-cased) to one ``match`` struct holding every attribute of the entity.
 
-    Keys are distinct. Where a user's registry repeats a key, the entity that sorts last wins.
+    Keys are distinct, however often the registry repeats a row or shares a key: the entity that sorts last wins.
     """
     if by not in ATTRIBUTES:
         raise ValueError(f"Unrecognised registry column {by}")
@@ -97,9 +89,8 @@ def lookup_table(registry: Registry, by: str, aliases: bool = False) -> DataFram
         table = named.select(F.explode(keys).alias("lookup_key"), match)
     else:
         table = named.select(F.lower(by).alias("lookup_key"), match)
-    if registry.unique_keys and by in ("entity_name", "country", "iso3", "entity_id"):
-        return table
-    order = F.struct(*[F.coalesce("match." + a, F.lit("")) for a in ("iso3", "entity_name", "country", "entity_id")])
+    order = F.struct(*[F.coalesce("match." + a, F.lit(""))
+                       for a in ("iso3", "entity_name", "country", "entity_id", "iso2", "region")])
     return table.groupBy("lookup_key").agg(F.max_by("match", order).alias("match"))
 
 
@@ -132,6 +123,8 @@ def attach_match(df: DataFrame, registry: Registry, column: str, by: str, aliase
     """
     value = F.col(column).cast("string")
     key = match_key(value) if aliases else F.lower(value)
+    if not registry.broadcastable:  # rows without a key match nothing: no partition gets them all
+        key = F.coalesce(key, F.concat(F.lit("\0"), F.pmod(F.monotonically_increasing_id(), F.lit(NULL_KEYS)).cast("string")))
     table = lookup_table(registry, by, aliases).withColumnsRenamed({"lookup_key": "__key", "match": "__match"})
     joined = df.withColumn("__key", key).join(registry.side(table), "__key", "left")
     joined = _unknown_policy(joined, F.col("__match"), value, column, errors, observation)
@@ -223,6 +216,12 @@ def map_ids(df: DataFrame, pairs: DataFrame, column: str, into: str, key: str, v
             .withColumn(into, F.col("__value")).drop("__key", "__value"))
 
 
+def _side(registry: Registry, id_names):
+    """A table made from the registry alone is as small as it; with a user's ids, whose number nobody has measured, Spark
+    chooses the join."""
+    return registry.side if id_names is None else lambda table: table
+
+
 def cascade_table(registry: Registry, id_names: DataFrame = None) -> DataFrame:
     """Names reachable from an id, a country, an entity name or any alias: (lookup_key, name).
 
@@ -241,7 +240,7 @@ def cascade_table(registry: Registry, id_names: DataFrame = None) -> DataFrame:
     named = by_name[0].unionByName(by_name[1]).where("entity_name is not null")
     best = named.groupBy("lookup_key").agg(
         F.min_by(F.struct("entity_name", "entity_id"), "rank").alias("hit"))
-    through = (best.select("lookup_key", "hit.*").join(registry.side(ids), "entity_id", "left")
+    through = (best.select("lookup_key", "hit.*").join(_side(registry, id_names)(ids), "entity_id", "left")
                .select("lookup_key", F.coalesce("name", "entity_id", "entity_name").alias("name")))
     return ids.select(F.concat(F.lit("id:"), "entity_id").alias("lookup_key"), "name").unionByName(through)
 
@@ -249,13 +248,14 @@ def cascade_table(registry: Registry, id_names: DataFrame = None) -> DataFrame:
 def resolve_ids(df: DataFrame, registry: Registry, column: str, into: str, id_names: DataFrame = None,
                 keep_unknown: bool = True) -> DataFrame:
     """Id to name, trying countries, names and aliases for values that are not ids."""
-    table = registry.side(cascade_table(registry, id_names))
+    side = _side(registry, id_names)
+    table = cascade_table(registry, id_names)
     value = normalise(F.col(column).cast("string"))
     by_id = table.select(F.col("lookup_key").alias("__id"), F.col("name").alias("__by_id"))
     by_name = table.select(F.col("lookup_key").alias("__nm"), F.col("name").alias("__by_name"))
     out = (df.withColumn("__id", F.concat(F.lit("id:"), F.col(column)))
            .withColumn("__nm", F.concat(F.lit("name:"), F.lower(value)))
-           .join(registry.side(by_id), "__id", "left").join(registry.side(by_name), "__nm", "left"))
+           .join(side(by_id), "__id", "left").join(side(by_name), "__nm", "left"))
     hits = ["__by_id", "__by_name"]
     return (out.withColumn(into, F.coalesce(*hits, value) if keep_unknown else F.coalesce(*hits))
             .drop("__id", "__nm", *hits))

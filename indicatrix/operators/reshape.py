@@ -4,20 +4,22 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..functions.values import as_text
 from .columns import quoted, rename_strict
 
 
 def melt(df: DataFrame, ids, measures=None, variable: str = "indicator", value: str = "value") -> DataFrame:
     """Wide to long. Measures become text, so that columns of different types can share the value column."""
     measures = list(measures) if measures is not None else [c for c in df.columns if c not in ids]
-    texts = df.select(*[quoted(c) for c in ids], *[quoted(c).cast("string").alias(c) for c in measures])
+    texts = df.select(*[quoted(c) for c in ids], *[as_text(quoted(c), df.schema[c].dataType).alias(c) for c in measures])
     return texts.unpivot([quoted(c) for c in ids], [quoted(c) for c in measures], variable, value)
 
 
 def transpose(df: DataFrame, label: str, columns=None, rows=None, column_name: str = "column") -> DataFrame:
     """Rows become columns: one output row per input column, one output column per label.
 
-    ``rows`` names the labels to keep and fixes the schema; without it they are read from the table first.
+    ``rows`` names the labels to keep and fixes the schema. Without it the distinct labels, which become columns, are
+    read to the driver first; ``transpose_long`` gives the same cells as rows, whatever their number.
     """
     columns = list(columns) if columns is not None else [c for c in df.columns if c != label]
     if rows is None:
@@ -26,6 +28,12 @@ def transpose(df: DataFrame, label: str, columns=None, rows=None, column_name: s
     return long.groupBy(column_name).pivot(label, rows).agg(F.first("__value", ignorenulls=True))
 
 
+def transpose_long(df: DataFrame, label: str, columns=None, column_name: str = "column", value: str = "value") -> DataFrame:
+    """The cells of the transposed table as rows: (column, label, value), the first non-null value of repeated labels."""
+    long = melt(df.where(quoted(label).isNotNull()), [label], columns, column_name, value)
+    return long.groupBy(quoted(column_name), quoted(label)).agg(F.first(value, ignorenulls=True).alias(value))
+
+
 def struct_leaves(schema: T.StructType, prefix=()):
     """Paths of all non-struct fields, depth first."""
     for field in schema:
@@ -51,13 +59,23 @@ def expand_struct(df: DataFrame, columns, drop=False, sep: str = ".") -> DataFra
     return df.withColumns(added).drop(*dropped)
 
 
-def python_text_to_json(c):
-    """Python's literal spelling of None, True and False to JSON's, where they stand as whole values."""
-    out = c
-    for old, new in (("None", "null"), ("True", "true"), ("False", "false")):
-        replaced = F.regexp_replace(out, rf"{old}(?<=[:\[,{{]\s?{old})(?=\s*[,}}\]])", new)
-        out = F.when(F.contains(c, F.lit(old)), replaced).otherwise(out)
-    return out
+def _up_to(word: str) -> str:
+    """Pattern of the text up to the next whole word outside strings; quoted strings are consumed whole."""
+    strings = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
+    return rf"""(?s)\G((?:{strings}|[^'"{word[0]}]++|{word[0]}(?!{word[1:]}\b))*+){word}\b"""
+
+
+def with_json_text(df: DataFrame, column: str) -> DataFrame:
+    """Python's printed dictionaries to JSON text: None, True and False outside strings, and the escape JSON lacks.
+
+    What strings hold stays as it is. Each step is a column of its own, so that it is computed once.
+    """
+    steps = {r"\x": (r"\G((?:[^\\]++|\\[^x])*+)\\x([0-9a-fA-F]{2})", r"$1\\u00$2"),
+             **{word: (_up_to(word), f"$1{new}") for word, new in (("None", "null"), ("True", "true"), ("False", "false"))}}
+    for part, (pattern, new) in steps.items():
+        text = quoted(column)
+        df = df.withColumn(column, F.when(F.contains(text, F.lit(part)), F.regexp_replace(text, pattern, new)).otherwise(text))
+    return df
 
 
 def parse_dict(df: DataFrame, column: str, schema, text: str = "json", errors: str = "raise") -> DataFrame:
@@ -70,8 +88,8 @@ def parse_dict(df: DataFrame, column: str, schema, text: str = "json", errors: s
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     if text == "python":
-        df = df.withColumn(column, python_text_to_json(quoted(column)))
-    options = {"allowSingleQuotes": "true"}
+        df = with_json_text(df, column)
+    options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": str(text == "python").lower()}
     if errors == "raise":
         return df.withColumn(column, F.from_json(quoted(column), schema, {**options, "mode": "FAILFAST"}))
     checked = T.StructType(schema.fields + [T.StructField("__bad", T.StringType())])
@@ -100,7 +118,8 @@ def to_indicator(df: DataFrame, value: str, indicator=None, year="keep", drop=()
     ``value`` is the measure column. ``indicator`` names the constant indicator; ``year`` is ``'keep'``, None for no
     year, or a year (number or column).
     """
-    out = rename_strict(df.drop(*drop), {value: "value"}).withColumn("value", F.col("value").cast("string"))
+    out = rename_strict(df.drop(*drop), {value: "value"})
+    out = out.withColumn("value", as_text(F.col("value"), out.schema["value"].dataType))
     if indicator is not None:
         out = out.withColumn("indicator", F.lit(indicator))
     if not (isinstance(year, str) and year == "keep"):

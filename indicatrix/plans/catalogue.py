@@ -1,6 +1,7 @@
 """Dataset catalogue: what datasets exist, how to select them by name and by metadata.
 
-The catalogue is metadata (a row per dataset), supplied by the user and read to the driver within a row bound.
+The catalogue is metadata (a row per dataset), supplied by the user. Filters and names are applied to the table; only the
+rows of the datasets that are then built, each of which becomes a plan of its own, are read to the driver.
 """
 
 import logging
@@ -11,7 +12,6 @@ from ..schemas import CATALOGUE_SCHEMA
 
 log = logging.getLogger(__name__)
 
-MAX_DATASETS = 10_000
 FILTER_FIELDS = ["source", "source_description", "type", "privacy", "link", "focal_point"]
 
 
@@ -22,13 +22,6 @@ def conform_catalogue(df: DataFrame) -> DataFrame:
     return df.select(*columns).withColumn("archived", F.coalesce("archived", F.lit(False)))
 
 
-def entries(catalogue: DataFrame) -> list:
-    rows = conform_catalogue(catalogue).limit(MAX_DATASETS + 1).collect()
-    if len(rows) > MAX_DATASETS:
-        raise ValueError(f"The catalogue has more than {MAX_DATASETS} rows")
-    return rows
-
-
 def filter_catalogue(catalogue: DataFrame, filters: dict = None) -> DataFrame:
     """Catalogue rows that match all filters. Field names and values are compared without case."""
     df = conform_catalogue(catalogue)
@@ -47,22 +40,26 @@ def select_datasets(catalogue: DataFrame, names=None, filters: dict = None, only
     Names are compared without case and outer blanks. Unknown names, archived datasets and (with ``only_kinds``)
     datasets of another kind are skipped with a warning.
     """
-    matching = {r["name"].strip().lower(): r for r in entries(filter_catalogue(catalogue, filters))}
-    known = matching if not filters else {r["name"].strip().lower(): r for r in entries(catalogue)}
+    key = F.lower(F.trim("name"))
+    rows = conform_catalogue(catalogue)
     if names is None:
-        wanted = [k for k, r in known.items() if not r["archived"]
-                  and (only_kinds is None or r["kind"] in only_kinds)]
-    else:
-        wanted = []
-        for name in names:
-            key = name.strip().lower()
-            if key not in known:
-                log.warning("Dataset %s not recognised, skipping. Options are: %s", name,
-                            [r["name"] for r in known.values()])
-            elif known[key]["archived"]:
-                log.warning("Dataset %s is archived, skipping", name)
-            elif only_kinds is not None and known[key]["kind"] not in only_kinds:
-                log.warning("Dropping dataset %s because it cannot be put in indicator form", name)
-            else:
-                wanted.append(key)
-    return [matching[k] for k in dict.fromkeys(wanted) if k in matching]
+        chosen = filter_catalogue(catalogue, filters).where(~F.col("archived"))
+        if only_kinds is not None:
+            chosen = chosen.where(F.col("kind").isin(sorted(only_kinds)))
+        return list({r["name"].strip().lower(): r for r in chosen.collect()}.values())
+    given = {name.strip().lower(): name for name in names}
+    wanted = list(dict.fromkeys(name.strip().lower() for name in names))
+    known = {r["name"].strip().lower(): r for r in rows.where(key.isin(wanted)).collect()}
+    matching = known if not filters else {
+        r["name"].strip().lower() for r in filter_catalogue(catalogue, filters).where(key.isin(wanted)).select("name").collect()}
+    out = []
+    for name in wanted:
+        if name not in known:
+            log.warning("Dataset %s not recognised, skipping", given[name])
+        elif known[name]["archived"]:
+            log.warning("Dataset %s is archived, skipping", known[name]["name"])
+        elif only_kinds is not None and known[name]["kind"] not in only_kinds:
+            log.warning("Dropping dataset %s because it cannot be put in indicator form", known[name]["name"])
+        elif name in matching:
+            out.append(known[name])
+    return out

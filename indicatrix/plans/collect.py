@@ -4,14 +4,14 @@ import logging
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.values import is_quantitative, year_of
+from ..functions.values import as_text, is_quantitative, year_of
 from ..operators.checks import count_per_entity
 from ..operators.columns import add_missing, conform
 from ..operators.filters import entity_filters, keep_values, restrict_to_keys, validate_filters
 from ..operators.latest import latest_indicators
-from ..operators.registry import Registry
+from ..operators.registry import Registry, unknown_values
 from ..operators.reshape import melt, to_indicator, union_by_name
 from ..schemas import COLUMN_TITLES, INDEX_COLUMNS, INDICATOR_COLUMNS, UNIFIED_COLUMNS, UNIFIED_SCHEMA
 from . import datasets as D
@@ -61,45 +61,71 @@ def _youth(df, entry, as_of):
 class Kind:
     """How one kind of dataset is built, and how it becomes indicator rows (None: it does not).
 
-    ``source_key`` is the raw column that holds a registry key, and which key: entity filters are then applied to the
-    raw table as well, before anything else happens to it.
+    ``source_key`` is the raw column (or field of a struct column) that holds a registry key, and which key: entity filters
+    are then applied to the raw table as well, where it has that column, before anything else happens to it. ``entity`` is
+    the raw column that names the entity, by which registry column it is looked up, and whether aliases count.
     """
 
     build: Callable
     has_latest: bool = False
     indicators: Callable = None
     source_key: tuple = None
+    entity: tuple = None
 
 
 KINDS = {
-    "databank": Kind(D.databank, True, _as_is, ("entity_id", "entity_id")),
-    "documents": Kind(D.documents, True, _as_is, ("entity_id", "entity_id")),
-    "contacts": Kind(D.contacts, False, _as_is),
+    "databank": Kind(D.databank, True, _as_is, ("entity_id", "entity_id"), ("entity_id", "entity_id", False)),
+    "documents": Kind(D.documents, True, _as_is, ("entity_id", "entity_id"), ("entity_id", "entity_id", False)),
+    "contacts": Kind(D.contacts, False, _as_is, ("iso_3", "iso3"), ("NSO_DON_name", "entity_name", True)),
     "capacity_assessments": Kind(D.capacity_assessments, True),
     "capacity_assessment_dates": Kind(D.capacity_assessment_dates, False, _capacity_dates),
     "branch_assessment_dates": Kind(D.branch_assessment_dates, False, _branch_counts),
-    "operations": Kind(D.operations),
-    "projects": Kind(D.projects),
-    "risk_index": Kind(D.risk_index, True, _as_is),
-    "development_indicators": Kind(D.development_indicators, True, _as_is, ("countryiso3code", "iso3")),
-    "field_presence": Kind(D.field_presence, False, _presence),
-    "disaster_law": Kind(D.disaster_law, False, _law),
-    "corruption_perception": Kind(D.corruption_perception, True, _perception),
-    "youth_engagement": Kind(D.youth_engagement, False, _youth),
+    "operations": Kind(D.operations, source_key=("country.iso3", "iso3")),
+    "projects": Kind(D.projects, source_key=("project_country_detail.iso3", "iso3")),
+    "risk_index": Kind(D.risk_index, True, _as_is, None, ("Iso3", "iso3", False)),
+    "development_indicators": Kind(D.development_indicators, True, _as_is, ("countryiso3code", "iso3"),
+                                   ("countryiso3code", "iso3", False)),
+    "field_presence": Kind(D.field_presence, False, _presence, None, ("country", "country", True)),
+    "disaster_law": Kind(D.disaster_law, False, _law, None, ("country", "country", True)),
+    "corruption_perception": Kind(D.corruption_perception, True, _perception, None, ("iso3", "iso3", False)),
+    "youth_engagement": Kind(D.youth_engagement, False, _youth, None, ("National Society", "entity_name", True)),
     "evaluations": Kind(D.evaluations),
     "statutes": Kind(D.statutes),
     "recognition_laws": Kind(D.recognition_laws),
     "youth_trainings": Kind(D.youth_trainings),
     "logistics_projects": Kind(D.logistics_projects),
-    "human_development": Kind(D.human_development, True, _as_is),
+    "human_development": Kind(D.human_development, True, _as_is, None, ("iso3", "iso3", False)),
 }
 
 
+def _has_field(df: DataFrame, path: str) -> bool:
+    """Whether the table has this column, or this field of a struct column."""
+    kind = df.schema
+    for name in path.split("."):
+        if not isinstance(kind, T.StructType) or name not in kind.fieldNames():
+            return False
+        kind = kind[name].dataType
+    return True
+
+
+def unknown_entities(kind, raw: DataFrame, registry: Registry, kinds: dict = None) -> DataFrame:
+    """What a dataset's raw table names and the registry does not know: (unknown_value, n_rows).
+
+    For every policy, ``ignore`` included: a report that is asked for, not a side effect of building the dataset.
+    """
+    spec = kind if isinstance(kind, Kind) else (kinds or KINDS)[kind]
+    if spec.entity is None:
+        raise ValueError(f"{kind} has no column of its own that names one entity")
+    column, by, aliases = spec.entity
+    return unknown_values(raw, registry, column, by, aliases)
+
+
 def dataset(kind, raw: DataFrame, registry: Registry, latest: bool = False, iso3=None, country=None,
-            entity_name=None, options: dict = None, kinds: dict = None) -> DataFrame:
+            entity_name=None, options: dict = None, kinds: dict = None, ignore_case: bool = False) -> DataFrame:
     """Build one dataset from its raw table, then filter it by entity.
 
-    ``kind`` is a name in ``KINDS`` (or ``kinds``) or any function ``(raw, registry) -> DataFrame``.
+    ``kind`` is a name in ``KINDS`` (or ``kinds``) or any function ``(raw, registry) -> DataFrame``. Entity filters reach
+    the raw table's scan as exact keys; ``ignore_case`` also keeps raw keys in another case, at the price of a full scan.
     """
     filters = entity_filters(iso3, country, entity_name)
     validate_filters(filters, registry)
@@ -109,9 +135,9 @@ def dataset(kind, raw: DataFrame, registry: Registry, latest: bool = False, iso3
         options["latest"] = bool(latest)
     elif latest:
         log.warning("latest does not apply to %s: the whole dataset is returned", kind)
-    if filters and spec.source_key:
+    if filters and spec.source_key and _has_field(raw, spec.source_key[0]):
         column, key = spec.source_key
-        raw = restrict_to_keys(raw, column, registry, filters, key, ignore_case=True)
+        raw = restrict_to_keys(raw, column, registry, filters, key, ignore_case)
     df = spec.build(raw, registry, **options)
     for column, values in filters.items():
         df = keep_values(df, column, values)
@@ -141,8 +167,8 @@ def to_unified(df: DataFrame, entry, as_of=None, kinds: dict = None) -> DataFram
     """One built dataset in indicator form, tagged with the dataset's name. Values are text, years INT."""
     df = (kinds or KINDS)[entry["kind"]].indicators(df, entry, as_of)
     df = conform(add_missing(df, ["description", "url"]), INDICATOR_COLUMNS, entry["name"])
-    return df.select(*[F.col(c).cast("int" if c == "year" else "string").alias(c) for c in INDICATOR_COLUMNS],
-                     F.lit(entry["name"]).alias("dataset"))
+    typed = [F.col(c).cast("int") if c == "year" else as_text(F.col(c), df.schema[c].dataType) for c in INDICATOR_COLUMNS]
+    return df.select(*[t.alias(c) for t, c in zip(typed, INDICATOR_COLUMNS)], F.lit(entry["name"]).alias("dataset"))
 
 
 def combine(unified, latest: bool = False, quantitative: bool = None, numeric: str = "digits",

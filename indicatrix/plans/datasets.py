@@ -11,7 +11,7 @@ from ..functions.values import (
 from ..operators.checks import (
     drop_empty_columns, drop_empty_rows, drop_null_keys, recode, require_equal)
 from ..operators.columns import drop_existing, drop_strict, index_first, quoted, rename, rename_strict
-from ..operators.latest import latest_indicators, latest_per_entity, with_latest_years
+from ..operators.latest import latest_indicators, latest_per_entity, latest_year_rows
 from ..operators.lists import enrich_list, resolve_id_text, resolve_list, split_and_clean
 from ..operators.registry import Registry, enrich, resolve_names
 from ..operators.reshape import expand_dict_columns, melt, transpose
@@ -59,12 +59,11 @@ DATABANK_LABELS = {
     "Year of latest strategic plan": "Year of latest strategic plan",
 }
 
-# Indicators whose value lists entity ids, one mistyped answer, ids that changed, an id to leave out.
+# Indicators whose value lists entity ids, one mistyped answer, ids that changed.
 ID_LIST_INDICATORS = ["supported1", "received_support1"]
 MISTYPED_ANSWER = ("One of our staff was sent for support to DRC-Congo on a surge",
                    "Red Cross of the Democratic Republic of the Congo")
 CHANGED_IDS = {"DCS001": "DRS001"}
-INVALID_IDS = ("DBE004",)
 
 # Document types and their published names.
 DOCUMENT_LABELS = {
@@ -127,20 +126,26 @@ NO_DATE = "0001-01-01T00:00:00Z"
 
 
 def databank(raw: DataFrame, registry: Registry, latest: bool = False, page_prefix: str = "", id_names=None,
-             invalid_ids=INVALID_IDS, changed_ids=None) -> DataFrame:
+             invalid_ids=None, changed_ids=None) -> DataFrame:
     """Databank indicators from (indicator, entity_id, year, value) rows.
 
-    ``page_prefix`` is put before the entity id to form the url. ``invalid_ids`` are tokens to leave out of id lists.
+    ``page_prefix`` is put before the entity id to form the url. ``invalid_ids`` are the tokens that this source's id lists
+    hold without meaning an entity; they must be given (an empty list if there are none). The latest-year rows are made
+    from the flag indicators alone, which reaches the scan; id lists are resolved once.
     """
+    if invalid_ids is None:
+        raise ValueError("databank needs invalid_ids: the tokens to leave out of id lists")
     df = drop_null_keys(raw, ["value", "year", "indicator"])
     df = df.withColumn("url", F.concat(F.lit(page_prefix), F.col("entity_id")))
+    flags = enrich(df.where(F.col("indicator").isin(list(LATEST_YEAR_LABELS))), registry, "entity_id", "entity_id")
+    flags = flags.drop("entity_id").withColumn("value", yes_no(F.col("value"), F.lit(True)))
+    years = latest_year_rows(flags, LATEST_YEAR_LABELS, ties=["url"])
     df = enrich(df, registry, "entity_id", "entity_id").drop("entity_id")
     df = df.replace({MISTYPED_ANSWER[0]: MISTYPED_ANSWER[1]}, subset=["value"])
     df = resolve_id_text(df, registry, "value", F.col("indicator").isin(ID_LIST_INDICATORS), id_names,
                          invalid_ids, CHANGED_IDS if changed_ids is None else changed_ids)
     df = df.withColumn("value", yes_no(F.col("value"), F.col("indicator").isin(list(LATEST_YEAR_LABELS))))
-    df = with_latest_years(df, LATEST_YEAR_LABELS, ties=["url"])
-    df = recode(df, "indicator", DATABANK_LABELS)
+    df = recode(df.unionByName(years), "indicator", DATABANK_LABELS)
     df = index_first(df, ["indicator", "value", "year", "url"])
     return latest_indicators(df) if latest else df
 
@@ -167,7 +172,7 @@ def contacts(raw: DataFrame, registry: Registry) -> DataFrame:
 def capacity_assessments(raw: DataFrame, registry: Registry, latest: bool = False, indicators=None) -> DataFrame:
     """Assessment sheet (``Code``, ``Name``, one column per assessment) to one row per assessment.
 
-    ``indicators`` fixes the result columns; without it they are read from the sheet.
+    ``indicators`` fixes the result columns; without it the sheet's row labels, which become columns, are read first.
     """
     df = rename(raw, {"Name": "indicator"})
     df = df.withColumn("indicator", strip(F.coalesce("indicator", "Code"))).drop("Code")
@@ -295,8 +300,9 @@ def youth_engagement(raw: DataFrame, registry: Registry) -> DataFrame:
 
 def evaluations(raw: DataFrame, registry: Registry) -> DataFrame:
     """Evaluations, which may cover many countries: the index columns are parallel lists."""
-    df = split_and_clean(raw, "country", COMMA_COUNTRY_NAMES, LOCATIONS_NOT_COUNTRIES)
-    df = resolve_list(df.where(F.col("country").isNotNull()), registry, "country", by="country")
+    # On the raw text, so that the filter does not repeat the list's steps; a text that is not null gives a list.
+    df = split_and_clean(raw.where(F.col("country").isNotNull()), "country", COMMA_COUNTRY_NAMES, LOCATIONS_NOT_COUNTRIES)
+    df = resolve_list(df, registry, "country", by="country")
     return index_first(enrich_list(df, registry, "country"))
 
 

@@ -6,10 +6,6 @@ from ..functions import html as H
 from ..functions.text import strip
 
 
-def _cell_text(row, label):
-    return H.text_of(H.labelled_cell(row, label))
-
-
 def _block_of(pages: DataFrame, tag: str, name: str, value: str) -> DataFrame:
     """Pages with their ``block`` column: the inner HTML of the wanted element, scripts and comments removed."""
     cleaned = pages.withColumn("__html", H.without_inert(F.col("html")))
@@ -17,20 +13,21 @@ def _block_of(pages: DataFrame, tag: str, name: str, value: str) -> DataFrame:
 
 
 def evaluation_listing(pages: DataFrame, home: str) -> DataFrame:
-    """Rows of the listing table: one per ``<tr>`` of a table of class views-table that has a Title cell."""
-    rows = _block_of(pages, "table", "class", "views-table").select(F.explode(H.table_rows(F.col("block"))).alias("row"))
-    rows = rows.withColumn("title_cell", H.labelled_cell(F.col("row"), "Title")).where("title_cell is not null")
-
-    def listed(label):
-        return F.transform(F.split(_cell_text(F.col("row"), label), ","), strip)
-    return rows.select(
-        _cell_text(F.col("row"), "Location").alias("country"),
-        H.text_of(F.col("title_cell")).alias("title"),
-        listed("Category").alias("categories"),
-        listed("Type").alias("evaluation_type"),
-        listed("Organization").alias("organization"),
-        _cell_text(F.col("row"), "Date").alias("date"),
-        _cell_text(F.col("row"), "Management response").alias("management_response"),
+    """Rows of the listing table: one per ``<tr>`` in the body of a table of class views-table. A row without a Title raises."""
+    body = H.first_element(F.col("block"), "tbody")
+    rows = _block_of(pages, "table", "class", "views-table").select(F.explode(H.table_rows(body)).alias("row"))
+    rows = H.with_cells(rows, "row").withColumn("title_cell", H.labelled_cell("Title"))
+    rows = rows.withColumn("title_cell", F.when(F.col("title_cell").isNull(), F.raise_error(F.concat(
+        F.lit("Listing row without a Title: "), F.substring("row", 1, 200)))).otherwise(F.col("title_cell")))
+    labels = {"country": "Location", "categories": "Category", "evaluation_type": "Type", "organization": "Organization",
+              "date": "Date", "management_response": "Management response"}
+    texts = rows.select("title_cell", *[H.text_of(H.labelled_cell(label)).alias(c) for c, label in labels.items()])
+
+    def listed(column):
+        return F.transform(F.split(column, ","), strip).alias(column)
+    return texts.select(
+        "country", H.text_of(F.col("title_cell")).alias("title"), *[listed(c) for c in ("categories", "evaluation_type", "organization")],
+        "date", "management_response",
         F.concat(F.lit(home), H.attribute(H.first_element(F.col("title_cell"), "a"), "href")).alias("url"))
 
 
@@ -51,9 +48,10 @@ def join_details(listing: DataFrame, details: DataFrame, how: str = "left", key:
 
 
 def presence_listing(pages: DataFrame) -> DataFrame:
-    """Items of the regional lists: name, link, presence (has a link), key operation (has that class)."""
-    lists = _block_of(pages, "div", "id", "blockRegionalList")
-    items = (lists.select(F.explode(H.elements(F.col("block"), "li")).alias("item"))
+    """Items of the regional lists (``ul`` of class list): name, link, presence (has a link), key operation (has that class)."""
+    block = _block_of(pages, "div", "id", "blockRegionalList")
+    lists = block.select(F.explode(H.elements(F.col("block"), "ul")).alias("list")).where(H.has_class(F.col("list"), "list"))
+    items = (lists.select(F.explode(H.elements(F.col("list"), "li")).alias("item"))
              .where(H.has_class(F.col("item"), "item")))
     items = items.withColumn("url", H.attribute(H.first_element(F.col("item"), "a"), "href"))
     return items.select(

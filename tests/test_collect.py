@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from indicatrix import dataset, datasets, indicators
 from indicatrix.operators.latest import repeated_keys
 from indicatrix.plans.catalogue import filter_catalogue, select_datasets
+from indicatrix.plans import collect
 from indicatrix.plans.collect import KINDS, Kind
 from indicatrix.schemas import CATALOGUE_SCHEMA, UNIFIED_COLUMNS, with_titles
 
@@ -129,3 +130,29 @@ def test_wrong_columns_are_named(spark, catalogue, raw):
     kinds = {**KINDS, "risk_index": Kind(lambda raw, reg: raw, False, lambda df, entry, as_of: df)}
     with pytest.raises(ValueError, match="Columns of Risk do not match. Extra columns"):
         indicators(catalogue, raw, registry(spark), names=["Risk"], kinds=kinds)
+
+
+@pytest.mark.parametrize("kind, ddl, row, key", [
+    ("documents", "entity_id string, name string, document_type string, year int, url string", ("DAL001", "n", "Our Emblem Law", 2020, "u"), "entity_id"),
+    ("contacts", "NSO_DON_name string, country string, iso_3 string, NSO_ZON_name string, cur_code string, url string, facebook string, "
+                 "twitter string, othersocial string", ("Albanian Red Cross", "Albania", "ALB", "Europe", "ALL", "u", "f", "t", "o"), "iso_3"),
+    ("operations", "name string, atype_display string, status_display string, num_beneficiaries int, amount_requested string, "
+                   "amount_funded string, start_date string, end_date string, dtype struct<name: string>, region struct<id: int>, "
+                   "country struct<name: string, society_name: string, iso3: string>",
+     ("o", "a", "Active", 1, "2", "1", None, None, ("flood",), (1,), ("Albania", "Albanian Red Cross", "ALB")), "country.iso3")])
+def test_entity_filters_reach_the_scan(spark, tmp_path, kind, ddl, row, key):
+    path = str(tmp_path / kind)
+    spark.createDataFrame([row], ddl).write.parquet(path)
+    out = collect.dataset(kind, spark.read.parquet(path), registry(spark), country=["Albania"])
+    scan = out._jdf.queryExecution().executedPlan().toString()
+    pushed = [line for line in scan.split("\n") if "PushedFilters" in line]
+    assert any(f"EqualTo({key}," in line or f"In({key}," in line for line in pushed), pushed
+    assert out.count() > 0
+    assert collect.dataset(kind, spark.read.parquet(path), registry(spark), country=["Afghanistan"]).count() == 0
+
+
+def test_unknown_entities_of_a_dataset(spark):
+    raw = spark.createDataFrame([("ALB",), ("QQQ",), ("QQQ",), (None,)], "iso3 string")
+    assert rows(collect.unknown_entities("corruption_perception", raw, registry(spark))) == [("QQQ", 2)]
+    with pytest.raises(ValueError):
+        collect.unknown_entities("evaluations", raw, registry(spark))

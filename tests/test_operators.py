@@ -208,3 +208,26 @@ def test_source_keys_reach_the_scan(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(code), EqualTo(code,DAL001)]" in kept._jdf.queryExecution().toString()
     large = registry(spark, max_rows=2)
     assert rows(X.restrict_to_keys(raw, "code", large, {"region": ["Europe"]})) == [("DAL001", 2)]
+
+
+def test_dictionary_text_keeps_what_strings_hold(spark):
+    cells = [{"name": "a, None, b", "x": None, "y": True, "n": 1}, {"name": "Yes, True, x", "x": "None", "y": False, "n": 2},
+             {"name": "a\xa0b\x07", "x": "it's", "y": None, "n": 3}, {"name": "q\"uo'te\\", "x": "\\xa0 raw", "y": True, "n": None},
+             {"name": "[None]", "x": "{True: False}", "y": False, "n": 4}, {"name": "x, None " * 3000, "x": "é☃", "y": True, "n": 5},
+             {"name": "line\nbreak\ttab", "x": "Nonesuch", "y": True, "n": 6}]
+    df = spark.createDataFrame([(k, str(c)) for k, c in enumerate(cells)], "id int, d string")
+    out = S.parse_dict(df, "d", "name string, x string, y boolean, n int", "python").orderBy("id").collect()
+    assert [r.d.asDict() for r in out] == cells
+
+
+def test_numbers_become_text_without_an_exponent(spark):
+    from indicatrix.functions.values import as_text
+    df = spark.createDataFrame([(38041754.0,), (19291104008.0,), (0.5,), (1e-5,), (-12345678.9,), (1e300,), (None,), (3.0,)], "v double")
+    got = [r[0] for r in df.select(as_text(F.col("v"), df.schema["v"].dataType)).collect()]
+    assert got == ["38041754.0", "19291104008.0", "0.5", "0.00001", "-12345678.9", "1.0E300", None, "3.0"]
+
+
+def test_transpose_as_rows(spark):
+    df = spark.createDataFrame([("a", "1", "2"), ("b", None, "3"), (None, "x", "y"), ("a", "9", "9")], "l string, p string, q string")
+    assert rows(S.transpose_long(df, "l", column_name="c")) == [
+        ("p", "a", "1"), ("p", "b", None), ("q", "a", "2"), ("q", "b", "3")]

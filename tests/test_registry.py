@@ -13,7 +13,7 @@ def reg(spark, request):
 
 
 def test_measured_bounds(spark):
-    assert registry(spark).broadcastable and registry(spark).unique_keys
+    assert registry(spark).broadcastable and registry(spark).fits_map
     big = registry(spark, max_rows=2)
     assert not big.broadcastable and not big.fits_map
     assert not registry(spark, max_map_keys=3).fits_map
@@ -64,14 +64,49 @@ def test_one_join_for_all_attributes(spark):
     assert plan.count("BroadcastHashJoin") == 1
 
 
-def test_duplicate_keys_do_not_multiply_rows(spark):
+REPEATED = [("A Society", "Aland", "AAA", "A1", "R", "1", ["Shared Name"], ["Old Land"]),
+            ("B Society", "aland", "BBB", "B1", "R", "2", ["shared name"], []),
+            ("C Society", "Cland", "CCC", "C1", "S", "3", [], ["Sea"]), ("C Society", "Cland", "CCC", "C1", "S", "3", [], ["Coast"])]
+
+
+@pytest.mark.parametrize("bounds", [{}, {"max_rows": 0}, {"max_map_keys": 0}, {"max_bytes": 0}])
+def test_repeated_rows_and_shared_keys_give_one_row(spark, bounds):
+    """On every lookup path: broadcast, shuffled, in the row, and joined lists."""
+    from indicatrix import load_registry
+    from indicatrix.schemas import REGISTRY_SCHEMA
+    reg = load_registry(spark.createDataFrame(REPEATED * 2, REGISTRY_SCHEMA), **bounds)
+    df = spark.createDataFrame([("Aland",), ("cland",), (None,), (None,)], "c string")
+    assert rows(R.lookup(df, reg, "c", "country", "iso3")) == [("Aland", "BBB"), ("cland", "CCC"), (None, None), (None, None)]
+    names = spark.createDataFrame([("shared name",), ("C society",), (None,)], "c string")
+    assert rows(R.resolve_names(names, reg, "c")) == [("B Society",), ("C Society",), (None,)]
+    places = spark.createDataFrame([(["sea", "coast", "Aland", "sea"],), ([],), (None,)], "c array<string>")
+    assert rows(L.resolve_list(places, reg, "c")) == [(None,), (["Cland", "Cland", "aland", "Cland"],), ([],)]
+    found = L.enrich_list(L.resolve_list(places, reg, "c"), reg, "c", targets=("iso3",))
+    assert rows(found, "iso3") == [(None,), (["CCC", "CCC", "BBB", "CCC"],), ([],)]
+    ids = spark.createDataFrame([("1, sea;3",)], "v string")
+    assert rows(L.resolve_id_text(ids, reg, "v")) == [("A Society, C Society, C Society",)]
+    assert rows(R.resolve_ids(ids.replace("1, sea;3", "coast"), reg, "v", "n"), "n") == [("C Society",)]
+
+
+def test_the_whole_build_side_is_measured(spark):
     from indicatrix import load_registry
     from indicatrix.schemas import REGISTRY_SCHEMA
-    twice = [("A Society", "Aland", "AAA", None, "R", "1", [], []), ("B Society", "aland", "BBB", None, "R", "2", [], [])]
-    reg = load_registry(spark.createDataFrame(twice, REGISTRY_SCHEMA))
-    assert not reg.unique_keys
-    df = spark.createDataFrame([("Aland",)], "c string")
-    assert rows(R.lookup(df, reg, "c", "country", "iso3")) == [("Aland", "BBB")]
+    wide = [("S", "C", "AAA", "A1", "long " * 100, "1", [f"alias {k}" for k in range(50)], [])]
+    df = spark.createDataFrame(wide, REGISTRY_SCHEMA)
+    assert not load_registry(df, max_bytes=20_000).broadcastable  # 56 names, each with the region's 500 bytes
+    assert load_registry(df, max_bytes=40_000).broadcastable
+
+
+def test_ids_of_a_user_are_never_forced_into_a_broadcast(spark):
+    ids = spark.range(10).selectExpr("concat('X', id) entity_id", "concat('Name ', id) name")
+    df = spark.createDataFrame([("X3",), ("afghanistan",), ("zz",)], "v string")
+    out = R.resolve_ids(df, registry(spark), "v", "n", ids)
+    assert rows(out, "n") == [("DAF001",), ("Name 3",), ("zz",)]
+    text = L.resolve_id_text(spark.createDataFrame([("X3;X4",)], "v string"), registry(spark), "v", id_names=ids)
+    assert rows(text) == [("Name 3, Name 4",)]
+    for plan in (out, text):
+        logical = plan._jdf.queryExecution().analyzed().toString()
+        assert "strategy=broadcast" not in logical
 
 
 def test_map_ids_both_ways(spark):

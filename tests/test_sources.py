@@ -134,3 +134,39 @@ def test_presence_and_law_pages(spark):
     details = html_column(spark, """<p>no</p><div class="field--name-field-paragraphs"><div><p>a</p></div><p>b</p></div><p>no</p>""")
     assert rows(W.law_descriptions(details)) == [("u", "a\nb")]
     assert rows(W.law_descriptions(html_column(spark, "<p>no</p>"))) == [("u", None)]
+
+
+def test_character_references(spark):
+    from html import unescape
+    from indicatrix.functions import html as H
+    texts = ["&uuml;&euro;&ntilde; a", "&copy 2020 &copyright", "&amp;lt; &#38;lt; &#x41&#66;", "&nothing; & &; &&amp;", "plain",
+             "&NotEqualTilde;&hellip;&AMP;", "R&D &lt", "&#8364;5 &#128512;"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(H.unescape(F.col("t"))).collect()] == [unescape(t) for t in texts]
+
+
+def test_listing_scope(spark):
+    from indicatrix.sources import pages as W
+    row = "<tr><td data-label='Title'><a href='/e'>&Uuml;ber</a></td><td data-label='Location'>A</td></tr>"
+    def page(inner):
+        return spark.createDataFrame([(f"<table class='views-table'><thead>{row}</thead>{inner}</table>",)], "html string")
+    got = W.evaluation_listing(page(f"<tbody>{row}</tbody>"), "h").collect()
+    assert [(r.title, r.country, r.url) for r in got] == [("Über", "A", "h/e")]
+    with pytest.raises(Exception, match="without a Title"):
+        W.evaluation_listing(page("<tbody><tr><td data-label='Location'>A</td></tr></tbody>"), "h").collect()
+    lists = "<div id='blockRegionalList'><ul class='list x'><li class='item'>In</li></ul><ul><li class='item'>Out</li></ul></div>"
+    assert [r.country for r in W.presence_listing(spark.createDataFrame([(lists,)], "html string")).collect()] == ["In"]
+
+
+def test_paragraphs_keep_their_blanks(spark):
+    from indicatrix.functions import html as H
+    df = spark.createDataFrame([("<p> a <b>b</b> </p><p>c",)], "h string")
+    assert df.select(H.paragraphs(F.col("h"))).first()[0] == [" a b ", "c"]
+
+
+def test_evaluation_chain_stands_once_in_the_plan(spark):
+    from fixtures import registry
+    from indicatrix.plans import datasets as D
+    raw = spark.createDataFrame([("Albania, Global", "t")], "country string, title string")
+    plan = D.evaluations(raw, registry(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Palestinian Territory") <= 1
