@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import parts_for, stored
 
-BLOCK, PART = 1_000_000, 3_000_000
+BLOCK, PART = 1_000_000, 1_500_000
 CUTOFF = 5  # counts above it are not discounted
 #: The first word of a text follows this; it is no word and is never predicted.
 BEGIN = (1 << 62) - 1
@@ -88,20 +88,22 @@ def _discounted(counts: np.ndarray, ratios: np.ndarray) -> np.ndarray:
 
 
 def _blocks(n_parts: int, size: int):
-    """Blocks of texts: a row with the tokens (places in the block's sorted words), and a row per part with the words' hashes."""
+    """Blocks of texts: a row with the tokens (words by rank in the block, and each rank's place among the words asked for),
+    and a row per part with the words' hashes and counts."""
     def rows(block: int, docs: list, held: list, lengths: list, tokens: list, words: dict) -> list[tuple]:
         hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
         part = (hashes % np.uint64(n_parts)).astype(np.int64)
-        order = np.lexsort((hashes, part))
-        place = np.empty(len(order), np.uint32)
-        place[order] = np.arange(len(order), dtype=np.uint32)
-        flat = place[np.concatenate(tokens)]
+        order = np.lexsort((hashes, part))  # as the words are asked for
+        flat = np.concatenate(tokens)
         trained = np.repeat(~np.array(held, bool), lengths)
         counts = np.bincount(flat[trained], minlength=len(order)).astype(np.uint32)
+        often = np.argsort(-np.bincount(flat, minlength=len(order)), kind="stable")  # small numbers for frequent words
+        rank, place = np.empty(len(order), np.uint32), np.empty(len(order), np.uint32)
+        rank[often] = place[order] = np.arange(len(order), dtype=np.uint32)
         ends = np.searchsorted(part[order], np.arange(n_parts + 1))
-        out = [(block, -1, len(flat), docs, _squeeze(flat), _squeeze(np.array(lengths, np.uint32)),
-                _squeeze(np.array(held, np.uint8)), _squeeze(np.diff(ends).astype(np.uint32)))]
-        hashes = hashes[order]
+        out = [(block, -1, len(flat), docs, _squeeze(rank[flat]), _squeeze(np.array(lengths, np.uint32)),
+                _squeeze(np.array(held, np.uint8)), _squeeze(place[often]))]
+        hashes, counts = hashes[order], counts[order]
         out += [(block, p, int(e - s), None, _squeeze(hashes[s:e]), _squeeze(counts[s:e]), None, None)
                 for p, (s, e) in enumerate(itertools.pairwise(ends.tolist())) if e > s]
         return out
@@ -138,7 +140,9 @@ def _word_table(n_parts: int, cutoff: int):
         words, place = np.unique(np.concatenate(hashes), return_inverse=True)
         counts = np.bincount(place, np.concatenate([_expand(r["b"], np.uint32) for r in rows]), len(words)).astype(np.int64)
         known = counts > 0
-        numbers = np.where(known, (np.cumsum(known) - 1) * n_parts + part + 1, 0)
+        rank = np.empty(len(words), np.int64)
+        rank[np.argsort(-counts, kind="stable")] = np.arange(len(words))  # small numbers for frequent words: they pack better
+        numbers = np.where(known, rank * n_parts + part + 1, 0)
         out, at = [], 0
         for r, h in zip(rows, hashes, strict=True):
             own = place[at:at + len(h)]
@@ -187,6 +191,8 @@ def _bigrams(words: Words, n_parts: int, n_trained: int):
         tokens, lengths = _expand(own["a"], np.uint32), _expand(own["b"], np.uint32).astype(np.int64)
         held, n_docs = _expand(own["c"], np.uint8).astype(np.int64), len(lengths)
         doc, starts = np.repeat(np.arange(n_docs), lengths), np.cumsum(lengths) - lengths
+        place = _expand(own["d"], np.uint32)
+        numbers, counts = numbers[place], counts[place]
         second, second_count = numbers[tokens], counts[tokens]
         first, first_count = np.r_[0, second[:-1]], np.r_[0, second_count[:-1]]
         first[starts], first_count[starts] = BEGIN, n_trained
