@@ -27,7 +27,7 @@ from .common import stored
 
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.9999
 #: Members of a bucket that is compared pair by pair; members of a block in larger ones; meetings a similar pair has at least.
-SMALL, BLOCK, MEETINGS = 24, 2048, 4
+SMALL, BLOCK, MEETINGS = 64, 1536, 6
 #: Representatives that are sent to every task to fetch their sets (8 bytes each); with more, a join fetches them.
 SENT = 500_000
 CHUNK = 4_000_000
@@ -143,16 +143,18 @@ def _compare(similarity: float):
         counted = linked & (_common([np.array(x, np.int64) for x in rows["small"]]) < MEETINGS)
         here = rows["key"][0]
         counted &= _common([(x := np.array(y, np.int64))[x < here] for y in rows["leaves"]]) == 0
-        root = np.arange(len(n))
+        root = np.arange(len(n), dtype=np.int32)
         while True:
-            near = np.where(linked, root[None, :], len(n)).min(1)
+            near = np.where(counted, root[None, :], np.int32(len(n))).min(1)
             new = np.minimum(root, near)
             new = new[new]
             if (new == root).all():
                 break
             root = new
-        reps = np.array(rows["rep"])
-        return pa.table({"rep": reps, "links": (counted @ copies).round().astype(np.int64), "root": reps[root]})
+        one, other = np.nonzero(counted)  # every link counts in one place, which also joins its ends
+        links = np.bincount(one, copies[other], len(n)).round().astype(np.int64)
+        some, reps = np.unique(one), np.array(rows["rep"], np.int64)
+        return pa.table({"rep": reps[some], "links": links[some], "root": reps[root[some]]})
     return run
 
 
@@ -171,7 +173,7 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     place, owner = column[place[use]], owner[use]
     order = np.argsort(place, kind="stable")
     place, owner = place[order], owner[order]
-    width = 4096
+    width = 2048
     for start in range(0, int(often.sum()), width):
         lo, hi = np.searchsorted(place, [start, start + width])
         part = np.zeros((n, width), np.float32)
