@@ -271,21 +271,22 @@ def near_classes(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
                                                 F.collect_list(F.when(~is_small, F.col("key"))).alias("large"))
                      .where(F.size("large") > 0), "crowded")
 
-    wanted = (hits.select(F.col("a").alias("rep")).union(hits.select("b")).union(crowded.select("rep")).distinct()
+    wanted = (hits.select(F.col("a").alias("rep"), F.lit(1).alias("paired")).union(hits.select("b", F.lit(1)))
+              .union(crowded.select("rep", F.lit(0))).groupBy("rep").agg(F.max("paired").alias("paired"))
               .join(reps.select("rep", "carrier", "copies"), "rep"))
-    wanted = stored(wanted.select(F.col("rep").alias("of"), "carrier", "copies"), "wanted")
+    wanted = stored(wanted.select(F.col("rep").alias("of"), "carrier", "copies", "paired"), "wanted")
     few = wanted.count() <= SENT
     sets = stored(rows.select("place", "rep", "n", "set").join(F.broadcast(wanted) if few else wanted,
                                                               F.col("place") == F.col("carrier"))
-                  .select("rep", "n", "set", "copies"), "sets")
+                  .select("rep", "n", "set", "copies", "paired"), "sets")
 
     def side(name: str) -> DataFrame:
-        return sets.select(F.col("rep").alias(name), F.col("set").alias(f"set_{name}"), F.col("copies").alias(f"copies_{name}"))
+        return sets.where("paired = 1").select(F.col("rep").alias(name), F.col("set").alias(f"set_{name}"), F.col("copies").alias(f"copies_{name}"))
 
     linked = stored(hits.join(side("a"), "a").join(side("b"), "b").select("a", "b", "copies_a", "copies_b", "set_a", "set_b")
                     .mapInArrow(_pair_links(similarity), "a long, b long, copies_a long, copies_b long"), "similar")
 
-    members = stored(crowded.join(sets, "rep"), "members")
+    members = stored(crowded.join(sets.drop("paired"), "rep"), "members")
     paths = members.select("rep", "large", "set").mapInArrow(_next_paths(similarity), "rep long, key long")
     paths = stored(paths, "paths")
     leaves = paths.join(paths.groupBy("key").agg(F.count(F.lit(1)).alias("in_leaf")).where("in_leaf > 1"), "key")
