@@ -1,18 +1,20 @@
-"""Katz backoff language model of bigrams: counted over all training texts, evaluated on every text.
-
-Texts become blocks of about a million tokens, each with its distinct words. Two exchanges follow, both of packed arrays:
-
-1. Every block sends its words (hash and count in training texts) to the partition of the word table that the hash names;
-   the table adds them up and answers with each word's number and count, in the order it was asked.
-2. Every block sends its bigrams, with the count of the second word and the document, to the partition of the bigram table
-   that the first word names. A first word with more than a partition's share of all tokens is spread over several
-   partitions by the second word; what belongs together of it is a few sums per partition.
-
-The bigram table is partitioned once and read twice: for its counts of counts, which give the Good-Turing discounts, and for
-the probabilities. A bigram that was seen has its discounted relative frequency; any other has the first word's backoff
-weight times the second word's own probability, where unknown words are one more word that holds the mass discounted from
-single words. Backoff weights are what normalises each distribution: (1 - seen mass) / (1 - own mass of the seen words).
-A partition returns one number per document and block, and those are added up.
+"""Katz backoff language model: n-grams counted over all training texts, evaluated recursively on every text.
+
+Texts become blocks of about a million tokens, each with its distinct words. Every block sends its words (hash and count in
+training texts) to the partition of the word table that the hash names; the table adds them up and answers with each word's
+number and count, in the order it was asked.
+
+Each order from two on is then one exchange of packed arrays. A block sends its distinct n-grams, each once with its count in
+the block's training texts, to the partition of that order's count table that the context (all words but the last) names. An
+n-gram thus arrives at most once per block, however often it occurs. A context with more than a partition's share of all
+tokens is spread over several partitions by the last word; what belongs together of it is a few sums per partition. The
+partition adds the counts up and answers, in the order asked, with each n-gram's count and, per context, what its backoff
+weight needs; answers are stored, and the counts of counts, which give the Good-Turing discounts, are added up.
+
+An n-gram that was seen has its discounted relative frequency; any other has the context's backoff weight times the
+probability that the next lower order gives, down to single words, where unknown words are one more word that holds the mass
+discounted from single words. Backoff weights are what normalises each distribution: (1 - seen mass) / (1 - lower-order mass
+of the seen words). After a context that training never had, the lower order counts alone.
 """
 
 from __future__ import annotations
@@ -32,13 +34,13 @@ from .common import parts_for, stored
 
 BLOCK, PART = 1_000_000, 1_500_000
 CUTOFF = 5  # counts above it are not discounted
-#: The first word of a text follows this; it is no word and is never predicted.
-BEGIN = (1 << 62) - 1
+#: The first word of a text follows this; it is no word and is never predicted. Unknown words, 0 too, are in no context asked for.
+BEGIN = 0
 END = b" "  # no word holds a space
 
-_SCHEMA = ("block long, part int, n long, docs array<long>, a binary, b binary, c binary, d binary")
-_NAMES = ["block", "part", "n", "docs", "a", "b", "c", "d"]
-_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4]
+_SCHEMA = ("block long, kind int, part int, n long, docs array<long>, a binary, b binary, c binary, d binary")
+_NAMES = ["block", "kind", "part", "n", "docs", "a", "b", "c", "d"]
+_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4]
 
 
 def _squeeze(values: np.ndarray) -> bytes:
@@ -101,10 +103,10 @@ def _blocks(n_parts: int, size: int):
         rank, place = np.empty(len(order), np.uint32), np.empty(len(order), np.uint32)
         rank[often] = place[order] = np.arange(len(order), dtype=np.uint32)
         ends = np.searchsorted(part[order], np.arange(n_parts + 1))
-        out = [(block, -1, len(flat), docs, _squeeze(rank[flat]), _squeeze(np.array(lengths, np.uint32)),
+        out = [(block, 0, -1, len(flat), docs, _squeeze(rank[flat]), _squeeze(np.array(lengths, np.uint32)),
                 _squeeze(np.array(held, np.uint8)), _squeeze(place[often]))]
         hashes, counts = hashes[order], counts[order]
-        out += [(block, p, int(e - s), None, _squeeze(hashes[s:e]), _squeeze(counts[s:e]), None, None)
+        out += [(block, 0, p, int(e - s), None, _squeeze(hashes[s:e]), _squeeze(counts[s:e]), None, None)
                 for p, (s, e) in enumerate(itertools.pairwise(ends.tolist())) if e > s]
         return out
 
@@ -147,9 +149,9 @@ def _word_table(n_parts: int, cutoff: int):
         for r, h in zip(rows, hashes, strict=True):
             own = place[at:at + len(h)]
             at += len(h)
-            out.append((r["block"], part, len(h), None, _squeeze(numbers[own]), _squeeze(counts[own]), None, None))
+            out.append((r["block"], 1, part, len(h), None, _squeeze(numbers[own]), _squeeze(counts[own]), None, None))
         totals = np.r_[known.sum(), counts.sum(), np.bincount(np.minimum(counts[known], cutoff + 2), minlength=cutoff + 3)[1:cutoff + 2]]
-        out.append((-1, part, 0, totals.tolist(), None, None, None, None))
+        out.append((-1, 1, part, 0, totals.tolist(), None, None, None, None))
         return pa.Table.from_batches([_batch(out)])
     return run
 
@@ -177,140 +179,193 @@ class Words:
 
 
 def _spread(count: np.ndarray, n_parts: int, n_tokens: int) -> np.ndarray:
-    """Over how many parts a first word of this count is spread."""
+    """Over how many parts a context of this count is spread."""
     return np.maximum(1, -(-count * n_parts // max(1, n_tokens)))
 
 
-def _bigrams(words: Words, n_parts: int, n_trained: int):
-    """A block's documents (part of its number, kind d set) and its bigrams per part: first, second, count of second, document."""
-    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
-        (own,) = block.to_pylist()
-        found = sorted(answers.select(["part", "a", "b"]).to_pylist(), key=lambda r: r["part"])
-        numbers = np.concatenate([_expand(r["a"], np.int64) for r in found])
-        counts = np.concatenate([_expand(r["b"], np.int64) for r in found])
-        tokens, lengths = _expand(own["a"], np.uint32), _expand(own["b"], np.uint32).astype(np.int64)
-        held, n_docs = _expand(own["c"], np.uint8).astype(np.int64), len(lengths)
-        doc, starts = np.repeat(np.arange(n_docs), lengths), np.cumsum(lengths) - lengths
-        place = _expand(own["d"], np.uint32)
+class Order:
+    """What all blocks need of an order's count table: discounts, and the sums of contexts that several parts share."""
+
+    def __init__(self, rows: list):
+        n_r = np.sum([r.docs for r in rows], axis=0) if rows else np.zeros(CUTOFF + 1)
+        self.ratios, self.spread = discounts(n_r), {}
+        for r in rows:
+            own = _expand(r.c, np.float64)
+            if not len(own):
+                continue
+            contexts, low = (_expand(x, np.int64).reshape(len(own), -1) for x in (r.a, r.b))
+            for key, values in zip(map(tuple, contexts.tolist()), np.c_[low, own], strict=True):
+                self.spread[key] = self.spread.get(key, 0) + values
+        #: taken from a context's total per n-gram counted 1, 2, ..., and the same as bits
+        self.lost = np.arange(1, CUTOFF + 1) * (1 - self.ratios[1:CUTOFF + 1])
+        self.bits = _bits(self.lost)
+
+
+def _bits(low: np.ndarray) -> np.ndarray:
+    """Which of the counts 1 to CUTOFF there are, one bit each."""
+    return ((low > 0) @ (1 << np.arange(CUTOFF))).astype(np.uint8)
+
+
+class _Block:
+    """A block's tokens. Of each: the n-gram of the order reached that ends there, its count in training, its log10 probability."""
+
+    def __init__(self, rows: pa.Table, words: Words, n_parts: int, n_trained: int):
+        self.answers = defaultdict(list)
+        for r in sorted(rows.to_pylist(), key=lambda r: r["part"]):
+            self.answers[r["kind"]].append(r)
+        (own,) = self.answers[0]
+        numbers = np.concatenate([_expand(r["a"], np.int64) for r in self.answers[1]])
+        counts = np.concatenate([_expand(r["b"], np.int64) for r in self.answers[1]])
+        tokens, place = _expand(own["a"], np.uint32).astype(np.int64), _expand(own["d"], np.uint32)
         numbers, counts = numbers[place], counts[place]
-        second, second_count = numbers[tokens], counts[tokens]
-        first, first_count = np.r_[0, second[:-1]], np.r_[0, second_count[:-1]]
-        first[starts], first_count[starts] = BEGIN, n_trained
-
-        base = np.bincount(doc, words.base(counts)[tokens], n_docs)
-        known = np.bincount(doc, second_count > 0, n_docs).astype(np.int64)
-        alone = first_count == 0  # after a word that training never had, the word's own probability counts
-        score = np.bincount(doc[alone], np.log10(words.probability(second_count[alone])), n_docs)
-        out = [(own["block"], own["block"] % n_parts, -1, own["docs"], _squeeze(lengths), _squeeze(known), _squeeze(base),
-                _squeeze(score))]
-
-        first, second, second_count, first_count, doc = (x[~alone] for x in (first, second, second_count, first_count, doc))
-        over = _spread(first_count, n_parts, words.n_tokens)
-        salt = _mix(second) % over.astype(np.uint64)
-        part = (_mix(first.astype(np.uint64) + salt * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(n_parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        ends = np.searchsorted(part[order], np.arange(n_parts + 1))
-        for p in range(n_parts):
-            at = order[ends[p]:ends[p + 1]]
-            if len(at):
-                many = np.unique(first[at][over[at] > 1])
-                out.append((own["block"], p, len(at), many.tolist(), _squeeze(first[at]), _squeeze(second[at]),
-                            _squeeze(second_count[at]), _squeeze(np.diff(doc[at] * 2 + held[doc[at]], prepend=0))))
-        return pa.Table.from_batches([_batch(out)])
-    return run
-
-
-class _Part:
-    """One part of the bigram table: its distinct bigrams and their counts in training texts, grouped by first word."""
-
-    def __init__(self, rows: list[dict]):
-        self.rows = rows
-        first, second, self.second_count, marked = (
-            np.concatenate([_expand(r[k], np.int64) for r in rows]) if k != "d" else
-            np.concatenate([np.cumsum(_expand(r["d"], np.int64)) for r in rows]) for k in "abcd")
-        self.doc, trained = marked >> 1, (marked & 1) == 0
-        order = np.lexsort((second, first))
-        one, two = first[order], second[order]
-        new = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
-        starts = np.flatnonzero(new)
-        self.place = np.empty(len(order), np.int64)  # of each bigram's occurrence in the distinct ones
-        self.place[order] = np.cumsum(new) - 1
-        self.count = np.add.reduceat(trained[order].astype(np.int64), starts)
-        self.of_second = self.second_count[order][starts]
-        own = one[starts]
-        new = np.r_[True, own[1:] != own[:-1]]
-        self.first, self.starts, self.group = own[new], np.flatnonzero(new), np.cumsum(new) - 1
-        self.spread = np.unique(np.concatenate([np.array(r["docs"], np.int64) for r in rows]))
+        self.block, self.docs, self.lengths = own["block"], own["docs"], _expand(own["b"], np.uint32).astype(np.int64)
+        self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        self.at = np.arange(len(tokens)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)  # in the text
+        self.trained = ~_expand(own["c"], np.uint8).astype(bool)[self.doc]
+        self.number, self.count = numbers[tokens], counts[tokens]
+        self.known = self.sums(self.count > 0).astype(np.int64)
+        self.base = self.sums(words.base(counts)[tokens])
+        self.log = np.log10(words.probability(self.count))
+        self.total = np.full(len(tokens), words.total)  # what the discounted count was divided by
+        self.word = self.gram = np.where(self.count > 0, tokens, len(numbers))
+        self.size = len(numbers) + 2
+        self.n_parts, self.n_tokens, self.n_trained = n_parts, words.n_tokens, n_trained
 
     def sums(self, values: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(values, self.starts)
-
-
-def _part_totals(words: Words):
-    """Counts of counts of one part, and the sums of the first words that other parts share: total, counts of counts, own mass."""
-    def run(rows: Iterator) -> Iterator[tuple]:
-        rows = [r for _, r in rows if r["n"] >= 0]
-        if not rows:
-            return
-        part = _Part(rows)
-        seen = part.count > 0
-        n_r = np.bincount(np.minimum(part.count, CUTOFF + 2), minlength=CUTOFF + 3)[1:CUTOFF + 2]
-        by = [part.sums(part.count), *[part.sums((part.count == r).astype(np.int64)) for r in range(1, CUTOFF + 1)],
-              part.sums(np.where(seen, words.probability(part.of_second), 0.0))]
-        at = np.flatnonzero(np.isin(part.first, part.spread))
-        yield n_r, {int(part.first[k]): np.array([x[k] for x in by], float) for k in at.tolist()}
+        return np.bincount(self.doc, values, len(self.lengths))
+
+    def distinct(self, order: int) -> None:
+        """Finds the distinct n-grams after contexts that training had, by part and, within one, by context (a run)."""
+        before, count = np.r_[0, self.gram[:-1]], np.r_[0, self.count[:-1]]
+        start = self.at == 0
+        before[start], count[start] = self.size - 1, self.n_trained if order == 2 else 0
+        self.asked = np.flatnonzero(count > 0)
+        grams, one, self.inverse = np.unique(before[self.asked] * self.size + self.word[self.asked], return_index=True,
+                                             return_inverse=True)
+        one = self.asked[one]
+        over = _spread(count[one], self.n_parts, self.n_tokens)
+        contexts = np.array([np.where(self.at[one] >= k, self.number[one - k], BEGIN) for k in range(order - 1, 0, -1)])
+        hashes = _mix(self.number[one]) % over.astype(np.uint64)  # the last word's share of a context that is spread
+        for c in contexts.astype(np.uint64):
+            hashes = _mix(hashes * np.uint64(0x9E3779B97F4A7C15) + c)
+        part = (hashes % np.uint64(self.n_parts)).astype(np.uint16 if self.n_parts < 1 << 16 else np.int64)
+        self.sort = np.argsort(part, kind="stable")
+        self.part, self.one, context = part[self.sort], one[self.sort], (grams // self.size)[self.sort]
+        new = np.ones(len(one), bool)
+        new[1:] = (context[1:] != context[:-1]) | (self.part[1:] != self.part[:-1])
+        self.runs, self.run = np.flatnonzero(new), np.cumsum(new) - 1
+        self.over, self.contexts = over[self.sort][self.runs], contexts[:, self.sort[self.runs]]
+        self.context_count = count[self.one[self.runs]]
+
+    def asks(self, order: int) -> list[tuple]:
+        """A row per part: its contexts, the n-grams of each, their last words; counts in the block, of the lower order, its totals."""
+        self.distinct(order)
+        counts = np.bincount(self.inverse, self.trained[self.asked], len(self.one)).astype(np.int64)[self.sort]
+        lower, words = np.where(counts > 0, self.count[self.one], 0), self.number[self.one]
+        totals, sizes = self.total[self.one[self.runs]].astype(np.int64), np.diff(np.r_[self.runs, len(self.one)])
+        parts = np.flatnonzero(np.r_[True, self.part[1:] != self.part[:-1]]) if len(self.one) else []
+        ends, out = np.r_[parts, len(self.one)].astype(np.int64), []
+        for s, e in itertools.pairwise(ends.tolist()):
+            u, v = np.searchsorted(self.runs, (s, e)).tolist()
+            contexts = self.contexts[:, u:v].copy()
+            contexts[0] = np.diff(contexts[0], prepend=0)
+            out.append((self.block, order, int(self.part[s]), e - s, np.flatnonzero(self.over[u:v] > 1).tolist(),
+                        _squeeze(contexts.ravel()), _squeeze(sizes[u:v]), _squeeze(words[s:e]),
+                        _squeeze(np.r_[counts[s:e], lower[s:e], totals[u:v]])))
+        return out
+
+    def climb(self, order: int, table: Order) -> None:
+        """One order further, with the answers of its count table."""
+        self.distinct(order)
+        size, rows = len(self.log), self.answers[order]
+        gram, of_gram, total = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)
+        if rows:
+            counts, bits = (np.concatenate([_expand(r[k], t) for r in rows]) for k, t in (("a", np.int64), ("b", np.uint8)))
+            needed = np.logical_or.reduceat(counts == 0, self.runs)
+            low, own = np.zeros((len(needed), CUTOFF)), np.zeros(len(needed))
+            low[needed] = np.concatenate([_expand(r["c"], np.int64) for r in rows]).reshape(-1, CUTOFF)
+            own[needed] = np.concatenate([_expand(r["d"], np.float64) for r in rows])
+            for k in np.flatnonzero(self.over > 1).tolist():
+                sums = table.spread[tuple(self.contexts[:, k].tolist())]
+                low[k], own[k], bits[k] = sums[:-1], sums[-1], _bits(sums[:-1])
+            nothing = (bits & table.bits) == 0  # nothing was discounted: one count more is left for the unseen
+            totals = (self.context_count + nothing).astype(float)
+            weight = np.where(needed, np.where(nothing, 1.0, low @ table.lost) / totals / (1 - own), 1.0)
+            kept = np.where(counts > 0, _discounted(counts, table.ratios) / totals[self.run], weight[self.run])
+            back = np.empty(len(counts), np.int64)
+            back[self.sort] = np.arange(len(counts))
+            back = back[self.inverse]
+            gram[self.asked], of_gram[self.asked], total[self.asked] = self.inverse, counts[back], totals[self.run][back]
+            self.log[self.asked] = np.log10(kept)[back] + np.where(counts[back] > 0, 0, self.log[self.asked])
+        self.gram, self.count, self.total = gram, of_gram, total
+
+
+def _count_table(order: int, ratios: np.ndarray):
+    """One part of an order's count table: answers to its blocks in the order asked, and a row of totals (block -1).
+
+    ``ratios`` are the discounts of the order below, which the mass of a context's seen words there needs.
+    """
+    def run(asked: pa.Table) -> pa.Table:
+        rows = asked.to_pylist()
+        contexts = [_expand(r["a"], np.int64).reshape(order - 1, -1) for r in rows]
+        for c in contexts:
+            c[0] = np.cumsum(c[0])
+        n_runs = [c.shape[1] for c in contexts]
+        contexts = np.concatenate(contexts, 1)
+        sort = np.lexsort(contexts[::-1])
+        new = np.r_[True, (contexts[:, sort[1:]] != contexts[:, sort[:-1]]).any(0)]
+        context = np.empty(len(sort), np.int64)  # each run's, numbered
+        context[sort] = np.cumsum(new) - 1
+        n, contexts = int(new.sum()), contexts[:, sort[new]]
+        sizes = np.concatenate([_expand(r["b"], np.int64) for r in rows])
+        words = np.concatenate([_expand(r["c"], np.int64) for r in rows])
+        trained, lower, totals = (np.concatenate(x) for x in zip(*(
+            np.split(_expand(r["d"], np.int64), [r["n"], 2 * r["n"]]) for r in rows), strict=True))
+        sort = np.lexsort((words, of := np.repeat(context, sizes)))
+        new = np.r_[True, (of[sort[1:]] != of[sort[:-1]]) | (words[sort[1:]] != words[sort[:-1]])]
+        place = np.empty(len(sort), np.int64)
+        place[sort] = np.cumsum(new) - 1
+        group = of[sort[new]]
+        count = np.bincount(place, trained, len(group)).astype(np.int64)
+        below, total = np.zeros(len(group), np.int64), np.ones(n)
+        below[place[trained > 0]] = lower[trained > 0]
+        total[context] = totals
+        own = np.bincount(group, np.where(count > 0, _discounted(below, ratios), 0) / total[group], n)
+        low = np.stack([np.bincount(group, count == r, n) for r in range(1, CUTOFF + 1)], 1).astype(np.int64)
+        bits, out, shared, at, run = _bits(low), [], [], 0, 0
+        for r, runs in zip(rows, n_runs, strict=True):
+            counts, here = count[place[at:at + r["n"]]], context[run:run + runs]
+            first = np.cumsum(sizes[run:run + runs]) - sizes[run:run + runs]
+            needed = here[np.logical_or.reduceat(counts == 0, first)]
+            shared.append(here[np.array(r["docs"], np.int64)])
+            out.append((r["block"], order, r["part"], r["n"], None, _squeeze(counts), _squeeze(bits[here]),
+                        _squeeze(low[needed].ravel()), _squeeze(own[needed])))
+            at, run = at + r["n"], run + runs
+        shared = np.unique(np.concatenate(shared))
+        n_r = np.bincount(np.minimum(count, CUTOFF + 2), minlength=CUTOFF + 3)[1:CUTOFF + 2]
+        out.append((-1, order, rows[0]["part"], 0, n_r.tolist(), _squeeze(contexts[:, shared].T.ravel()),
+                    _squeeze(low[shared].ravel()), _squeeze(own[shared]), None))
+        return pa.Table.from_batches([_batch(out)])
     return run
 
 
-def _part_scores(words: Words, ratios: np.ndarray, spread: dict[int, np.ndarray]):
-    """Per block, the log10 probabilities of a part's bigrams added up per document; the blocks' own rows pass through."""
-    def run(rows: Iterator) -> Iterator[tuple]:
-        held = []
-        for _, r in rows:
-            if r["n"] < 0:
-                yield r["block"], -1, 0, r["docs"], bytes(r["a"]), bytes(r["b"]), bytes(r["c"]), bytes(r["d"])
-            else:
-                held.append(r)
-        if not held:
-            return
-        part = _Part(held)
-        kept = _discounted(part.count, ratios)
-        total, mass = part.sums(part.count).astype(float), part.sums(kept)
-        own = part.sums(np.where(part.count > 0, words.probability(part.of_second), 0.0))
-        for k in np.flatnonzero(np.isin(part.first, list(spread))).tolist():
-            sums = spread[int(part.first[k])]
-            total[k], own[k] = sums[0], sums[-1]
-            low = sums[1:-1]
-            mass[k] = sums[0] - sum(n * r * (1 - ratios[r]) for r, n in enumerate(low.tolist(), 1))
-        left = total - mass
-        nothing = left < 1e-9 * np.maximum(total, 1)  # nothing was discounted: one count more is left for the unseen
-        total, left = np.where(nothing, total + 1, total), np.where(nothing, 1.0, left)
-        weight = left / total / (1 - own)
-        weight[own == 0] = 1  # never a first word in training
-        with np.errstate(divide="ignore"):
-            log = np.where(part.count > 0, np.log10(kept / total[part.group]), np.log10(weight[part.group]))
-        score = log[part.place]
-        unseen = part.count[part.place] == 0
-        score[unseen] += np.log10(words.probability(part.second_count[unseen]))
-        at = 0
-        for r in held:
-            yield r["block"], 0, 0, None, _squeeze(np.bincount(part.doc[at:at + r["n"]], score[at:at + r["n"]])), None, None, None
-            at += r["n"]
+def _asks(order: int, words: Words, orders: list[Order], n_parts: int, n_trained: int):
+    def run(rows: pa.Table) -> pa.Table:
+        block = _Block(rows, words, n_parts, n_trained)
+        for k, table in enumerate(orders, 2):
+            block.climb(k, table)
+        return pa.Table.from_batches([_batch(block.asks(order))])
     return run
 
 
-def _documents(n_tokens: int):
+def _documents(words: Words, orders: list[Order], n_parts: int, n_trained: int):
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.to_pylist()
-        (own,) = [r for r in rows if r["part"] == -1]
-        score = _expand(own["d"], np.float64).copy()
-        for r in sorted((r["a"] for r in rows if r["part"] == 0)):
-            part = _expand(r, np.float64)
-            score[:len(part)] += part
-        return pa.table({"place": np.arange(len(score)), "n_tokens": _expand(own["a"], np.int64),
-                         "n_known": _expand(own["b"], np.int64), "train_tokens": np.full(len(score), n_tokens),
-                         "base_score": _expand(own["c"], np.float64), "score": score,
-                         "doc_id": pa.array(own["docs"], pa.int64())})
+        block = _Block(rows, words, n_parts, n_trained)
+        for k, table in enumerate(orders, 2):
+            block.climb(k, table)
+        return pa.table({"n_tokens": block.lengths, "n_known": block.known,
+                         "train_tokens": np.full(len(block.lengths), words.n_tokens), "base_score": block.base,
+                         "score": block.sums(block.log), "doc_id": pa.array(block.docs, pa.int64())})
     return run
 
 
@@ -321,8 +376,8 @@ def katz_scores(docs: DataFrame, held_out: Column, *, text: str = "text", doc_id
     Learns from the rows where ``held_out`` is false and scores all. Tokens are words (runs of anything but ASCII white
     space, A-Z in lower case) and one end; a null text is empty and has only its end. ``base_score`` is the sum of
     log10((c + 0.1) / (N + 0.1 (V + 1))). Rows may repeat: each is a text. Without training rows every token is the unknown
-    word, whose probability is then 1. An empty table gives an empty result. The driver holds totals and, for the first
-    words that are spread over parts, at most two rows of sums per part.
+    word, whose probability is then 1. An empty table gives an empty result. The driver holds totals and, for the
+    contexts that are spread over parts, at most two rows of sums per part.
     """
     spark = docs.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -337,16 +392,13 @@ def katz_scores(docs: DataFrame, held_out: Column, *, text: str = "text", doc_id
     n_trained = rows.where(~F.col("held_out")).count()
 
     n_parts = parts_for(n_all, part)
-    grams = texts.groupBy("block").cogroup(answers.where("block >= 0").groupBy("block")).applyInArrow(
-        _bigrams(words, n_parts, n_trained), _SCHEMA)
-    table = grams.rdd.map(lambda r: (r["part"], r.asDict())).partitionBy(n_parts, lambda k: k)
-    found = table.mapPartitions(_part_totals(words)).collect()
-    n_r = np.sum([n for n, _ in found], axis=0) if found else np.zeros(CUTOFF + 1)
-    spread: dict[int, np.ndarray] = {}
-    for _, sums in found:
-        for number, values in sums.items():
-            spread[number] = spread.get(number, 0) + values
-    scores = spark.createDataFrame(table.mapPartitions(_part_scores(words, discounts(n_r), spread)), _SCHEMA)
-    return scores.groupBy("block").applyInArrow(
-        _documents(words.n_tokens), "place long, n_tokens long, n_known long, train_tokens long, base_score double, "
-        "score double, doc_id long").drop("place")
+    known, orders = texts.unionAll(answers.where("block >= 0")), []
+    for k in range(2, 3):
+        asked = known.groupBy("block").applyInArrow(_asks(k, words, orders, n_parts, n_trained), _SCHEMA)
+        below = orders[-1].ratios if orders else words.ratios
+        answers = stored(asked.groupBy("part").applyInArrow(_count_table(k, below), _SCHEMA), f"counts{k}")
+        orders = [*orders, Order(answers.where("block = -1").select("docs", "a", "b", "c").collect())]
+        known = known.unionAll(answers.where("block >= 0"))
+    return known.groupBy("block").applyInArrow(
+        _documents(words, orders, n_parts, n_trained), "n_tokens long, n_known long, train_tokens long, base_score double, "
+        "score double, doc_id long")

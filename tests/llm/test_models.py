@@ -1,6 +1,8 @@
 """Language identification, line quality, Katz backoff and neighbour search against plain computations."""
 
+import glob
 import math
+import os
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -205,6 +207,23 @@ def test_katz(spark, block, part):
         assert mine[:4] == want[:4] and mine[4:] == pytest.approx(want[4:], rel=1e-9)
 
 
+def sent(spark, order):
+    """Rows and n-grams that each part of the latest count table of an order received."""
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    path = max(glob.glob(f"{root}/counts{order}-*"), key=os.path.getmtime)
+    return spark.read.parquet(f"file://{path}").where("block >= 0").groupBy("part").agg(F.count("*").alias("rows"), F.sum("n").alias("n")).collect()
+
+
+def test_katz_word_in_most_places(spark):
+    rows = [(k, "w " * 3000 + f"w{k % 7} x w{k % 3} " * 20, k % 5 == 0) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, out boolean").repartition(4)
+    got = katz.katz_scores(df, F.col("out"), block=9000, part=2000).collect()
+    for mine, want in zip(sorted(got, key=lambda r: r.doc_id), plain_katz(rows), strict=True):
+        assert (mine.doc_id, mine.n_tokens, mine.n_known) == want[:3] and mine.score == pytest.approx(want[5], rel=1e-9)
+    parts = sent(spark, 2)
+    assert max(p.n for p in parts) <= 200 and sum(p.n for p in parts) <= 16 * 40  # of 122,440 tokens
+
+
 def test_katz_without_training_or_rows(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     (row,) = katz.katz_scores(df, F.lit(True)).collect()
