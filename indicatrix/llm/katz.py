@@ -369,10 +369,11 @@ def _documents(words: Words, orders: list[Order], n_parts: int, n_trained: int):
     return run
 
 
-def katz_scores(docs: DataFrame, held_out: Column, *, text: str = "text", doc_id: str = "doc_id", block: int = BLOCK,
-                part: int = PART) -> DataFrame:
+def katz_scores(docs: DataFrame, held_out: Column, *, order: int = 2, text: str = "text", doc_id: str = "doc_id",
+                block: int = BLOCK, part: int = PART) -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score, score (log10 of the text's probability).
 
+    The model has n-grams of up to ``order`` words, at least 1. At a text's start the context is what there is of it.
     Learns from the rows where ``held_out`` is false and scores all. Tokens are words (runs of anything but ASCII white
     space, A-Z in lower case) and one end; a null text is empty and has only its end. ``base_score`` is the sum of
     log10((c + 0.1) / (N + 0.1 (V + 1))). Rows may repeat: each is a text. Without training rows every token is the unknown
@@ -393,7 +394,7 @@ def katz_scores(docs: DataFrame, held_out: Column, *, text: str = "text", doc_id
 
     n_parts = parts_for(n_all, part)
     known, orders = texts.unionAll(answers.where("block >= 0")), []
-    for k in range(2, 3):
+    for k in range(2, order + 1):
         asked = known.groupBy("block").applyInArrow(_asks(k, words, orders, n_parts, n_trained), _SCHEMA)
         below = orders[-1].ratios if orders else words.ratios
         answers = stored(asked.groupBy("part").applyInArrow(_count_table(k, below), _SCHEMA), f"counts{k}")

@@ -158,5 +158,5 @@ def op7_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_remainder(F.col("doc_id"), 10) == 0
-    scores = katz_scores(table(spark, sf_dir, "documents"), held_out)
+    scores = katz_scores(table(spark, sf_dir, "documents"), held_out, order=3)
     return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

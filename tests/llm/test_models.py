@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from indicatrix.llm import ann, katz, language_id, quality
+from indicatrix.llm.queries import op4_katz_scores
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 EN = "the quick brown fox jumps over the lazy dog and runs away with all of the other animals"
@@ -187,6 +188,37 @@ def plain_katz(rows):
     return out
 
 
+def plain_katz_of(rows, order):
+    """Scores by recursion over the orders, from counts of whole contexts; a text starts with None."""
+    texts = [(r, (r[1] or "").encode().lower().split() + [b" "]) for r in rows]
+    counts = [defaultdict(Counter) for _ in range(order)]
+    for (_, _, held), own in texts:
+        for at, word in enumerate(own if not held else []):
+            for n in range(min(order, at + 2)):
+                counts[n][tuple([None, *own][at + 1 - n:at + 1])][word] += 1
+    ratios = [katz.discounts(np.array([sum(c == r for m in of.values() for c in m.values()) for r in range(1, 7)], float))
+              for of in counts]
+
+    def after(context, word):
+        n = len(context)
+        if context not in counts[n]:
+            return after(context[1:], word)
+        follow = counts[n][context]
+        kept = {w: c * ratios[n][min(c, 6)] for w, c in follow.items()}
+        total = sum(follow.values())
+        total += total - sum(kept.values()) <= 1e-9 * total
+        if word in kept:
+            return kept[word] / total
+        left = (total - sum(kept.values())) / total
+        return left / (1 - sum(after(context[1:], w) for w in follow)) * after(context[1:], word) if n else left
+
+    words = counts[0][()]
+    for context in [c for of in counts for c in list(of)[:40]]:
+        assert sum(after(context, w) for w in words) + after(context, b"never seen") == pytest.approx(1)
+    return [(r[0], len(own), sum(math.log10(after(tuple([None, *own][max(0, at + 2 - order):at + 1]), w))
+                                 for at, w in enumerate(own))) for r, own in texts]
+
+
 def katz_rows(seed):
     rng = np.random.default_rng(seed)
     names = [f"W{k}" for k in range(60)]
@@ -207,6 +239,22 @@ def test_katz(spark, block, part):
         assert mine[:4] == want[:4] and mine[4:] == pytest.approx(want[4:], rel=1e-9)
 
 
+@pytest.mark.parametrize("order, block, part", [(1, 300, 200), (3, 1_000_000, 3_000_000), (3, 300, 200), (4, 50, 2000)])
+def test_katz_orders(spark, order, block, part):
+    rows = [r for r in katz_rows(7)[:-1] if r[0] is not None] + [(300, "w1 w2 w1 w2 " * 9, False), (301, "w1 w2 w3 w1 " * 9, True)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, out boolean")
+    got = sorted((r.doc_id, r.n_tokens, r.score) for r in katz.katz_scores(df, F.col("out"), order=order, block=block, part=part).collect())
+    for mine, want in zip(got, sorted(plain_katz_of(rows, order)), strict=True):
+        assert mine[:2] == want[:2] and mine[2] == pytest.approx(want[2], rel=1e-9)
+
+
+def test_katz_query_is_of_order_three(spark):
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    want = katz.katz_scores(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), held_out, order=3)
+    want = sorted((r.doc_id, round(r.score, 6)) for r in want.collect())
+    assert sorted((r.doc_id, round(r.score, 6)) for r in op4_katz_scores(spark, "/root/testdata/sf0.001").collect()) == want
+
+
 def sent(spark, order):
     """Rows and n-grams that each part of the latest count table of an order received."""
     root = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
