@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import parts_for, stored
 
 BLOCK, PART = 1_000_000, 1_500_000
+WORD_BYTES = 6  # of text to a word and its space, about
 CUTOFF = 5  # counts above it are not discounted
 #: The first word of a text follows this; it is no word and is never predicted. Unknown words, 0 too, are in no context asked for.
 BEGIN = 0
@@ -381,16 +382,16 @@ def katz_scores(docs: DataFrame, held_out: Column, *, order: int = 2, text: str
     contexts that are spread over parts, at most two rows of sums per part.
     """
     spark = docs.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                        F.col(text).alias("text"))
+    n_bytes, n_trained = rows.agg(F.sum(F.octet_length("text")), F.count_if(~F.col("held_out"))).first()
+    n_parts = parts_for((n_bytes or 0) / WORD_BYTES, part)
     blocks = stored(rows.mapInArrow(_blocks(n_parts, block), _SCHEMA), "blocks")
     answers = stored(blocks.where("part >= 0").groupBy("part").applyInArrow(_word_table(n_parts, CUTOFF), _SCHEMA), "words")
     totals = np.array([r.docs for r in answers.where("block = -1").select("docs").collect()] or [[0] * (CUTOFF + 3)], float).sum(0)
     words = Words(int(totals[0]), int(totals[1]), totals[2:]).mass(totals[2:])
     texts = blocks.where("part = -1")
     n_all = texts.agg(F.sum("n")).first()[0] or 0
-    n_trained = rows.where(~F.col("held_out")).count()
 
     n_parts = parts_for(n_all, part)
     known, orders = texts.unionAll(answers.where("block >= 0")), []

@@ -255,10 +255,10 @@ def test_katz_query_is_of_order_three(spark):
     assert sorted((r.doc_id, round(r.score, 6)) for r in op4_katz_scores(spark, "/root/testdata/sf0.001").collect()) == want
 
 
-def sent(spark, order):
+def sent(spark, order, name="counts"):
     """Rows and n-grams that each part of the latest count table of an order received."""
     root = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
-    path = max(glob.glob(f"{root}/counts{order}-*"), key=os.path.getmtime)
+    path = max(glob.glob(f"{root}/{name}{order}-*"), key=os.path.getmtime)
     return spark.read.parquet(f"file://{path}").where("block >= 0").groupBy("part").agg(F.count("*").alias("rows"), F.sum("n").alias("n")).collect()
 
 
@@ -272,6 +272,13 @@ def test_katz_word_in_most_places(spark):
     assert max(p.n for p in parts) <= 200 and sum(p.n for p in parts) <= 16 * 40  # of 122,440 tokens
 
 
+def test_katz_word_table_grows_with_the_input(spark):
+    rows = [(k, " ".join(f"w{k * 500 + i}" for i in range(500)), False) for k in range(40)]
+    katz.katz_scores(spark.createDataFrame(rows, "doc_id long, text string, out boolean"), F.col("out"), block=500, part=1000)
+    parts = sent(spark, "", "words")
+    assert sum(p.n for p in parts) == 40 * 501 and max(p.n for p in parts) <= 1500  # of 4 shuffle partitions, over 5,000 each
+
+
 def test_katz_without_training_or_rows(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     (row,) = katz.katz_scores(df, F.lit(True)).collect()
