@@ -111,9 +111,9 @@ class Lattice:
                 alpha[end, rows] += alpha[start, rows] * model[pieces]
         return alpha
 
-    def _long(self, word: str, model: np.ndarray) -> np.ndarray:
-        """One word of any length, scaled at every step."""
-        total, recent = np.zeros(model.shape[1]), [np.ones(model.shape[1])]
+    def _steps(self, word: str, model: np.ndarray) -> Iterator[np.ndarray]:
+        """One word of any length: by end position, the sum over segmentations divided by that of the position before."""
+        recent = [np.ones(model.shape[1])]
         for end in range(1, len(word) + 1):
             here = np.zeros(model.shape[1])
             for size in range(1, min(end, LONGEST_PIECE) + 1):
@@ -121,12 +121,32 @@ class Lattice:
                 if piece is not None:
                     here += recent[-size] * model[piece]
             recent = [x / here for x in recent[-LONGEST_PIECE:]] + [np.ones(model.shape[1])]
+            yield here
+
+    def _long(self, word: str, model: np.ndarray) -> np.ndarray:
+        """One word of any length, scaled at every step."""
+        total = np.zeros(model.shape[1])
+        for here in self._steps(word, model):
             total += np.log(here)
         return total
 
+    def _long_expected(self, word: str, weight: np.ndarray, model: np.ndarray, out: np.ndarray) -> None:
+        """Adds to ``out`` the expected pieces of one word of any length; each position has the weight of segmentations through it."""
+        steps, through = np.empty((len(word), model.shape[1])), np.zeros((len(word) + 1, model.shape[1]))
+        for k, here in enumerate(self._steps(word, model)):
+            steps[k] = here
+        through[-1] = weight
+        for end in range(len(word), 0, -1):
+            share = through[end]
+            for size in range(1, min(end, LONGEST_PIECE) + 1):
+                share = share / steps[end - size]
+                piece = self.index.get(word[end - size:end], self.unknown if size == 1 else None)
+                if piece is not None:
+                    out[piece] += share * model[piece]
+                    through[end - size] += share * model[piece]
+
     def expected(self, words: list[str], weights: np.ndarray, model: np.ndarray) -> np.ndarray:
-        """Expected pieces x languages of the words, each counted ``weights`` (words x languages) times.
-        Words longer than ``LONGEST_WORD`` characters teach nothing; they are scored in full."""
+        """Expected pieces x languages of the words, each counted ``weights`` (words x languages) times."""
         out = np.zeros((self.n + 1, model.shape[1]))
         for width, places in self.groups(words):
             own, weight = [words[k] for k in places.tolist()], weights[places]
@@ -142,6 +162,9 @@ class Lattice:
                     share = alpha[start, at] * later
                     for k in range(out.shape[1]):
                         out[:, k] += np.bincount(pieces, share[:, k], len(out))
+        for k, w in enumerate(words):
+            if len(w) > LONGEST_WORD:
+                self._long_expected(w, weights[k], model, out)
         return out
 
 

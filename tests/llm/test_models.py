@@ -56,6 +56,23 @@ def test_expected_pieces_cover_every_character_once():
     assert counts @ sizes == pytest.approx(2 * 6 + 4 + 3 * 2)
 
 
+def test_long_words_are_counted():
+    lattice = language_id._lattice(PIECES)
+    model = np.random.default_rng(1).random((lattice.n + 1, 2))
+    model /= model.sum(0)
+    for word in ("▁hello", "▁é☃x", "▁nationality"):
+        alone = np.zeros_like(model)
+        lattice._long_expected(word, np.array([2.0, 0.5]), model, alone)
+        assert np.allclose(alone, lattice.expected([word], np.array([[2.0, 0.5]]), model))
+    long = "▁" + "donaudampfschifffahrtsgesellschaft" * 40
+    counts = lattice.expected(["▁the", long], np.array([[1.0, 0.0], [0.0, 3.0]]), model)
+    sizes = np.zeros(lattice.n + 1)
+    for piece, k in lattice.index.items():
+        sizes[k] = len(piece)
+    sizes[lattice.unknown] = 1
+    assert sizes @ counts == pytest.approx([4, 3 * len(long)])
+
+
 def language_rows():
     rows = [(k, EN if k % 2 else DE, "en" if k % 2 else "de", "x") for k in range(20)]
     return rows + [(50, None, "en", "x"), (51, "", None, "x"), (52, "12 34 !!", "de", "x"), (53, "Die anderen Hunde", None, None),
