@@ -6,7 +6,7 @@ import math
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The ASCII white space that separates words and is stripped from lines.
@@ -51,3 +51,19 @@ def n_words(text: Column) -> Column:
 def parts_for(rows: float, per_part: float, least: int = 1) -> int:
     """As many partitions as keep each near ``per_part`` rows."""
     return max(least, math.ceil(rows / per_part))
+
+
+def numbered(df: DataFrame, name: str, into: str) -> DataFrame:
+    """``df`` stored, with a gapless number from 0 of each of its rows in ``into``.
+
+    A row's number is its place in its partition after the rows of the partitions before; only the partitions' sizes, one row
+    each, are added up in one task and sent to all.
+    """
+    placed = stored(df.withColumn("__place", F.monotonically_increasing_id()), name)
+    part = F.shiftright("__place", 33)
+    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
+    before = F.sum("__rows").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("__part", F.coalesce(before, F.lit(0)).alias("__start"))
+    in_part = F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
+    return (placed.join(F.broadcast(starts), part == F.col("__part"))
+            .withColumn(into, F.col("__start") + in_part).drop("__place", "__part", "__rows", "__start"))

@@ -17,6 +17,7 @@ from .line_dedup import apply_bitmaps, line_bitmaps
 from .mixing import mix
 from .near_join import near_classes
 from .packing import pack_documents
+from .phrases import collocations
 from .token_ids import packed_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +161,35 @@ def op4_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_remainder(F.col("doc_id"), 10) == 0
     scores = katz_scores(table(spark, sf_dir, "documents"), held_out, order=3)
     return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query(r"""
+    with docs as (
+      select coalesce(lang, 'und') lang,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t from documents),
+    pieces as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) p from docs),
+    words as (select lang, regexp_extract_all(p, '[^\x20\x09]+') ws from pieces),
+    totals as (select lang, sum(len(ws))::bigint n from words group by lang),
+    grams as (
+      select lang, unnest(flatten(list_transform(range(1, 5), lambda k: list_transform(
+               range(1, len(ws) - k + 2), lambda i: list_slice(ws, i, i + k - 1))))) g from words),
+    f as (select lang, g, count(*)::hugeint a from grams group by lang, g having count(*) >= 30),
+    candidates as (select * from f where len(g) >= 2),
+    cuts as (
+      select c.*, x.a l, y.a r, (2000000 * c.a) // (x.a + y.a) score
+      from (select *, unnest(range(1, len(g))) k from candidates) c
+      join f x on x.lang = c.lang and x.g = list_slice(c.g, 1, c.k)
+      join f y on y.lang = c.lang and y.g = list_slice(c.g, c.k + 1, len(c.g))),
+    best as (select * from cuts qualify row_number() over (partition by lang, g order by score, k) = 1),
+    inside as (
+      select lang, s, max(a) most from (
+        select lang, a, unnest(flatten(list_transform(range(2, len(g)), lambda k: list_transform(
+                 range(1, len(g) - k + 2), lambda i: list_slice(g, i, i + k - 1))))) s from candidates) group by lang, s),
+    kept as (
+      select b.lang, array_to_string(b.g, ' ') phrase, b.a, b.l, b.r, b.score
+      from best b left join inside i on i.lang = b.lang and i.s = b.g where i.most is null or 100 * i.most < 80 * b.a)
+    select kept.lang, row_number() over (partition by kept.lang order by score desc, a desc, phrase)::bigint rank, phrase,
+           a::bigint a, l::bigint l, r::bigint r, n, score::bigint score
+    from kept join totals on totals.lang = kept.lang qualify rank <= 2000""")
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
