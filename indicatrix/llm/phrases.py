@@ -49,52 +49,54 @@ class _Places(dict):
         return place
 
 
-def _slices(text: bytes) -> Iterator[bytes]:
+def _slices(text: bytes, size: int) -> Iterator[bytes]:
     at = 0
     while at < len(text):
         end = len(text)
-        if end - at > SLICE:
-            found = [x for x in (text.find(b" ", at + SLICE), text.find(b"\n", at + SLICE)) if x >= 0]
+        if end - at > size:
+            found = [x for x in (text.find(b" ", at + size), text.find(b"\n", at + size)) if x >= 0]
             end = min(found, default=end)
         yield text[at:end]
         at = end
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(limit: int, slice_size: int):
     """Per block and language the places of its words in order, and a row for each of its words with its number there."""
-    part, block, held, words = TaskContext.get().partitionId(), 0, {}, 0
-    kinds = [("block", pa.int64()), ("lang", pa.string()), ("places", pa.binary()), ("word", pa.binary()), ("place", pa.int32()),
-             ("n", pa.int64())]
-
-    def rows(lang, places, word, place, n):
-        size = len(word)
-        columns = [[(part << 32) | block] * size, [lang] * size, places, word, place, n]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, kinds, strict=True)], [k for k, _ in kinds])
-
-    def done():
-        for lang, (known, runs) in held.items():
-            codes = np.concatenate(runs)
-            counts = np.bincount(codes, minlength=len(known))[2:]
-            narrow = codes.astype("<u2") if len(known) <= 1 << 16 else codes
-            yield rows(lang, [bytes([narrow.itemsize]) + narrow.tobytes()], [None], [None], [None])
-            all_words = list(known)[2:]
-            for at in range(0, len(all_words), 100_000):
-                some = all_words[at:at + 100_000]
-                yield rows(lang, [None] * len(some), some, range(at + 2, at + 2 + len(some)), counts[at:at + 100_000])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, block, held, words = TaskContext.get().partitionId(), 0, {}, 0
+        kinds = [("block", pa.int64()), ("lang", pa.string()), ("places", pa.binary()), ("word", pa.binary()), ("place", pa.int32()),
+                 ("n", pa.int64())]
+
+        def rows(lang, places, word, place, n):
+            size = len(word)
+            columns = [[(part << 32) | block] * size, [lang] * size, places, word, place, n]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, kinds, strict=True)], [k for k, _ in kinds])
+
+        def done():
+            for lang, (known, runs) in held.items():
+                codes = np.concatenate(runs)
+                counts = np.bincount(codes, minlength=len(known))[2:]
+                narrow = codes.astype("<u2") if len(known) <= 1 << 16 else codes
+                yield rows(lang, [bytes([narrow.itemsize]) + narrow.tobytes()], [None], [None], [None])
+                all_words = list(known)[2:]
+                for at in range(0, len(all_words), 100_000):
+                    some = all_words[at:at + 100_000]
+                    yield rows(lang, [None] * len(some), some, range(at + 2, at + 2 + len(some)), counts[at:at + 100_000])
 
-    for batch in batches:
-        for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
-            known, runs = held.setdefault(lang.as_py(), (_Places(), []))
-            for piece in _slices((text.as_py() or b"").translate(_TABLE)):
-                tokens = piece.replace(b"\n", b" \n ").split(b" ")
-                codes = np.fromiter(map(known.__getitem__, tokens), "<u4", len(tokens))
-                runs.append(codes[codes != 0])
-                words += len(codes)
-            runs.append(np.ones(1, "<u4"))
-            if words >= BLOCK or len(runs) > BLOCK:
-                yield from done()
-                block, held, words = block + 1, {}, 0
-    yield from done()
+        for batch in batches:
+            for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
+                known, runs = held.setdefault(lang.as_py(), (_Places(), []))
+                for piece in _slices((text.as_py() or b"").translate(_TABLE), slice_size):
+                    tokens = piece.replace(b"\n", b" \n ").split(b" ")
+                    codes = np.fromiter(map(known.__getitem__, tokens), "<u4", len(tokens))
+                    runs.append(codes[codes != 0])
+                    words += len(codes)
+                runs.append(np.ones(1, "<u4"))
+                if words >= limit or len(runs) > limit:
+                    yield from done()
+                    block, held, words = block + 1, {}, 0
+        yield from done()
+    return run
 
 
 def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +246,7 @@ def decode(data, layout: Layout, part: int, part_bits: int) -> tuple[np.ndarray,
     return keys, counts
 
 
-def _count(layout: Layout, part_bits: int, shorter: Layout | None, bitmap, bitmap_bits: int):
+def _count(layout: Layout, part_bits: int, shorter: Layout | None, bitmap, bitmap_bits: int, entries: int):
     """Filters of a task's n-grams, a row for each range of quotients: (part, filter)."""
     def grams(ids: np.ndarray) -> np.ndarray:
         n = layout.n
@@ -281,9 +283,9 @@ def _count(layout: Layout, part_bits: int, shorter: Layout | None, bitmap, bitma
         for batch in batches:
             for words in batch.column("words"):
                 held.append(counted(grams(np.frombuffer(words.as_buffer(), "<u4"))))
-                if sum(len(k) for k, _ in held) > ENTRIES:
+                if sum(len(k) for k, _ in held) > entries:
                     held = [counted(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))]
-                    if len(held[0][0]) > ENTRIES // 2:
+                    if len(held[0][0]) > entries // 2:
                         yield from rows(sent(*held[0]))
                         held = []
         if held:
@@ -291,7 +293,7 @@ def _count(layout: Layout, part_bits: int, shorter: Layout | None, bitmap, bitma
     return run
 
 
-def _merge(layout: Layout, part_bits: int, least: int, bitmap_bits: int, longest: int):
+def _merge(layout: Layout, part_bits: int, least: int, bitmap_bits: int, longest: int, entries: int):
     """Filters, those of a part side by side, to rows of frequent n-grams and, per part, its slice of the bitmap."""
     names = ["part", "bits", *[f"w{k + 1}" for k in range(longest)], "a"]
 
@@ -323,7 +325,7 @@ def _merge(layout: Layout, part_bits: int, least: int, bitmap_bits: int, longest
                     part, held, pending = at, [], 0
                 held.append(decode(data.as_buffer(), layout, part, part_bits))
                 pending += len(held[-1][0])
-                if pending > max(ENTRIES // 2, len(held[0][0])):
+                if pending > max(entries // 2, len(held[0][0])):
                     held, pending = merged(part, held), 0
         if held:
             yield from finish(part, held)
@@ -339,8 +341,8 @@ def frequent_grams(words: DataFrame, n_words: int, tokens: int, least: int, long
         layout = Layout(n, bits)
         own_bits = min(BITMAP, layout.bits, max(tokens, 1 << 13).bit_length() + 4)
         part_bits = max(min(wish, own_bits - 3), 0)
-        filters = words.mapInArrow(_count(layout, part_bits, shorter, bitmap, bitmap_bits), "part int, filter binary")
-        merge, schema = _merge(layout, part_bits, least, own_bits, longest)
+        filters = words.mapInArrow(_count(layout, part_bits, shorter, bitmap, bitmap_bits, ENTRIES), "part int, filter binary")
+        merge, schema = _merge(layout, part_bits, least, own_bits, longest, ENTRIES)
         dealt = filters.repartition(max((1 << part_bits) // 2, 1), "part").sortWithinPartitions("part")
         grams = stored(dealt.mapInArrow(merge, schema), f"grams-{n}")
         found.append(grams.where("a is not null").drop("part", "bits"))
@@ -366,7 +368,7 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
     """
     names = [f"w{k + 1}" for k in range(longest)]
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("binary").alias("text"))
-    blocks = stored(rows.mapInArrow(_blocks, "block long, lang string, places binary, word binary, place int, n long"), "blocks")
+    blocks = stored(rows.mapInArrow(_blocks(BLOCK, SLICE), "block long, lang string, places binary, word binary, place int, n long"), "blocks")
     said = blocks.where("word is not null")
     counts = stored(said.groupBy("lang", "word").agg(F.sum("n").alias("f")), "word-counts")
     totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
