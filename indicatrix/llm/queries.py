@@ -19,6 +19,7 @@ from .near_join import near_classes
 from .packing import pack_documents
 from .phrases import collocations
 from .token_ids import packed_documents
+from .whitening import whiten
 from .wrappers import page_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,11 +201,16 @@ def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     with articles as (
       select page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(?:</article>|$)', 1, 's') a from pages),
     texts as (
-      select page_id, url, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(
+      select page_id, url, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(
                regexp_replace(regexp_replace(a, '</?(?:p|h1|br)>', ' ', 'g'), '</?b>', '', 'g'),
-               '&copy;', '©'), '&middot;', '·'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'),
+               '&copy;', '©'), '&middot;', '·'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;?', '&', 'g'),
                '[\s\x{85}\p{Z}]+', ' ', 'g')) text from articles)
     select page_id, url, text, length(text)::bigint n_chars from texts""")
 def op12_page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SQL is right for pages like the given ones, whose text is one article element without parts to leave out."""
     return page_texts(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op11_whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
