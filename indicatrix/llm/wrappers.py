@@ -6,7 +6,7 @@ matching and merged into its wrapper. A node of a wrapper knows the texts that a
 its text is linked, and up to ``SUPPORT`` different pages it was found on. Merging is associative: tasks merge the pages they
 read, then the wrappers of a host are merged in two rounds, so a host with a third of all pages is no task's burden.
 
-To extract, a page's tree is aligned with its host's wrapper. Texts that are constant in their node are template and go; so do
+To extract, a page's tree is aligned with its host's wrapper. Texts that are constant in a node around them are template and go; so do
 lists that are mostly links, where a page names no article or main part of its own; every other text is content, in page order.
 """
 
@@ -75,7 +75,7 @@ def _tags_of(names: frozenset) -> re.Pattern:
 
 
 class Node:
-    """A node of a page or wrapper. ``texts``: hashes of its own texts; of a wrapper, of those that all its pages have."""
+    """A node of a page or wrapper. ``texts``: hashes of the texts in it; of a wrapper, of those that all its pages have in it."""
 
     __slots__ = ("label", "texts", "seen", "pages", "chars", "linked", "links", "children", "into")
 
@@ -344,8 +344,9 @@ class Page:
     def _prune(self, node: Node, seen: set) -> bool:
         node.children = [c for c in node.children if self._prune(c, seen)]
         node.seen = set(seen)
+        node.texts.update(*(c.texts for c in node.children))
         fold(node)
-        return bool(node.texts or node.children)
+        return bool(node.texts)
 
     def node_of(self, block) -> Node:
         node = block[1]
@@ -429,15 +430,17 @@ class _Wrapper:
     def __init__(self, data: bytes):
         self.root, self.shapes = Node.of(pickle.loads(data)), {}
 
-    def _visit(self, node: Node, own: Node | None, menu: bool, out: list) -> None:
-        if own is not None and node.label not in ("html", "body"):
-            chars, linked, links = (sum(getattr(n, k) for n in own.walk()) for k in ("chars", "linked", "links"))
-            menu = menu or (links >= 2 * own.pages and linked >= LINKED * chars)
-        out.append((own.texts if own is not None and len(own.seen) >= SUPPORT else frozenset(), menu))
+    def _visit(self, node: Node, own: Node | None, template: frozenset, menu: bool, out: list) -> None:
+        if own is not None:
+            if node.label not in ("html", "body"):
+                chars, linked, links = (sum(getattr(n, k) for n in own.walk()) for k in ("chars", "linked", "links"))
+                menu = menu or (links >= 2 * own.pages and linked >= LINKED * chars)
+            template = template | own.texts if len(own.seen) >= SUPPORT else template
+        out.append((template, menu))
         pairs = aligned(node.children, own.children) if own is not None else [(c, None) for c in node.children]
         for x, y in pairs:
             if x is not None:
-                self._visit(x, y, menu, out)
+                self._visit(x, y, template, menu, out)
 
     def rules(self, root: Node) -> list:
         """For the nodes of a page in order: the template's texts, and whether a menu."""
@@ -446,7 +449,7 @@ class _Wrapper:
             if len(self.shapes) > 1_000:
                 self.shapes.clear()
             out: list = []
-            self._visit(root, self.root, False, out)
+            self._visit(root, self.root, frozenset(), False, out)
             self.shapes[shape] = out
         return self.shapes[shape]
 
