@@ -30,6 +30,8 @@ class Registry:
     rows: DataFrame
     broadcastable: bool
     fits_map: bool
+    #: Kinds of keys, as (column, with aliases), of which each was counted to occur in one row only.
+    unique: frozenset = frozenset()
 
     def side(self, df: DataFrame) -> DataFrame:
         """Mark a registry-derived table as the build side when the registry was measured to be small."""
@@ -41,8 +43,9 @@ def load_registry(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes:
     """Conform a table to the registry schema and measure it.
 
     The measurement is one job over at most ``max_rows + 1`` rows, so a huge table is recognised without being read. It
-    counts what a lookup's build side holds: every attribute, once for each name or alias. Its outcome chooses a plan
-    only; lookups give the same rows either way.
+    counts what a lookup's build side holds (every attribute, once for each name or alias), and how often each key of each
+    kind occurs, so that lookups group only by keys that repeat. Its outcome chooses a plan only; lookups give the same rows
+    either way, as long as the table does not change.
     """
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in REGISTRY_SCHEMA])
 
@@ -50,14 +53,36 @@ def load_registry(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes:
         return F.coalesce(F.octet_length(column), F.lit(0))
 
     aliases = F.concat(*[F.coalesce(F.col(a), F.array().cast("array<string>")) for a in ALIASES.values()])
-    names = F.size(aliases) + len(ATTRIBUTES)
     alias_bytes = F.aggregate(aliases, F.lit(0).cast("long"), lambda total, x: total + size(x))
     row_bytes = sum((size(c) for c in ATTRIBUTES), F.lit(0)).cast("long")
-    stats = (rows.limit(max_rows + 1)
-             .agg(F.count(F.lit(1)).alias("rows"), F.sum(names).alias("keys"),
-                  F.sum(alias_bytes + (names + 1) * row_bytes).alias("bytes")).first())
-    small = stats["rows"] <= max_rows and (stats["bytes"] or 0) <= max_bytes
-    return Registry(rows, small, small and (stats["keys"] or 0) <= max_map_keys)
+    bytes_ = alias_bytes + (F.size(aliases) + len(ATTRIBUTES) + 1) * row_bytes
+    kinds = [(by, False) for by in ATTRIBUTES] + [(by, True) for by in ALIASES]
+
+    def found(kind, keys, size):
+        return F.transform(keys, lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("key"), size.alias("bytes")))
+
+    nothing = F.lit(0).cast("long")
+    entries = [found(i, _keys(by, named), nothing) for i, (by, named) in enumerate(kinds)]
+    entries.append(found(-1, F.array(F.lit(None).cast("string")), bytes_))
+    per_key = (rows.limit(max_rows + 1).select(F.explode(F.concat(*entries)).alias("e")).select("e.*")
+               .groupBy("kind", "key").agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes")))
+    stats = {r["kind"]: r for r in per_key.groupBy("kind").agg(
+        F.sum("rows").alias("rows"), F.max("rows").alias("most"), F.sum("bytes").alias("bytes")).collect()}
+    if -1 not in stats:
+        return Registry(rows, True, True, frozenset(kinds))
+    small = stats[-1]["rows"] <= max_rows and stats[-1]["bytes"] <= max_bytes
+    keys = sum(stats[i]["rows"] for i, kind in enumerate(kinds) if kind[1] and i in stats)
+    unique = {kind for i, kind in enumerate(kinds) if i not in stats or stats[i]["most"] == 1}
+    return Registry(rows, small, small and keys <= max_map_keys, frozenset(unique if stats[-1]["rows"] <= max_rows else ()))
+
+
+def _keys(by: str, aliases: bool) -> Column:
+    """The distinct lookup keys of a registry row as an array, empty where it has none."""
+    own = F.array(F.col(by))
+    if aliases:
+        own = F.concat(own, F.coalesce(F.col(ALIASES[by]), F.array().cast("array<string>")))
+    keys = F.filter(F.array_distinct(F.transform(own, lambda x: F.lower(x))), lambda x: x.isNotNull())
+    return F.when(F.col(by).isNotNull(), keys).otherwise(F.array().cast("array<string>"))
 
 
 def entity_names(registry: Registry) -> DataFrame:
@@ -75,20 +100,20 @@ def iso3_codes(registry: Registry) -> DataFrame:
 def lookup_table(registry: Registry, by: str, aliases: bool = False) -> DataFrame:
     """``lookup_key`` (lower-cased) to one ``match`` struct holding every attribute of the entity.
 
-    Keys are distinct, however often the registry repeats a row or shares a key: the entity that sorts last wins.
+    Keys are distinct, however often the registry repeats a row or shares a key: the entity that sorts last wins. Where keys
+    were counted to be distinct already, nothing is grouped, so the build side of a join is not shuffled.
     """
     if by not in ATTRIBUTES:
         raise ValueError(f"Unrecognised registry column {by}")
     if aliases and by not in ALIASES:
         raise ValueError(f"Unrecognised column name for cleaning {by}")
     match = F.struct(*ATTRIBUTES).alias("match")
-    named = registry.rows.where(F.col(by).isNotNull())
     if aliases:
-        known = F.coalesce(F.col(ALIASES[by]), F.array().cast("array<string>"))
-        keys = F.array_distinct(F.transform(F.concat(F.array(F.col(by)), known), lambda x: F.lower(x)))
-        table = named.select(F.explode(keys).alias("lookup_key"), match)
+        table = registry.rows.select(F.explode(_keys(by, True)).alias("lookup_key"), match)
     else:
-        table = named.select(F.lower(by).alias("lookup_key"), match)
+        table = registry.rows.where(F.col(by).isNotNull()).select(F.lower(by).alias("lookup_key"), match)
+    if (by, aliases) in registry.unique:
+        return table
     order = F.struct(*[F.coalesce("match." + a, F.lit(""))
                        for a in ("iso3", "entity_name", "country", "entity_id", "iso2", "region")])
     return table.groupBy("lookup_key").agg(F.max_by("match", order).alias("match"))
