@@ -1,44 +1,59 @@
-"""Landed web pages (``url``, ``html``) to rows."""
+"""Landed web pages (``url``, ``html``) to rows.
 
-from pyspark.sql import DataFrame, functions as F
+Each page's elements are found once, at their true depth, in a column of their own; every field is then a filter of them.
+"""
 
-from ..functions import html as H
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ..functions import dom, html as H
 from ..functions.text import strip
 
 
-def _block_of(pages: DataFrame, tag: str, name: str, value: str) -> DataFrame:
-    """Pages with their ``block`` column: the inner HTML of the wanted element, scripts and comments removed."""
+def parsed(pages: DataFrame, *tags: str) -> DataFrame:
+    """Pages with ``__html``, without scripts and comments, and ``__elements``, their elements of these tags in page order."""
     cleaned = pages.withColumn("__html", H.without_inert(F.col("html")))
-    return H.with_block(cleaned, "__html", "block", tag, name, value).drop("__html")
+    return cleaned.withColumn("__elements", dom.element_table(F.col("__html"), tags))
+
+
+def _find(tag: str = None, within: str = None, **attributes) -> Column:
+    return dom.find(F.col("__elements"), tag, None if within is None else F.col(within), **attributes)
+
+
+def _find_all(tag: str = None, within: str = None, **attributes) -> Column:
+    return dom.find_all(F.col("__elements"), tag, None if within is None else F.col(within), **attributes)
 
 
 def evaluation_listing(pages: DataFrame, home: str) -> DataFrame:
     """Rows of the listing table: one per ``<tr>`` in the body of a table of class views-table. A row without a Title raises."""
-    body = H.first_element(F.col("block"), "tbody")
-    rows = _block_of(pages, "table", "class", "views-table").select(F.explode(H.table_rows(body)).alias("row"))
-    rows = H.with_cells(rows, "row").withColumn("title_cell", H.labelled_cell("Title"))
-    rows = rows.withColumn("title_cell", F.when(F.col("title_cell").isNull(), F.raise_error(F.concat(
-        F.lit("Listing row without a Title: "), F.substring("row", 1, 200)))).otherwise(F.col("title_cell")))
+    body = parsed(pages, "table", "tbody", "tr", "td", "a").withColumn("table", _find("table", class_="views-table")).withColumn("body", _find("tbody", "table"))
+    rows = body.select("__html", "__elements", F.explode(F.when(F.col("body").isNotNull(), _find_all("tr", "body"))).alias("row"))
+    rows = rows.withColumn("cells", _find_all("td", "row"))
+    rows = rows.withColumn("labels", F.transform("cells", lambda c: dom.attribute_of(c, "data-label")))
+
+    def cell(label):
+        return F.get("cells", F.nullif(F.array_position("labels", F.lit(label)), F.lit(0)).cast("int") - 1)
+    message = F.concat(F.lit("Listing row without a Title: "), F.substring(dom.inner_html(F.col("__html"), F.col("row")), 1, 200))
+    rows = rows.withColumn("title_cell", F.when(cell("Title").isNull(), F.raise_error(message)).otherwise(cell("Title")))
     labels = {"country": "Location", "categories": "Category", "evaluation_type": "Type", "organization": "Organization",
               "date": "Date", "management_response": "Management response"}
-    texts = rows.select("title_cell", *[H.text_of(H.labelled_cell(label)).alias(c) for c, label in labels.items()])
+    link = dom.attribute_of(_find("a", "title_cell"), "href")
+    texts = rows.select(dom.text(F.col("__html"), F.col("title_cell")).alias("title"), F.concat(F.lit(home), link).alias("url"),
+                        *[dom.text(F.col("__html"), cell(label)).alias(c) for c, label in labels.items()])
 
     def listed(column):
         return F.transform(F.split(column, ","), strip).alias(column)
-    return texts.select(
-        "country", H.text_of(F.col("title_cell")).alias("title"), *[listed(c) for c in ("categories", "evaluation_type", "organization")],
-        "date", "management_response",
-        F.concat(F.lit(home), H.attribute(H.first_element(F.col("title_cell"), "a"), "href")).alias("url"))
+    return texts.select("country", "title", *[listed(c) for c in ("categories", "evaluation_type", "organization")],
+                        "date", "management_response", "url")
 
 
 def download_links(pages: DataFrame) -> DataFrame:
     """The single download link of each detail page. Another number of links is an error."""
-    area = _block_of(pages, "div", "class", "download-links")
-    inner = H.with_block(area, "block", "links", "div", "class", "download-links__links-content")
-    found = inner.select("url", H.elements(F.col("links"), "a").alias("anchors"))
+    area = parsed(pages, "div", "a").withColumn("area", _find("div", class_="download-links"))
+    links = area.withColumn("links", _find("div", "area", class_="download-links__links-content"))
+    found = links.select("url", F.when(F.col("links").isNotNull(), _find_all("a", "links")).alias("anchors"))
     wrong = F.concat(F.lit("Expected one download link at "), F.col("url"))
     one = F.coalesce(F.size("anchors") == 1, F.lit(False))
-    return found.select("url", F.when(one, H.attribute(F.col("anchors")[0], "href"))
+    return found.select("url", F.when(one, dom.attribute_of(F.col("anchors")[0], "href"))
                         .otherwise(F.raise_error(wrong)).alias("document_url"))
 
 
@@ -48,31 +63,34 @@ def join_details(listing: DataFrame, details: DataFrame, how: str = "left", key:
 
 
 def presence_listing(pages: DataFrame) -> DataFrame:
-    """Items of the regional lists (``ul`` of class list): name, link, presence (has a link), key operation (has that class)."""
-    block = _block_of(pages, "div", "id", "blockRegionalList")
-    lists = block.select(F.explode(H.elements(F.col("block"), "ul")).alias("list")).where(H.has_class(F.col("list"), "list"))
-    items = (lists.select(F.explode(H.elements(F.col("list"), "li")).alias("item"))
-             .where(H.has_class(F.col("item"), "item")))
-    items = items.withColumn("url", H.attribute(H.first_element(F.col("item"), "a"), "href"))
+    """Items of the regional lists (``ul`` of class list): name, link, presence (has a link), key operation (has that class).
+
+    Items and lists inside others count as well, each with all that it holds.
+    """
+    block = parsed(pages, "div", "ul", "li", "a").withColumn("block", _find("div", id="blockRegionalList")).where("block is not null")
+    lists = block.select("__html", "__elements", F.explode(_find_all("ul", "block", class_="list")).alias("list"))
+    items = lists.select("__html", "__elements", F.explode(_find_all("li", "list", class_="item")).alias("item"))
+    items = items.withColumn("url", dom.attribute_of(_find("a", "item"), "href"))
+    classes = F.split(dom.attribute_of(F.col("item"), "class"), r"\s+")
     return items.select(
-        H.text_of(F.col("item")).alias("country"), F.col("url").isNotNull().alias("presence"), "url",
-        H.has_class(F.col("item"), "keyOperations").alias("key_operation"))
+        dom.text(F.col("__html"), F.col("item")).alias("country"), F.col("url").isNotNull().alias("presence"), "url",
+        F.coalesce(F.array_contains(classes, F.lit("keyOperations")), F.lit(False)).alias("key_operation"))
 
 
 def introductions(pages: DataFrame) -> DataFrame:
     """Text of the third element inside each page's introduction block, null where there is none."""
-    third = F.regexp_extract("block", r"(?is)^(?:[^<]*(?:</[^>]*>[^<]*)*<[a-z][^>]*>){2}[^<]*(?:</[^>]*>[^<]*)*"
-                                      r"<([a-z][a-z0-9]*)(?:\s[^>]*)?>(.*?)</\1\s*>", 2)
-    return _block_of(pages, "div", "class", "block-introduction").select(
-        "url", F.nullif(H.text_of(third), F.lit("")).alias("description"))
+    block = parsed(pages, "div").withColumn("block", _find("div", class_="block-introduction"))
+    inner = block.select("url", F.when(F.col("block").isNotNull(), dom.inner_html(F.col("__html"), F.col("block"))).alias("inner"))
+    third = inner.withColumn("third", F.get(dom.element_table(F.col("inner")), F.lit(2)))
+    return third.select("url", F.nullif(dom.text(F.col("inner"), F.col("third")), F.lit("")).alias("description"))
 
 
 def law_listing(pages: DataFrame, node_prefix: str, duplicates=()) -> DataFrame:
     """Country options of the selection list, the first (a prompt) skipped, listed duplicates left out."""
-    lists = _block_of(pages, "select", "data-drupal-selector", "edit-country")
-    rows = lists.select(F.posexplode(H.elements(F.col("block"), "option")).alias("pos", "option")).where("pos > 0")
-    name = H.unescape(F.regexp_replace("option", r"(?s)<[^>]*>", ""))
-    out = rows.select(name.alias("country"), H.attribute(F.col("option"), "value").alias("law_id"))
+    lists = parsed(pages, "select", "option").withColumn("list", _find("select", data_drupal_selector="edit-country")).where("list is not null")
+    rows = lists.select("__html", F.posexplode(_find_all("option", "list")).alias("pos", "option")).where("pos > 0")
+    out = rows.select(dom.whole_text(F.col("__html"), F.col("option")).alias("country"),
+                      dom.attribute_of(F.col("option"), "value").alias("law_id"))
     for listed_name, listed_id in duplicates:
         out = out.where(~(strip(F.col("country")).eqNullSafe(listed_name) & F.col("law_id").eqNullSafe(listed_id)))
     return out.withColumn("url", F.concat(F.lit(node_prefix), F.col("law_id")))
@@ -80,5 +98,6 @@ def law_listing(pages: DataFrame, node_prefix: str, duplicates=()) -> DataFrame:
 
 def law_descriptions(pages: DataFrame) -> DataFrame:
     """All paragraph texts of the page's paragraphs block, joined with newlines; null without the block."""
-    return _block_of(pages, "div", "class", "field--name-field-paragraphs").select(
-        "url", F.array_join(H.paragraphs(F.col("block")), "\n").alias("description"))
+    block = parsed(pages, "div").withColumn("block", _find("div", class_="field--name-field-paragraphs"))
+    inner = F.when(F.col("block").isNotNull(), dom.inner_html(F.col("__html"), F.col("block")))
+    return block.select("url", F.array_join(H.paragraphs(inner), "\n").alias("description"))

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from indicatrix.functions import html as H
+from indicatrix.functions import dom, html as H
 from indicatrix.sources import delimited as DL, pages as W, payloads as P, snapshots as N
 
 from fixtures import rows
@@ -170,3 +170,34 @@ def test_evaluation_chain_stands_once_in_the_plan(spark):
     raw = spark.createDataFrame([("Albania, Global", "t")], "country string, title string")
     plan = D.evaluations(raw, registry(spark))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Palestinian Territory") <= 1
+
+
+def element_rows(spark, html, tags=None):
+    table = html_column(spark, html).select("html", F.explode(dom.element_table(F.col("html"), tags)).alias("e"))
+    return [tuple(r) for r in table.select("e.tag", dom.inner_html(F.col("html"), F.col("e"))).collect()]
+
+
+def test_elements_at_their_true_depth(spark):
+    html = """x < y<ul class="list"><li class="item">A<ul><li>sub</li></ul></li><LI class='item x' title="1>2">B<br>c</LI></ul></i><p>é<p>z"""
+    assert element_rows(spark, html) == [
+        ("ul", """<li class="item">A<ul><li>sub</li></ul></li><LI class='item x' title="1>2">B<br>c</LI>"""),
+        ("li", "A<ul><li>sub</li></ul>"), ("ul", "<li>sub</li>"), ("li", "sub"), ("li", "B<br>c"), ("br", ""),
+        ("p", "é<p>z"), ("p", "z")]
+    assert element_rows(spark, html, ["li"]) == [("li", "A<ul><li>sub</li></ul>"), ("li", "sub"), ("li", "B<br>c")]
+    assert element_rows(spark, "<div><ul><li>a</div>b</li>") == [("div", "<ul><li>a"), ("ul", "<li>a"), ("li", "a")]
+    assert element_rows(spark, "") == [] == element_rows(spark, None) == element_rows(spark, "no tags")
+
+
+def test_many_nested_elements(spark):
+    deep = "<div>" * 300 + "x" + "</div>" * 300
+    assert [t for _, t in element_rows(spark, deep, ["div"])][-2:] == ["<div>x</div>", "x"]
+    wide = "<ul>" + "<li>a<b>c</b></li>" * 2_000 + "</ul>"
+    found = element_rows(spark, wide)
+    assert len(found) == 4_001 and found[-2:] == [("li", "a<b>c</b>"), ("b", "c")]
+
+
+def test_nested_lists_lose_no_item(spark):
+    pages = html_column(spark, """<div id="blockRegionalList"><ul class="list"><li class="item"><a href="/a?x&amp;y">A</a><ul><li>sub</li></ul></li>
+      <li class="item keyOperations">B<ul class="list"><li class="item">C</li></ul></li></ul></div>""")
+    assert rows(W.presence_listing(pages), "country", "url", "key_operation") == sorted([
+        ("Asub", "/a?x&y", False), ("BC", None, True), ("C", None, False), ("C", None, False)], key=repr)
