@@ -9,10 +9,12 @@ from ..functions import dom, html as H
 from ..functions.text import strip
 
 
-def parsed(pages: DataFrame, *tags: str) -> DataFrame:
-    """Pages with ``__html``, without scripts and comments, and ``__elements``, their elements of these tags in page order."""
-    cleaned = pages.withColumn("__html", H.without_inert(F.col("html")))
-    return cleaned.withColumn("__elements", dom.element_table(F.col("__html"), tags))
+def parsed(pages: DataFrame, block: tuple, *tags: str) -> DataFrame:
+    """Pages with ``__html``, what the wanted block (tag, attribute, value) holds without scripts and comments, null where a page
+    has none, and ``__elements``, the block's elements of these tags (all if none are given) in page order."""
+    cleaned = pages.withColumn("__page", H.without_inert(F.col("html")))
+    found = H.with_block(cleaned, "__page", "__html", *block).drop("__page")
+    return found.withColumn("__elements", dom.element_table(F.col("__html"), tags or None))
 
 
 def _find(tag: str = None, within: str = None, **attributes) -> Column:
@@ -25,7 +27,8 @@ def _find_all(tag: str = None, within: str = None, **attributes) -> Column:
 
 def evaluation_listing(pages: DataFrame, home: str) -> DataFrame:
     """Rows of the listing table: one per ``<tr>`` in the body of a table of class views-table. A row without a Title raises."""
-    body = parsed(pages, "table", "tbody", "tr", "td", "a").withColumn("table", _find("table", class_="views-table")).withColumn("body", _find("tbody", "table"))
+    table = parsed(pages, ("table", "class", "views-table"), "table", "tbody", "tr", "td", "a")
+    body = table.withColumn("body", _find("tbody"))
     rows = body.select("__html", "__elements", F.explode(F.when(F.col("body").isNotNull(), _find_all("tr", "body"))).alias("row"))
     rows = rows.withColumn("cells", _find_all("td", "row"))
     rows = rows.withColumn("labels", F.transform("cells", lambda c: dom.attribute_of(c, "data-label")))
@@ -48,8 +51,8 @@ def evaluation_listing(pages: DataFrame, home: str) -> DataFrame:
 
 def download_links(pages: DataFrame) -> DataFrame:
     """The single download link of each detail page. Another number of links is an error."""
-    area = parsed(pages, "div", "a").withColumn("area", _find("div", class_="download-links"))
-    links = area.withColumn("links", _find("div", "area", class_="download-links__links-content"))
+    area = parsed(pages, ("div", "class", "download-links"), "div", "a")
+    links = area.withColumn("links", _find("div", class_="download-links__links-content"))
     found = links.select("url", F.when(F.col("links").isNotNull(), _find_all("a", "links")).alias("anchors"))
     wrong = F.concat(F.lit("Expected one download link at "), F.col("url"))
     one = F.coalesce(F.size("anchors") == 1, F.lit(False))
@@ -67,8 +70,8 @@ def presence_listing(pages: DataFrame) -> DataFrame:
 
     Items and lists inside others count as well, each with all that it holds.
     """
-    block = parsed(pages, "div", "ul", "li", "a").withColumn("block", _find("div", id="blockRegionalList")).where("block is not null")
-    lists = block.select("__html", "__elements", F.explode(_find_all("ul", "block", class_="list")).alias("list"))
+    block = parsed(pages, ("div", "id", "blockRegionalList"), "ul", "li", "a")
+    lists = block.select("__html", "__elements", F.explode(_find_all("ul", class_="list")).alias("list"))
     items = lists.select("__html", "__elements", F.explode(_find_all("li", "list", class_="item")).alias("item"))
     items = items.withColumn("url", dom.attribute_of(_find("a", "item"), "href"))
     classes = F.split(dom.attribute_of(F.col("item"), "class"), r"\s+")
@@ -79,16 +82,14 @@ def presence_listing(pages: DataFrame) -> DataFrame:
 
 def introductions(pages: DataFrame) -> DataFrame:
     """Text of the third element inside each page's introduction block, null where there is none."""
-    block = parsed(pages, "div").withColumn("block", _find("div", class_="block-introduction"))
-    inner = block.select("url", F.when(F.col("block").isNotNull(), dom.inner_html(F.col("__html"), F.col("block"))).alias("inner"))
-    third = inner.withColumn("third", F.get(dom.element_table(F.col("inner")), F.lit(2)))
-    return third.select("url", F.nullif(dom.text(F.col("inner"), F.col("third")), F.lit("")).alias("description"))
+    third = parsed(pages, ("div", "class", "block-introduction")).withColumn("third", F.get("__elements", F.lit(2)))
+    return third.select("url", F.nullif(dom.text(F.col("__html"), F.col("third")), F.lit("")).alias("description"))
 
 
 def law_listing(pages: DataFrame, node_prefix: str, duplicates=()) -> DataFrame:
     """Country options of the selection list, the first (a prompt) skipped, listed duplicates left out."""
-    lists = parsed(pages, "select", "option").withColumn("list", _find("select", data_drupal_selector="edit-country")).where("list is not null")
-    rows = lists.select("__html", F.posexplode(_find_all("option", "list")).alias("pos", "option")).where("pos > 0")
+    lists = parsed(pages, ("select", "data-drupal-selector", "edit-country"), "option")
+    rows = lists.select("__html", F.posexplode("__elements").alias("pos", "option")).where("pos > 0")
     out = rows.select(dom.whole_text(F.col("__html"), F.col("option")).alias("country"),
                       dom.attribute_of(F.col("option"), "value").alias("law_id"))
     for listed_name, listed_id in duplicates:
@@ -98,6 +99,6 @@ def law_listing(pages: DataFrame, node_prefix: str, duplicates=()) -> DataFrame:
 
 def law_descriptions(pages: DataFrame) -> DataFrame:
     """All paragraph texts of the page's paragraphs block, joined with newlines; null without the block."""
-    block = parsed(pages, "div").withColumn("block", _find("div", class_="field--name-field-paragraphs"))
-    inner = F.when(F.col("block").isNotNull(), dom.inner_html(F.col("__html"), F.col("block")))
-    return block.select("url", F.array_join(H.paragraphs(inner), "\n").alias("description"))
+    cleaned = pages.withColumn("__page", H.without_inert(F.col("html")))
+    block = H.with_block(cleaned, "__page", "block", "div", "class", "field--name-field-paragraphs")
+    return block.select("url", F.array_join(H.paragraphs(F.col("block")), "\n").alias("description"))
