@@ -15,6 +15,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_worker: dict = {}
+
+
+def of_worker(operator: str, key, make):
+    """What a Python worker keeps from task to task, such as words seen before. Workers outlive stages: the first task of
+    another operator drops what the one before has kept, so that they do not add up."""
+    if _worker.get("operator") != operator:
+        _worker.clear()
+        _worker["operator"] = operator
+    if key not in _worker:
+        _worker[key] = make()
+    return _worker[key]
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder in the one that all executors share; only where a session names none (tests) is one made for it."""
     root = spark.conf.get("spark.checkpoint.dir", None)

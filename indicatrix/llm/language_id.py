@@ -10,6 +10,7 @@ the words it has scored, so a text costs one lookup per word.
 from __future__ import annotations
 
 import re
+import sys
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -20,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import of_worker, stored
 
 LONGEST_PIECE, LONGEST_WORD = 16, 24
 SMOOTHING, UNKNOWN = 0.1, 1e-7
 START = "▁"
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Numerals that regular expressions take for parts of words, such as superscripts, fractions and Roman numerals.
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
 NONE = "und"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -168,13 +171,8 @@ class Lattice:
         return out
 
 
-_lattices: dict[str, Lattice] = {}
-
-
 def _lattice(vocabulary: str) -> Lattice:
-    if vocabulary not in _lattices:
-        _lattices[vocabulary] = Lattice(vocabulary)
-    return _lattices[vocabulary]
+    return of_worker("language", vocabulary, lambda: Lattice(vocabulary))
 
 
 def words_of(text: str | None) -> list[str]:
@@ -270,14 +268,9 @@ class Scorer:
             self.known[base:base + len(new)] = self.lattice.scores([START + w for w in new], self.model)
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def _predict(langs: list[str], key: str, vocabulary: str, shared, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(vocabulary, shared.value)
-    found = _scorers[key](texts) if langs else np.zeros((len(texts), 1))
+    scorer = of_worker(f"language {key}", "scorer", lambda: Scorer(vocabulary, shared.value))
+    found = scorer(texts) if langs else np.zeros((len(texts), 1))
     best = found.argmax(1)
     sure = 1 / np.exp(found - found.max(1, keepdims=True)).sum(1)
     lettered = np.array([bool(langs and t and LETTERS.search(t)) for t in texts], bool)

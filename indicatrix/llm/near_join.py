@@ -4,9 +4,10 @@ In every run, a document's shingle set chooses tokens: those whose hash for the
 about 1.25 tokens. Documents that chose the same token of the same run meet in a bucket. Similar sets choose the same
 tokens; a passage that many documents share is chosen by few of them, as its tokens are few among theirs. Runs are repeated
 until a pair at the threshold is missed with a probability below ``1 - recall``. Small buckets are compared pair by pair;
-pairs that meet too seldom over all runs to be similar are left out before their sets are looked at. Large buckets are
-split once more by a second token chosen along the path, and what is left of them is compared in blocks inside tasks, which
-add up links and return one row per member, not pairs. Every pair's similarity is computed on the whole sets.
+pairs that meet too seldom over all runs to be similar are left out before their sets are looked at. Large buckets are split
+by further tokens chosen along the path, again and again while that parts their members, and what is left is compared in
+blocks inside tasks, which add up links and return one row per member, not pairs. Blocks are bounded by members and by the
+bytes of their sets. Every pair's similarity is computed on the whole sets.
 
 Documents with equal sets are one representative throughout, however many copies there are.
 """
@@ -23,11 +24,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import of_worker, stored
 
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.9999
-#: Members of a bucket that is compared pair by pair; members of a block in larger ones; meetings a similar pair has at least.
-SMALL, BLOCK, MEETINGS = 64, 1536, 6
+#: Members of a bucket that is compared pair by pair; meetings a similar pair has at least.
+SMALL, MEETINGS = 64, 6
+#: Members, and bytes of their sets, of a block in larger ones; a comparison holds two blocks.
+BLOCK, BLOCK_BYTES = 768, 4_000_000
+#: Tokens chosen a step, for one at the first two, where buckets above a block are split on; steps at most; the share of a
+#: bucket's pairs that a step must leave behind.
+MORE, STEPS, GAIN = 5, 6, 0.5
 #: Representatives that are sent to every task to fetch their sets (8 bytes each); with more, a join fetches them.
 SENT = 500_000
 CHUNK = 4_000_000
@@ -47,20 +53,18 @@ class _Hashes(dict):
         return value
 
 
-_hashes = _Hashes()
-
-
 def shingles(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
     """Each text's sorted distinct 64-bit hashes of runs of ``size`` words (A-Z in lower case, split at ASCII white space).
 
     A text with fewer words is one shingle; one without words, or null, has none.
     """
-    if len(_hashes) > 400_000:
-        _hashes.clear()
+    hashes = of_worker("shingles", "hashes", _Hashes)
+    if len(hashes) > 200_000:
+        hashes.clear()
     words = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]
     out = []
     for own in words:
-        codes = np.fromiter(map(_hashes.__getitem__, own), np.uint64, len(own))
+        codes = np.fromiter(map(hashes.__getitem__, own), np.uint64, len(own))
         if len(codes) >= size:
             n = len(codes) - size + 1
             total = np.zeros(n, np.uint64)
@@ -132,17 +136,17 @@ def _compare(similarity: float):
     def run(group: pa.Table) -> pa.Table:
         rows = group.sort_by("rep").to_pydict()
         n, copies = np.array(rows["n"]), np.array(rows["copies"], float)
-        shared = _common([np.frombuffer(s, "<u4") for s in rows["set"]])
         # |a and b| >= s * |a or b|, in integers as far as possible
-        linked = shared * (1 + similarity) >= similarity * (n[:, None] + n[None, :]) - 1e-6
-        np.fill_diagonal(linked, False)
+        counted = _common([np.frombuffer(s, "<u4") for s in rows.pop("set")]) * (1 + similarity) >= (
+            similarity * (n[:, None] + n[None, :]) - 1e-6)
+        np.fill_diagonal(counted, False)
         side = np.array(rows["side"])
         if rows["i"][0] != rows["j"][0]:
-            linked &= side[:, None] != side[None, :]
+            counted &= side[:, None] != side[None, :]
         # a pair counts where it is the first of the buckets that both are in, unless the small buckets have counted it
-        counted = linked & (_common([np.array(x, np.int64) for x in rows["small"]]) < MEETINGS)
+        counted &= _common([np.array(x, np.int64) for x in rows.pop("small")]) < MEETINGS
         here = rows["key"][0]
-        counted &= _common([(x := np.array(y, np.int64))[x < here] for y in rows["leaves"]]) == 0
+        counted &= _common([(x := np.array(y, np.int64))[x < here] for y in rows.pop("leaves")]) == 0
         root = np.arange(len(n), dtype=np.int32)
         while True:
             near = np.where(counted, root[None, :], np.int32(len(n))).min(1)
@@ -195,22 +199,61 @@ def _pair_links(similarity: float):
 
 
 def _next_paths(similarity: float):
-    """Second tokens along the paths of members of large buckets: rows (rep, key)."""
+    """Next tokens along the paths of members of large buckets: rows (rep, key, parent)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            reps, keys = [], []
+            reps, keys, parents = [], [], []
             for rep, data, paths in zip(batch.column("rep").to_pylist(), batch.column("set"), batch.column("large"), strict=True):
                 tokens = np.frombuffer(data.as_buffer(), "<u4").astype(np.uint64)
                 path = paths.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                chosen = _mix(tokens ^ _mix(path)[:, None]) <= _limit(len(tokens), similarity)
-                at, place = chosen.nonzero()
-                keys.append(_mix(_mix(path[at] + np.uint64(1)) ^ tokens[place]).view(np.int64))
-                reps.append(np.full(len(at), rep))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *x])) for x in (reps, keys)],
-                                             ["rep", "key"])
+                for some in np.array_split(path, -(-len(path) * len(tokens) // CHUNK) or 1):
+                    chosen = _mix(tokens ^ _mix(some)[:, None]) <= _limit(len(tokens), similarity)
+                    at, place = chosen.nonzero()
+                    keys.append(_mix(_mix(some[at] + np.uint64(1)) ^ tokens[place]).view(np.int64))
+                    parents.append(some[at].view(np.int64))
+                    reps.append(np.full(len(at), rep))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *x])) for x in (reps, keys, parents)],
+                                             ["rep", "key", "parent"])
     return run
 
 
+def _leaves(members: DataFrame, similarity: float) -> DataFrame:
+    """The buckets in which members of large buckets are compared: rows (rep, key, in_leaf).
+
+    Large buckets are split by a second token. What is still larger than a block is split on, with ``MORE`` tokens chosen at
+    a time, so that hardly any similar pair is parted, for as long as that leaves behind ``GAIN`` of a bucket's pairs. Copies
+    that differ little share their tokens and stay together; they are compared in blocks.
+    """
+    def split(paths: DataFrame, share: float) -> DataFrame:
+        found = members.select("rep", "set").join(paths.groupBy("rep").agg(F.collect_list("key").alias("large")), "rep")
+        return stored(found.select("rep", "large", "set").mapInArrow(_next_paths(similarity / share), "rep long, key long, parent long"),
+                      "paths")
+
+    def sizes(paths: DataFrame) -> DataFrame:
+        return paths.groupBy(F.col("key").alias("at")).agg(F.count(F.lit(1)).alias("in_leaf"))
+
+    paths = split(members.select("rep", F.explode("large").alias("key")), 1)
+    leaves = paths.join(sizes(paths).where("in_leaf > 1"), F.col("key") == F.col("at")).select("rep", "key", "in_leaf")
+    leaves = stored(leaves, "leaves")
+    done, open_ = leaves.where(F.col("in_leaf") <= BLOCK), leaves.where(F.col("in_leaf") > BLOCK)
+    for _ in range(2, STEPS):
+        if open_.isEmpty():
+            break
+        paths = split(open_, MORE)
+        children = stored(paths.join(sizes(paths), F.col("key") == F.col("at")), "children")
+        before = open_.select(F.col("key").alias("of"), "in_leaf").distinct()
+        after = (children.select("parent", "key", F.col("in_leaf").cast("double").alias("n")).distinct()
+                 .groupBy("parent").agg(F.sum(F.col("n") * F.col("n")).alias("pairs")))
+        gains = (before.join(after, F.col("of") == F.col("parent"))
+                 .where(F.col("pairs") <= (1 - GAIN) * F.col("in_leaf").cast("double") * F.col("in_leaf")).select("of"))
+        gains = stored(gains, "gains")
+        whole = open_.join(gains, F.col("key") == F.col("of"), "left_anti")
+        split_on = children.join(gains, F.col("parent") == F.col("of"), "left_semi").where("in_leaf > 1").select("rep", "key", "in_leaf")
+        done = done.unionByName(whole).unionByName(split_on.where(F.col("in_leaf") <= BLOCK))
+        open_ = split_on.where(F.col("in_leaf") > BLOCK)
+    return stored(done.unionByName(open_), "leaves")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(rep, root) of all ends of ``edges`` (a, b), by alternating large-star and small-star rounds kept in the shared folder."""
     def star(pairs: DataFrame, large: bool) -> DataFrame:
@@ -287,16 +330,17 @@ def near_classes(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
                     .mapInArrow(_pair_links(similarity), "a long, b long, copies_a long, copies_b long"), "similar")
 
     members = stored(crowded.join(sets.drop("paired"), "rep"), "members")
-    paths = members.select("rep", "large", "set").mapInArrow(_next_paths(similarity), "rep long, key long")
-    paths = stored(paths, "paths")
-    leaves = paths.join(paths.groupBy("key").agg(F.count(F.lit(1)).alias("in_leaf")).where("in_leaf > 1"), "key")
-    leaves = stored(leaves, "leaves")
+    leaves = _leaves(members, similarity)
     whole = members.join(leaves.groupBy("rep").agg(F.collect_list("key").alias("leaves")), "rep").select(
         F.col("rep").alias("of"), "n", "set", "copies", "small", "leaves")
-    blocks = F.ceil(F.col("in_leaf") / BLOCK)
-    spread = (leaves.join(whole, F.col("rep") == F.col("of")).drop("of").withColumn("side", F.pmod(F.xxhash64("rep"), blocks))
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-              .withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other")).drop("other", "in_leaf"))
+    about = (leaves.join(members.select(F.col("rep").alias("of"), F.octet_length("set").alias("bytes")), F.col("rep") == F.col("of"))
+             .groupBy(F.col("key").alias("at")).agg(F.sum("bytes").alias("bytes")))
+    blocks = F.ceil(F.greatest(F.col("in_leaf") / BLOCK, F.col("bytes") / BLOCK_BYTES))
+    spread = (leaves.join(about, F.col("key") == F.col("at")).withColumn("blocks", blocks).drop("at", "bytes", "in_leaf")
+              .withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other")).drop("other", "blocks"))
+    spread = spread.join(whole, F.col("rep") == F.col("of")).drop("of")
     inside = stored(spread.groupBy("key", "i", "j").applyInArrow(_compare(similarity), "rep long, links long, root long"), "inside")
 
     links = (linked.select(F.col("a").alias("rep"), F.col("copies_b").alias("links"))

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_folder
+from .common import of_worker, shared_folder
 
 BLOCK = 1 << 16
 MAGIC = b"bitpack1"
@@ -112,14 +112,9 @@ class TextEncoder:
         return b"".join(out)
 
 
-_encoders: dict[str, TextEncoder] = {}
-
-
 def text_encoder(path: str) -> TextEncoder:
     """The process's encoder: a worker keeps its words from task to task."""
-    if path not in _encoders:
-        _encoders[path] = TextEncoder(path)
-    return _encoders[path]
+    return of_worker("token ids", path, lambda: TextEncoder(path))
 
 
 def bits_for(n_ids: int) -> int:
