@@ -540,6 +540,31 @@ def delimited_list_resolve(spark, sf_dir):
     return df.select("o_orderkey", "value")
 
 
+@query(f"""
+WITH {REGISTRY},
+ids AS (SELECT 'P' || p_partkey AS entity_id, p_name AS name FROM part),
+raw AS (SELECT row_number() OVER () AS r, l_orderkey, l_linenumber, l_returnflag = 'R' AND l_linenumber = 7 AS wanted,
+          CASE WHEN l_linenumber <> 6 THEN 'P' || l_partkey || ';X' || l_suppkey || ', Country ' || l_suppkey % 30 END AS v FROM lineitem),
+tok AS (SELECT r, generate_subscripts(l, 1) AS pos, trim(unnest(l)) AS t
+        FROM (SELECT *, string_split(replace(v, ';', ','), ',') AS l FROM raw WHERE wanted)),
+country_name AS (SELECT k, coalesce(entity_id, entity_name) AS name FROM country_key WHERE entity_name IS NOT NULL),
+named AS (SELECT r, string_agg(coalesce(i.name, c.name, t), ', ' ORDER BY pos) AS names
+  FROM tok LEFT JOIN ids i ON i.entity_id = t LEFT JOIN country_name c ON c.k = lower(t) GROUP BY ALL)
+SELECT raw.l_orderkey, raw.l_linenumber, coalesce(names, v) AS value
+FROM raw LEFT JOIN named ON named.r = raw.r""")
+def delimited_list_resolve_by_ids(spark, sf_dir):
+    """Few rows list ids; their names come from a table of its own, the parts."""
+    def text(c):
+        return F.col(c).cast("string")
+    ids = table(spark, sf_dir, "part").select(F.concat(F.lit("P"), text("p_partkey")).alias("entity_id"), F.col("p_name").alias("name"))
+    value = F.concat(F.lit("P"), text("l_partkey"), F.lit(";X"), text("l_suppkey"), F.lit(", Country "),
+                     (F.col("l_suppkey") % 30).cast("string"))
+    df = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag",
+                                                 F.when(F.col("l_linenumber") != 6, value).alias("value"))
+    wanted = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7)
+    return L.resolve_id_text(df, registry(spark, sf_dir), "value", wanted, id_names=ids).drop("l_returnflag")
+
+
 @query(f"""
 WITH {REGISTRY},
 base AS (SELECT c_custkey, c_nationkey AS a, (c_nationkey + c_custkey) % 25 AS b FROM customer)

@@ -2,7 +2,7 @@
 
 A registry measured to be small becomes one map value (a scalar subquery), so list elements are looked up inside the
 row and nothing is shuffled. A larger one is joined: distinct lists are exploded, joined, put back in order, and joined
-to their rows; the group of a list is as long as that list.
+to their rows by a hash; the group of a list is as long as that list, and rows without a list are dealt out evenly.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import (
     clean_list, join_list, match_key, normalise, recode_list, replace_in_order, split_list, strip)
 from .columns import quoted
-from .registry import ATTRIBUTES, Registry, _side, cascade_table, lookup_table
+from .registry import ATTRIBUTES, Registry, _side, cascade_table, join_spread, lookup_table, spread_nulls
 
 
 N_BUCKETS = 256
@@ -38,25 +38,36 @@ def _resolve_in_row(df, column, into, table, value, key, combine):
     return with_maps.withColumn(into, F.transform(quoted(column), item)).drop("__maps")
 
 
+def _list_key(items: Column) -> Column:
+    """128 bits that tell lists of texts apart, so that joins move and compare these and not the lists."""
+    marked = F.transform(items, lambda x: F.coalesce(F.concat(F.length(x).cast("string"), F.lit(":"), x), F.lit("-")))
+    return F.md5(F.array_join(marked, ",").cast("binary"))
+
+
 def _resolve_by_join(df, column, into, table, value, key, combine):
-    lists = df.select(quoted(column).alias("__list")).where("__list is not null and size(__list) > 0").distinct()
-    items = lists.select("__list", F.posexplode("__list").alias("__pos", "__item"))
+    has = F.coalesce(F.size(quoted(column)) > 0, F.lit(False))
+    keyed = df.withColumn("__list", spread_nulls(F.when(has, _list_key(quoted(column)))))
+    lists = keyed.where(has).groupBy("__list").agg(F.first(quoted(column)).alias("__items"))
+    items = lists.select("__list", F.posexplode("__items").alias("__pos", "__item"))
     hits = []
     for i, k in enumerate(key(F.col("__item"))):
         side = table.select(F.col("lookup_key").alias(f"__k{i}"), F.col(value).alias(f"__v{i}"))
-        items = items.withColumn(f"__k{i}", k).join(side, f"__k{i}", "left")
+        items = join_spread(items.withColumn(f"__k{i}", k), side, f"__k{i}")
         hits.append(F.col(f"__v{i}"))
     entry = F.struct("__pos", combine(F.col("__item"), hits).alias("v"))
     done = (items.groupBy("__list").agg(F.sort_array(F.collect_list(entry)).alias("__done"))
             .select("__list", F.transform("__done", lambda e: e["v"]).alias("__out")))
-    joined = df.withColumn("__list", quoted(column)).join(done, "__list", "left")
-    empty = F.when(F.col("__list").isNotNull(), F.array().cast(done.schema["__out"].dataType))
-    return joined.withColumn(into, F.coalesce("__out", empty)).drop("__list", "__out")
+    empty = F.when(quoted(column).isNotNull(), F.array().cast(done.schema["__out"].dataType))
+    return keyed.join(done, "__list", "left").withColumn(into, F.coalesce("__out", empty)).drop("__list", "__out")
+
+
+def _in_row(registry: Registry, id_names=None) -> bool:
+    """Whether the table is made from a registry that was measured to be small; a user's ids are always joined."""
+    return registry.fits_map and id_names is None
 
 
 def _resolve(df, registry, column, into, table, value, key, combine, id_names=None):
-    """In the row if the table is made from a registry that was measured to be small; a user's ids are always joined."""
-    if registry.fits_map and id_names is None:
+    if _in_row(registry, id_names):
         return _resolve_in_row(df, column, into, table, value, key, combine)
     return _resolve_by_join(df, column, into, _side(registry, id_names)(table), value, key, combine)
 
@@ -104,21 +115,25 @@ def resolve_id_text(df: DataFrame, registry: Registry, column: str, when: Column
     """Text listing ids (separated by ``,`` or ``;``) to text listing names.
 
     Blank and invalid tokens are dropped, changed ids replaced, ids and names resolved by the cascade, and what stays
-    unknown is kept. Only rows where ``when`` holds are touched.
+    unknown is kept. Only rows where ``when`` holds are touched; where a join is needed, the others do not take part in it but
+    are read a second time, past it, so ``df`` must give the same rows each time.
     """
     target = into or column
     tokens = F.filter(split_list(F.col(column)), lambda x: ~x.isin(list(invalid))) if invalid \
         else split_list(F.col(column))
     tokens = recode_list(tokens, changed or {})
     touched = F.lit(True) if when is None else F.coalesce(when, F.lit(False))
+    chosen = touched & F.col(column).isNotNull()
     table = cascade_table(registry, id_names)
-    ready = df.withColumn("__tokens", F.when(touched, tokens))
-    done = _resolve(ready, registry, "__tokens", "__names", table, "name",
-                    lambda x: [F.concat(F.lit("id:"), x), F.concat(F.lit("name:"), match_key(x))],
-                    lambda x, hits: F.coalesce(*hits, normalise(x)), id_names)
-    return done.withColumn(
-        target, F.when(touched & F.col(column).isNotNull(), join_list(F.col("__names"))).otherwise(F.col(column))
-    ).drop("__tokens", "__names")
+
+    def resolved(rows):
+        found = _resolve(rows.withColumn("__tokens", F.when(chosen, tokens)), registry, "__tokens", "__names", table, "name",
+                         lambda x: [F.concat(F.lit("id:"), x), F.concat(F.lit("name:"), match_key(x))],
+                         lambda x, hits: F.coalesce(*hits, normalise(x)), id_names)
+        return found.withColumn(target, F.when(chosen, join_list(F.col("__names"))).otherwise(F.col(column))).drop("__tokens", "__names")
+    if when is None or _in_row(registry, id_names):
+        return resolved(df)
+    return resolved(df.where(when & F.col(column).isNotNull())).unionByName(df.where(~chosen).withColumn(target, F.col(column)))
 
 
 def split_and_clean(df: DataFrame, column: str, replacements: dict, unwanted) -> DataFrame:

@@ -140,6 +140,19 @@ def _unknown_policy(df: DataFrame, match: Column, value: Column, column: str, er
     return df
 
 
+def spread_nulls(key: Column) -> Column:
+    """A text key of its own for rows without one. They match nothing, and no partition of a shuffle gets them all."""
+    return F.coalesce(key, F.concat(F.lit("\0"), F.pmod(F.monotonically_increasing_id(), F.lit(NULL_KEYS)).cast("string")))
+
+
+def join_spread(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Left join with a table that has each ``key`` once, of any type. Rows whose key is null match nothing and are dealt out
+    evenly; of a key that many rows share, Spark's adaptive joins split the partition."""
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(NULL_KEYS)).cast("int") + 1
+    salted = df.withColumn("__turn", F.when(F.col(key).isNull(), turn).otherwise(0))
+    return salted.join(table.withColumn("__turn", F.lit(0)), [key, "__turn"], "left").drop("__turn")
+
+
 def attach_match(df: DataFrame, registry: Registry, column: str, by: str, aliases: bool = False,
                  errors: str = "ignore", observation=None, into: str = "match") -> DataFrame:
     """Add a struct column with the registry attributes of the entity that ``column`` names, null if unknown.
@@ -149,7 +162,7 @@ def attach_match(df: DataFrame, registry: Registry, column: str, by: str, aliase
     value = F.col(column).cast("string")
     key = match_key(value) if aliases else F.lower(value)
     if not registry.broadcastable:  # rows without a key match nothing: no partition gets them all
-        key = F.coalesce(key, F.concat(F.lit("\0"), F.pmod(F.monotonically_increasing_id(), F.lit(NULL_KEYS)).cast("string")))
+        key = spread_nulls(key)
     table = lookup_table(registry, by, aliases).withColumnsRenamed({"lookup_key": "__key", "match": "__match"})
     joined = df.withColumn("__key", key).join(registry.side(table), "__key", "left")
     joined = _unknown_policy(joined, F.col("__match"), value, column, errors, observation)
@@ -237,7 +250,7 @@ def map_ids(df: DataFrame, pairs: DataFrame, column: str, into: str, key: str, v
         pairs, key, value = invert(pairs.select(key, value)), value, key
     table = (pairs.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key"))
              .agg(F.max(value).alias("__value")))
-    return (df.withColumn("__key", F.col(column)).join(table, "__key", "left")
+    return (join_spread(df.withColumn("__key", F.col(column)), table, "__key")
             .withColumn(into, F.col("__value")).drop("__key", "__value"))
 
 
@@ -278,9 +291,10 @@ def resolve_ids(df: DataFrame, registry: Registry, column: str, into: str, id_na
     value = normalise(F.col(column).cast("string"))
     by_id = table.select(F.col("lookup_key").alias("__id"), F.col("name").alias("__by_id"))
     by_name = table.select(F.col("lookup_key").alias("__nm"), F.col("name").alias("__by_name"))
-    out = (df.withColumn("__id", F.concat(F.lit("id:"), F.col(column)))
-           .withColumn("__nm", F.concat(F.lit("name:"), F.lower(value)))
-           .join(side(by_id), "__id", "left").join(side(by_name), "__nm", "left"))
+    out = join_spread(df.withColumn("__id", F.concat(F.lit("id:"), F.col(column))), side(by_id), "__id")
+    # Only what is no id is looked up as a name.
+    named = out.withColumn("__nm", F.when(F.col("__by_id").isNull(), F.concat(F.lit("name:"), F.lower(value))))
+    out = join_spread(named, side(by_name), "__nm")
     hits = ["__by_id", "__by_name"]
     return (out.withColumn(into, F.coalesce(*hits, value) if keep_unknown else F.coalesce(*hits))
             .drop("__id", "__nm", *hits))

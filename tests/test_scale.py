@@ -104,3 +104,46 @@ def test_unused_columns_are_not_read(spark, tmp_path):
     assert "ReadSchema: struct<code:string,a:bigint>" in plan(df)
     melted = S.melt(spark.read.parquet(path), ["code"], ["a", "b"]).where("indicator = 'a'")
     assert "c:bigint" not in plan(melted)
+
+
+def test_rows_that_cannot_match_are_not_joined(spark, tmp_path):
+    """98 of 100 rows hold no ids: they pass the joins by, and the rows of the others are spread whatever they share."""
+    path = str(tmp_path / "t")
+    spark.range(20_000).selectExpr("id", "case when id % 100 < 2 then 'a' else 'b' end as kind",
+                                   "case when id % 100 = 0 then concat('X', id % 3, ', X9') when id % 7 > 0 then 'X1' end as v").write.parquet(path)
+    df = spark.read.parquet(path)
+    ids = spark.createDataFrame([(f"X{i}", f"Name {i}") for i in range(3)], "entity_id string, name string")
+    out = L.resolve_id_text(df, wide_registry(spark), "v", F.col("kind") == "a", id_names=ids)
+    shape = plan(out)
+    # both the lists' rows and the distinct lists come from the filtered scan; the rest is one scan without exchange
+    joined, rest = shape.split("FileScan")[1:-1], shape.split("FileScan")[-1]
+    assert "Union" in shape and joined and all("EqualTo(kind,a)" in scan for scan in joined if "kind" in scan)
+    assert "EqualTo(kind,a)" not in rest and "Exchange" not in shape[shape.rindex("Filter"):]
+    got = {r["id"]: r["v"] for r in out.collect()}
+    assert len(got) == 20_000
+    for r in df.collect():
+        want = r["v"]
+        if r["kind"] == "a" and want is not None:
+            want = ", ".join(f"Name {t[1:]}" if t != "X9" else t for t in want.split(", "))
+        assert got[r["id"]] == want
+
+
+@pytest.mark.parametrize("join", ["broadcast", "shuffle"])
+def test_null_keys_are_dealt_out(spark, join):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1 if join == "shuffle" else 10_000_000)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(8_000).selectExpr("id", "case when id % 10 = 0 then cast(id % 50 as int) end as k",
+                                           "case when id % 10 = 0 then concat('D', id % 50) end as code")
+        pairs = spark.range(50).selectExpr("cast(id as int) as key", "concat('v', id) as value")
+        mapped = R.map_ids(df, pairs, "k", "out", "key", "value")
+        assert {r["id"]: r["out"] for r in mapped.collect()} == {i: f"v{i % 50}" if i % 10 == 0 else None for i in range(8_000)}
+        reg = wide_registry(spark, **({"max_rows": 10} if join == "shuffle" else {}))
+        named = R.resolve_ids(df, reg, "code", "out")
+        assert {r["id"]: r["out"] for r in named.collect()} == {i: f"Society {i % 50}" if i % 10 == 0 else None for i in range(8_000)}
+        if join == "shuffle":
+            sizes = [r["count"] for r in mapped.groupBy(F.spark_partition_id()).count().collect()]
+            assert max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2] and len(sizes) == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
