@@ -28,12 +28,12 @@ from .common import of_worker, stored
 
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.9999
 #: Members of a bucket that is compared pair by pair; meetings a similar pair has at least.
-SMALL, MEETINGS = 64, 6
+SMALL, MEETINGS = 32, 6
 #: Members, and bytes of their sets, of a block in larger ones; a comparison holds two blocks.
 BLOCK, BLOCK_BYTES = 768, 4_000_000
 #: Tokens chosen a step, for one at the first two, where buckets above a block are split on; steps at most; the share of a
 #: bucket's pairs that a step must leave behind.
-MORE, STEPS, GAIN = 5, 6, 0.5
+MORE, STEPS, GAIN = 3, 6, 0.5
 #: Representatives that are sent to every task to fetch their sets (8 bytes each); with more, a join fetches them.
 SENT = 500_000
 CHUNK = 4_000_000
@@ -240,15 +240,16 @@ def _leaves(members: DataFrame, similarity: float) -> DataFrame:
         if open_.isEmpty():
             break
         paths = split(open_, MORE)
-        children = stored(paths.join(sizes(paths), F.col("key") == F.col("at")), "children")
         before = open_.select(F.col("key").alias("of"), "in_leaf").distinct()
-        after = (children.select("parent", "key", F.col("in_leaf").cast("double").alias("n")).distinct()
+        after = (paths.groupBy("parent", "key").agg(F.count(F.lit(1)).cast("double").alias("n"))
                  .groupBy("parent").agg(F.sum(F.col("n") * F.col("n")).alias("pairs")))
         gains = (before.join(after, F.col("of") == F.col("parent"))
                  .where(F.col("pairs") <= (1 - GAIN) * F.col("in_leaf").cast("double") * F.col("in_leaf")).select("of"))
         gains = stored(gains, "gains")
         whole = open_.join(gains, F.col("key") == F.col("of"), "left_anti")
-        split_on = children.join(gains, F.col("parent") == F.col("of"), "left_semi").where("in_leaf > 1").select("rep", "key", "in_leaf")
+        parted = paths.join(gains, F.col("parent") == F.col("of"), "left_semi")
+        split_on = parted.join(sizes(parted).where("in_leaf > 1"), F.col("key") == F.col("at")).select("rep", "key", "in_leaf")
+        split_on = stored(split_on, "children")
         done = done.unionByName(whole).unionByName(split_on.where(F.col("in_leaf") <= BLOCK))
         open_ = split_on.where(F.col("in_leaf") > BLOCK)
     return stored(done.unionByName(open_), "leaves")
