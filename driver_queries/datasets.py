@@ -208,6 +208,44 @@ def capacity_assessments_latest(spark, sf_dir):
                                                  indicators=SEGMENTS))
 
 
+@query(f"""
+SELECT entity_name, country, iso3, region, year, concat_ws('|', {", ".join(
+    f"CASE WHEN {x.lower()} <> '-' THEN '{x}=' || {x.lower()} END" for x in sorted(SEGMENTS))}) AS results FROM ({ASSESSMENTS})""")
+def capacity_assessment_results(spark, sf_dir):
+    """The dataset as it comes, its results a map: no label is named or read beforehand."""
+    df = collect.dataset("capacity_assessments", assessment_sheet(spark, sf_dir), registry(spark, sf_dir))
+    found = F.map_filter("results", lambda k, v: k.isin(SEGMENTS) & (v != "0"))
+    return df.select(*INDEX_COLUMNS, "year", F.array_join(F.transform(
+        F.array_sort(F.map_entries(found)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|").alias("results"))
+
+
+def projects_by_country(spark, sf_dir):
+    """Customers as rows of a sheet; some name a country that nobody knows, some none."""
+    number = F.col("c_nationkey") + F.when(F.col("c_custkey") % 9 == 0, 100).otherwise(0)
+    return table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_custkey") % 13 != 0, F.concat(F.lit("land "), number.cast("string"))).alias("Country"),
+        F.col("c_mktsegment").alias("Type"), F.lit("x").alias("Region"))
+
+
+@query("""
+SELECT 'Evaluations' AS dataset, count(*) FILTER (c_custkey % 9 = 0 AND c_custkey % 13 <> 0) AS unknown_rows, 0 AS null_rows FROM customer
+UNION ALL SELECT 'Projects', count(*) FILTER (c_custkey % 9 = 0 AND c_custkey % 13 <> 0), count(*) FILTER (c_custkey % 13 = 0)
+FROM customer""")
+def datasets_with_warnings(spark, sf_dir):
+    """How many rows of each dataset named what the registry does not know, counted while the datasets were computed."""
+    raw = projects_by_country(spark, sf_dir)
+    entries = [("Projects", "logistics_projects"), ("Evaluations", "evaluations")]
+    about = {f.name: None for f in CATALOGUE_SCHEMA}
+    catalogue = spark.createDataFrame([tuple({**about, "name": n, "kind": k, "archived": False}.values()) for n, k in entries], CATALOGUE_SCHEMA)
+    lists = raw.select(F.concat(F.col("Country"), F.lit(", global")).alias("country"), F.col("Type").alias("title"))
+    warnings = {}
+    built = collect.datasets(catalogue, {"Projects": raw, "Evaluations": lists}, registry(spark, sf_dir), warnings=warnings)
+    for found in built.values():
+        found.write.format("noop").mode("overwrite").save()
+    counted = [(name, c["unknown_rows"], c["null_rows"]) for name, w in warnings.items() for c in w.counts()]
+    return spark.createDataFrame(counted, "dataset string, unknown_rows long, null_rows long")
+
+
 def dates_raw(spark, sf_dir):
     """One assessment per supplier."""
     return table(spark, sf_dir, "supplier").select(

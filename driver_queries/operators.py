@@ -1,6 +1,9 @@
 """One query per operator, over whole tables, with the SQL that must give the same rows."""
 
-from pyspark.sql import functions as F
+import tempfile
+import uuid
+
+from pyspark.sql import Window, functions as F
 
 from indicatrix import load_registry
 from indicatrix.functions.text import clean_list
@@ -11,7 +14,7 @@ from indicatrix.operators import (
 from indicatrix.plans.collect import combine
 from indicatrix.plans.datasets import COMMA_COUNTRY_NAMES, LOCATIONS_NOT_COUNTRIES
 from indicatrix.schemas import INDEX_COLUMNS
-from indicatrix.sources import payloads as P
+from indicatrix.sources import payloads as P, snapshots as N
 
 from .inputs import (
     DIRTY, REGISTRY, country_of, dirty_customers, id_of, iso3_of, money, query, registry, registry_rows, table)
@@ -674,3 +677,55 @@ SELECT entity_name, country, iso3, region, indicator, CAST(value AS DOUBLE) AS v
 FROM ranked WHERE regexp_matches(value, '^[0-9]+$')""")
 def unified_indicators_quantitative(spark, sf_dir):
     return combine(unified_parts(spark, sf_dir), quantitative=True, ordered=True)
+
+
+# ---------------------------------------------------------------- keys, pages and snapshots as they come
+
+@query("""
+SELECT o_orderkey, o_orderstatus AS status, CASE WHEN o_orderkey % 2 = 0 THEN o_shown END AS total,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_custkey % 7 END AS clerk_n, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey % 2 = 0 END AS clerk_ok,
+  CASE WHEN o_orderkey % 5 = 0 THEN 'it''s "new"' END AS note, CAST(NULL AS VARCHAR) AS void
+FROM (SELECT *, CAST(floor(o_totalprice) AS DOUBLE) + 0.5 AS o_shown FROM orders WHERE o_orderkey % 11 <> 0)
+UNION ALL SELECT o_orderkey, NULL, NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 11 = 0""")
+def dict_keys_discovered(spark, sf_dir):
+    """Printed dictionaries whose keys differ from row to row; no schema is given."""
+    key, price = F.col("o_orderkey"), F.floor("o_totalprice").cast("string")
+    def part(when, *texts):
+        return F.when(when, F.concat(*[F.lit(t) if isinstance(t, str) else t for t in texts])).otherwise(F.lit(""))
+    ok = F.when(F.col("o_custkey") % 2 == 0, F.lit("True")).otherwise(F.lit("False"))
+    words = F.concat(
+        F.lit("{'status': '"), F.col("o_orderstatus"), F.lit("'"), part(key % 2 == 0, ", 'total': ", price, ".5"),
+        part(key % 3 == 0, ", 'clerk': {'n': ", (F.col("o_custkey") % 7).cast("string"), ", 'ok': ", ok, "}"),
+        part(key % 5 == 0, ", 'note': 'it\\'s \"new\"'"), part(key % 7 == 0, ", 'void': None"), F.lit("}"))
+    df = table(spark, sf_dir, "orders").select("o_orderkey", F.when(key % 11 != 0, words).alias("d"))
+    out = S.expand_dict_columns(df, {"d": None}, drop=True, text="python")
+    return out.toDF(*[c.removeprefix("d.").replace(".", "_") for c in out.columns])
+
+
+@query("""SELECT c_custkey, c_name, c_nationkey FROM customer""")
+def paged_rows_with_ledger(spark, sf_dir):
+    """Customers landed as pages of one nation each, given back only if the pages that they announce are there once each."""
+    customers = table(spark, sf_dir, "customer")
+    count = customers.agg(F.count_distinct("c_nationkey")).scalar()
+    place = customers.select("c_nationkey").distinct().select(
+        F.col("c_nationkey").alias("of"), F.row_number().over(Window.orderBy("c_nationkey")).alias("page"))
+    rows = customers.groupBy("c_nationkey").agg(F.collect_list(F.struct("c_custkey", "c_name", "c_nationkey")).alias("rows"))
+    pages = rows.join(place, F.col("c_nationkey") == F.col("of")).select(F.concat(
+        F.lit("["), F.to_json(F.struct("page", count.alias("pages"), F.lit("50").alias("per_page"))), F.lit(", "), F.to_json("rows"),
+        F.lit("]")).alias("value"))
+    return P.page_element_rows(pages, "value", "c_custkey BIGINT, c_name STRING, c_nationkey INT", metadata=0)
+
+
+@query("""
+SELECT c_custkey, c_nationkey, c_mktsegment, CAST(c_custkey % 5 AS INTEGER) AS five FROM customer""")
+def snapshot_of_customers(spark, sf_dir):
+    """The newest whole version of two, in the text form, its nested column read back by the keys it holds."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="snapshots-")
+    root = f"{root}/snapshots-{uuid.uuid4().hex}"
+    raw = table(spark, sf_dir, "customer").select("c_custkey", F.struct(
+        "c_nationkey", "c_mktsegment", F.struct((F.col("c_custkey") % 5).cast("int").alias("five")).alias("more")).alias("about"))
+    N.write_snapshot(raw.limit(0), root, "customer")
+    N.write_snapshot(raw, root, "customer", text=True)
+    back = S.expand_dict_columns(N.read_snapshot(spark, root, "customer"), {"about": None}, drop=True)
+    return back.select("c_custkey", F.col("`about.c_nationkey`").cast("int").alias("c_nationkey"),
+                       F.col("`about.c_mktsegment`").alias("c_mktsegment"), F.col("`about.more.five`").cast("int").alias("five"))

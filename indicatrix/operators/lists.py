@@ -80,11 +80,20 @@ def resolve_list(df: DataFrame, registry: Registry, column: str, into: str = Non
         if errors == "raise":
             message = F.concat(F.lit(f"Unknown {by} value in data: "), x)
             return F.when(found.isNull() & x.isNotNull(), F.raise_error(message)).otherwise(found)
+        if errors == "warn":
+            return F.struct(F.coalesce(found, normalise(x)).alias("name"), (found.isNull() & x.isNotNull()).alias("unknown"))
         return F.coalesce(found, normalise(x))
     if errors not in ("raise", "ignore"):
         raise ValueError(f"Unrecognised values for parameter errors: {errors}")
+    errors, observation = registry.policy(errors, None, column)
     table = lookup_table(registry, by, True).select("lookup_key", F.col("match")[by].alias("name"))
-    return _resolve(df, registry, column, into or column, table, "name", lambda x: [match_key(x)], combine)
+    out = _resolve(df, registry, column, into or column, table, "name", lambda x: [match_key(x)], combine)
+    if errors != "warn":
+        return out
+    named = quoted(into or column)
+    out = out.observe(observation, F.sum(F.size(F.filter(named, lambda e: e["unknown"]))).alias("unknown_rows"),
+                      F.count(F.when(named.isNull(), 1)).alias("null_rows"))
+    return out.withColumn(into or column, F.transform(named, lambda e: e["name"]))
 
 
 def lookup_list(df: DataFrame, registry: Registry, column: str, target: str, into: str, by: str = "country") -> DataFrame:

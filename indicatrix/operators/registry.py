@@ -5,9 +5,9 @@ the registry once; below the bounds its side of each join is broadcast, above th
 (shuffle join, with adaptive skew handling for hot names).
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.text import match_key, normalise
 from ..schemas import REGISTRY_SCHEMA
@@ -23,6 +23,24 @@ MAX_MAP_KEYS = 16_384
 NULL_KEYS = 4_096
 
 
+class UnknownRows:
+    """What lookups did not know, counted while a dataset is computed: one observation per lookup, no pass of its own.
+
+    ``counts`` waits for the dataset's first action. Rows that filters remove before a lookup are not counted.
+    """
+
+    def __init__(self):
+        self.lookups = []
+
+    def observation(self, column: str) -> Observation:
+        self.lookups.append((column, Observation()))
+        return self.lookups[-1][1]
+
+    def counts(self) -> list:
+        """Per lookup: its column, the rows (of a list column: the elements) with unknown values, and the rows without a value."""
+        return [{"column": column, **{k: v or 0 for k, v in found.get.items()}} for column, found in self.lookups]
+
+
 @dataclass(frozen=True)
 class Registry:
     """Registry rows with what was measured about them."""
@@ -32,6 +50,22 @@ class Registry:
     fits_map: bool
     #: Kinds of keys, as (column, with aliases), of which each was counted to occur in one row only.
     unique: frozenset = frozenset()
+    #: What lookups that would raise do instead: count into an ``UnknownRows``, or ``ignore``.
+    instead: object = None
+
+    def with_policy(self, errors: str, unknown: UnknownRows = None) -> "Registry":
+        """The registry for a request that wants its lookups to ``raise`` on unknown values, to ``warn`` or to ``ignore`` them."""
+        if errors not in POLICIES:
+            raise ValueError(f"Unrecognised values for parameter errors: {errors}")
+        if errors == "warn" and unknown is None:
+            raise ValueError("errors='warn' needs UnknownRows to count into")
+        return replace(self, instead={"raise": None, "warn": unknown, "ignore": "ignore"}[errors])
+
+    def policy(self, errors: str, observation, column: str):
+        """A lookup's own policy, or the request's where it would raise."""
+        if errors != "raise" or self.instead is None:
+            return errors, observation
+        return ("ignore", None) if self.instead == "ignore" else ("warn", self.instead.observation(column))
 
     def side(self, df: DataFrame) -> DataFrame:
         """Mark a registry-derived table as the build side when the registry was measured to be small."""
@@ -159,6 +193,7 @@ def attach_match(df: DataFrame, registry: Registry, column: str, by: str, aliase
 
     One join serves every attribute. With ``aliases`` the value is normalised and alternative names match too.
     """
+    errors, observation = registry.policy(errors, observation, column)
     value = F.col(column).cast("string")
     key = match_key(value) if aliases else F.lower(value)
     if not registry.broadcastable:  # rows without a key match nothing: no partition gets them all

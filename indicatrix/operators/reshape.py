@@ -1,5 +1,6 @@
 """Wide, nested and transposed inputs to rows."""
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -34,6 +35,20 @@ def transpose_long(df: DataFrame, label: str, columns=None, column_name: str = "
     return long.groupBy(quoted(column_name), quoted(label)).agg(F.first(value, ignorenulls=True).alias(value))
 
 
+def transpose_map(df: DataFrame, label: str, columns=None, column_name: str = "column", into: str = "cells") -> DataFrame:
+    """The transposed table with its labels as data: one row per input column, holding a map of label to value.
+
+    Nothing is read beforehand, whatever the labels; null labels and values have no entry, of a repeated label the first value
+    stays.
+    """
+    # Nulls are left out of the lists and not by filters, which Spark would push down into every column of the sheet.
+    cells = melt(df, [label], columns, column_name).groupBy(quoted(column_name), quoted(label)).agg(
+        F.first("value", ignorenulls=True).alias("value"))
+    entries = F.collect_list(F.struct(quoted(label).alias("key"), "value"))
+    whole = F.filter(entries, lambda e: e["key"].isNotNull() & e["value"].isNotNull())
+    return cells.groupBy(quoted(column_name)).agg(F.map_from_entries(whole).alias(into))
+
+
 def struct_leaves(schema: T.StructType, prefix=()):
     """Paths of all non-struct fields, depth first."""
     for field in schema:
@@ -78,6 +93,38 @@ def with_json_text(df: DataFrame, column: str) -> DataFrame:
     return df
 
 
+def _ddl(found: str) -> str:
+    """The DDL of a schema found in variants: objects as structs, decimals as doubles, and text for what is null throughout, an
+    object without keys, or of different types in different rows."""
+    tokens = r"`(?:[^`]|``)*`|OBJECT<>|OBJECT<|DECIMAL\(\d+,\s*-?\d+\)|\b(?:VARIANT|VOID)\b(?!:)"
+    new = {"OBJECT<>": "STRING", "OBJECT<": "STRUCT<", "VARIANT": "STRING", "VOID": "STRING"}
+    return re.sub(tokens, lambda m: m[0] if m[0][0] == "`" else new.get(m[0], "DOUBLE"), found)
+
+
+def discover_dicts(df: DataFrame, columns, text: str = "json") -> dict:
+    """The keys that dictionary-text columns hold, as a struct type per column, their names sorted.
+
+    One job merges the rows' schemas where the rows are and returns one row, whose size follows the different keys only. Keys that
+    some rows lack, nested dictionaries and null texts are all right; a text that is no dictionary raises.
+    """
+    columns = list(columns)
+    if text == "python":
+        for column in columns:
+            df = with_json_text(df, column)
+    options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": str(text == "python").lower(), "mode": "FAILFAST"}
+    found = df.agg(*[F.schema_of_variant_agg(F.from_json(quoted(c), "variant", options)).alias(str(i))
+                     for i, c in enumerate(columns)]).first()
+    kinds = {}
+    for i, column in enumerate(columns):
+        if found[i] in ("VOID", "OBJECT<>"):
+            kinds[column] = T.StructType([])
+        elif found[i].startswith("OBJECT<"):
+            kinds[column] = T.DataType.fromDDL(_ddl(found[i]))
+        else:
+            raise ValueError(f"Column {column} holds other values than dictionaries: {found[i]}")
+    return kinds
+
+
 def parse_dict(df: DataFrame, column: str, schema, text: str = "json", errors: str = "raise") -> DataFrame:
     """Dictionary text to a struct. ``text='python'`` reads the printed form of a Python dictionary.
 
@@ -101,10 +148,19 @@ def parse_dict(df: DataFrame, column: str, schema, text: str = "json", errors: s
 
 def expand_dict_columns(df: DataFrame, schemas: dict, drop=False, text: str = "json", sep: str = ".",
                         errors: str = "raise") -> DataFrame:
-    """Parse dictionary-text columns and append one column per key; struct columns are expanded as they are."""
-    for column, schema in schemas.items():
-        if not isinstance(df.schema[column].dataType, T.StructType):
-            df = parse_dict(df, column, schema, text, errors)
+    """Parse dictionary-text columns and append one column per key; struct columns are expanded as they are.
+
+    ``schemas`` maps columns to their keys; None stands for whatever keys the column's dictionaries hold, which are read first
+    (``discover_dicts``).
+    """
+    texts = [c for c in schemas if not isinstance(df.schema[c].dataType, T.StructType)]
+    unknown = [c for c in texts if schemas[c] is None]
+    schemas = {**schemas, **(discover_dicts(df, unknown, text) if unknown else {})}
+    for column in texts:
+        if isinstance(schemas[column], T.StructType) and not schemas[column].fields:
+            df = df.withColumn(column, F.lit(None).cast(T.StructType([])))
+        else:
+            df = parse_dict(df, column, schemas[column], text, errors)
     return expand_struct(df, list(schemas), drop, sep)
 
 

@@ -11,7 +11,7 @@ from ..operators.checks import count_per_entity
 from ..operators.columns import add_missing, conform
 from ..operators.filters import entity_filters, keep_values, restrict_to_keys, validate_filters
 from ..operators.latest import latest_indicators
-from ..operators.registry import Registry, unknown_values
+from ..operators.registry import Registry, UnknownRows, unknown_values
 from ..operators.reshape import melt, to_indicator, union_by_name
 from ..schemas import COLUMN_TITLES, INDEX_COLUMNS, INDICATOR_COLUMNS, UNIFIED_COLUMNS, UNIFIED_SCHEMA
 from . import datasets as D
@@ -77,7 +77,7 @@ KINDS = {
     "databank": Kind(D.databank, True, _as_is, ("entity_id", "entity_id"), ("entity_id", "entity_id", False)),
     "documents": Kind(D.documents, True, _as_is, ("entity_id", "entity_id"), ("entity_id", "entity_id", False)),
     "contacts": Kind(D.contacts, False, _as_is, ("iso_3", "iso3"), ("NSO_DON_name", "entity_name", True)),
-    "capacity_assessments": Kind(D.capacity_assessments, True),
+    "capacity_assessments": Kind(D.assessment_results, True),
     "capacity_assessment_dates": Kind(D.capacity_assessment_dates, False, _capacity_dates),
     "branch_assessment_dates": Kind(D.branch_assessment_dates, False, _branch_counts),
     "operations": Kind(D.operations, source_key=("country.iso3", "iso3")),
@@ -121,9 +121,13 @@ def unknown_entities(kind, raw: DataFrame, registry: Registry, kinds: dict = Non
 
 
 def dataset(kind, raw: DataFrame, registry: Registry, latest: bool = False, iso3=None, country=None,
-            entity_name=None, options: dict = None, kinds: dict = None, ignore_case: bool = False) -> DataFrame:
+            entity_name=None, options: dict = None, kinds: dict = None, ignore_case: bool = False, errors: str = "raise",
+            unknown: UnknownRows = None) -> DataFrame:
     """Build one dataset from its raw table, then filter it by entity.
 
+    ``errors`` says what happens to values that the registry does not know, where the dataset's lookups would raise: ``raise``,
+    ``ignore``, or ``warn``, which counts them into ``unknown`` while the table is computed.
+
     ``kind`` is a name in ``KINDS`` (or ``kinds``) or any function ``(raw, registry) -> DataFrame``. Entity filters reach
     the raw table's scan as exact keys; ``ignore_case`` also keeps raw keys in another case, at the price of a full scan.
     """
@@ -138,7 +142,7 @@ def dataset(kind, raw: DataFrame, registry: Registry, latest: bool = False, iso3
     if filters and spec.source_key and _has_field(raw, spec.source_key[0]):
         column, key = spec.source_key
         raw = restrict_to_keys(raw, column, registry, filters, key, ignore_case)
-    df = spec.build(raw, registry, **options)
+    df = spec.build(raw, registry.with_policy(errors, unknown), **options)
     for column, values in filters.items():
         df = keep_values(df, column, values)
     return df
@@ -146,9 +150,11 @@ def dataset(kind, raw: DataFrame, registry: Registry, latest: bool = False, iso3
 
 def datasets(catalogue: DataFrame, raw: dict, registry: Registry, names=None, filters: dict = None,
              latest: bool = False, iso3=None, country=None, entity_name=None, options: dict = None,
-             kinds: dict = None, only_kinds=None) -> dict:
+             kinds: dict = None, only_kinds=None, warnings: dict = None) -> dict:
     """Build the selected datasets: catalogue name to lazy DataFrame.
 
+    With a dict for ``warnings``, unknown values are counted instead of raised: it receives each built dataset's ``UnknownRows``.
+
     ``raw`` maps catalogue names to raw tables; a selected dataset without a raw table is skipped with a warning.
     ``options`` maps catalogue names to keyword arguments of the dataset function.
     """
@@ -158,8 +164,11 @@ def datasets(catalogue: DataFrame, raw: dict, registry: Registry, names=None, fi
         if name not in raw:
             log.warning("No raw table for dataset %s, skipping", name)
             continue
+        if warnings is not None:
+            warnings[name] = UnknownRows()
         chosen[name] = dataset(entry["kind"], raw[name], registry, latest, iso3, country, entity_name,
-                               (options or {}).get(name), kinds)
+                               (options or {}).get(name), kinds, errors="raise" if warnings is None else "warn",
+                               unknown=None if warnings is None else warnings[name])
     return chosen
 
 
@@ -191,8 +200,8 @@ def combine(unified, latest: bool = False, quantitative: bool = None, numeric: s
 
 def indicators(catalogue: DataFrame, raw: dict, registry: Registry, names=None, filters: dict = None,
                latest: bool = False, quantitative: bool = None, numeric: str = "digits", ordered: bool = False,
-               as_of=None, options: dict = None, kinds: dict = None) -> DataFrame:
-    """The unified indicator table of the selected datasets.
+               as_of=None, options: dict = None, kinds: dict = None, warnings: dict = None) -> DataFrame:
+    """The unified indicator table of the selected datasets; ``warnings`` as in ``datasets``.
 
     ``quantitative``: True keeps whole-number values and makes the column DOUBLE, False keeps the others, None keeps
     all. An empty selection gives an empty table.
@@ -201,7 +210,7 @@ def indicators(catalogue: DataFrame, raw: dict, registry: Registry, names=None,
     shaped = {k for k, spec in table.items() if spec.indicators is not None}
     picked = select_datasets(catalogue, names, filters, shaped)
     built = datasets(catalogue, raw, registry, [e["name"] for e in picked], None, latest, options=options,
-                     kinds=kinds)
+                     kinds=kinds, warnings=warnings)
     parts = [to_unified(built[e["name"]], e, as_of, kinds) for e in picked if e["name"] in built]
     if not parts:
         return registry.rows.sparkSession.createDataFrame([], UNIFIED_SCHEMA)

@@ -14,7 +14,7 @@ from ..operators.columns import drop_existing, drop_strict, index_first, quoted,
 from ..operators.latest import latest_indicators, latest_per_entity, latest_year_rows
 from ..operators.lists import enrich_list, resolve_id_text, resolve_list, split_and_clean
 from ..operators.registry import Registry, enrich, resolve_names
-from ..operators.reshape import expand_dict_columns, melt, transpose
+from ..operators.reshape import expand_dict_columns, melt, transpose, transpose_map
 from ..schemas import INDEX_COLUMNS
 
 INDICATOR_ROW = INDEX_COLUMNS + ["indicator", "value", "year"]
@@ -169,15 +169,36 @@ def contacts(raw: DataFrame, registry: Registry) -> DataFrame:
     return df.withColumn("year", F.lit(None).cast("int"))
 
 
+def _assessment_rows(raw: DataFrame):
+    """Result rows of an assessment sheet, labelled in ``indicator``, and the names of its assessments' columns."""
+    df = rename(raw, {"Name": "indicator"})
+    df = df.withColumn("indicator", strip(F.coalesce("indicator", "Code"))).drop("Code")
+    sheet = [c for c in df.columns if c != "indicator"]
+    return drop_empty_rows(df, sheet).where(not_in(F.col("indicator"), ASSESSMENT_ROWS_DROPPED)), sheet
+
+
+def assessment_results(raw: DataFrame, registry: Registry, latest: bool = False, indicators=None) -> DataFrame:
+    """Assessment sheet to one row per assessment with its results as a map of label to value.
+
+    No label is read beforehand. ``indicators`` names results that become columns instead, as in ``capacity_assessments``.
+    """
+    if indicators is not None:
+        return capacity_assessments(raw, registry, latest, indicators)
+    df, sheet = _assessment_rows(raw)
+    df = transpose_map(df, "indicator", sheet, "__assessment", "cells").drop("__assessment")
+    named = ["National Society", "Year"]
+    df = df.select(F.col("cells")[named[0]].alias("entity_name"), strict_number(F.col("cells")[named[1]]).alias("year"),
+                   F.map_filter("cells", lambda k, v: ~k.isin(named)).alias("results"))
+    df = index_first(enrich(df, registry, "entity_name", "entity_name", clean=True, errors="raise"), ["year", "results"])
+    return latest_per_entity(df) if latest else df
+
+
 def capacity_assessments(raw: DataFrame, registry: Registry, latest: bool = False, indicators=None) -> DataFrame:
     """Assessment sheet (``Code``, ``Name``, one column per assessment) to one row per assessment.
 
     ``indicators`` fixes the result columns; without it the sheet's row labels, which become columns, are read first.
     """
-    df = rename(raw, {"Name": "indicator"})
-    df = df.withColumn("indicator", strip(F.coalesce("indicator", "Code"))).drop("Code")
-    sheet = [c for c in df.columns if c != "indicator"]
-    df = drop_empty_rows(df, sheet).where(not_in(F.col("indicator"), ASSESSMENT_ROWS_DROPPED))
+    df, sheet = _assessment_rows(raw)
     rows = None if indicators is None else ["National Society", "Year", *indicators]
     df = transpose(df, "indicator", sheet, rows, "__assessment").drop("__assessment")
     df = rename(df, {"National Society": "entity_name", "Year": "year"})

@@ -27,14 +27,44 @@ def read_page_texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True)
 
 
-def page_element_rows(pages: DataFrame, column: str, schema: str, position: int = 1) -> DataFrame:
-    """Rows of pages that are arrays of unlike elements, such as ``[metadata, rows]``."""
+def page_element_rows(pages: DataFrame, column: str, schema: str, position: int = 1, metadata: int = None) -> DataFrame:
+    """Rows of pages that are arrays of unlike elements, such as ``[metadata, rows]``.
+
+    With ``metadata``, the place of the element that holds ``page`` and ``pages``, the rows are only given if the pages that it
+    announces are there, each once (``require_all_pages``).
+    """
+    if metadata is not None:
+        pages = require_all_pages(pages, column, metadata)
     element = F.get(F.from_json(quoted(column), "array<string>", {"mode": "FAILFAST"}), F.lit(position))
     row = T.StructType.fromDDL(schema)
     parsed = F.from_json(element, T.ArrayType(row), {"mode": "FAILFAST"})
     return pages.select(F.explode(parsed).alias("r")).select("r.*")
 
 
+def page_ledger(pages: DataFrame, column: str, position: int = 0) -> DataFrame:
+    """One row about landed pages: ``announced`` (their number as the pages give it), ``least`` (the same, if they agree),
+    ``landed`` files, ``different`` page numbers, ``first`` and ``last`` number."""
+    text = F.get(F.from_json(quoted(column), "array<string>", {"mode": "FAILFAST"}), F.lit(position))
+    about = pages.select(F.from_json(text, "page INT, pages INT", {"mode": "FAILFAST"}).alias("m")).select("m.*")
+    per_page = about.groupBy("page").agg(F.count(F.lit(1)).alias("n"), F.max("pages").alias("most"), F.min("pages").alias("least"))
+    return per_page.agg(F.max("most").alias("announced"), F.min("least").alias("least"), F.coalesce(F.sum("n"), F.lit(0)).alias("landed"),
+                        F.count("page").alias("different"), F.min("page").alias("first"), F.max("page").alias("last"))
+
+
+def require_all_pages(pages: DataFrame, column: str, position: int = 0) -> DataFrame:
+    """Fail at run time unless the pages 1 to n are there once each, n being the number that every page announces.
+
+    The pages' metadata are counted in a subquery; nothing comes to the driver. No pages at all are an empty table.
+    """
+    ledger = page_ledger(pages, column, position)
+    whole = ((F.col("landed") == F.col("announced")) & (F.col("least") == F.col("announced"))
+             & (F.col("different") == F.col("announced")) & (F.col("first") == 1) & (F.col("last") == F.col("announced")))
+    message = F.concat(F.lit("Pages are missing or doubled: "), F.to_json(F.struct("announced", "landed", "different", "first", "last")))
+    good = ledger.select(F.when((F.col("landed") == 0) | F.coalesce(whole, F.lit(False)), F.lit(True))
+                         .otherwise(F.raise_error(message).cast("boolean")))
+    return pages.where(good.scalar())
+
+
 def flatten_nested(payload: DataFrame, check_years: bool = True) -> DataFrame:
     """Nested payload to (indicator, entity_id, year, value). Empty levels give null rows."""
     items = payload.select(F.explode_outer("data").alias("i"))
