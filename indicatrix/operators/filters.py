@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .columns import quoted
-from .registry import Registry
+from .registry import Registry, join_spread
 
 MAX_INLINE_VALUES = 1_000
 MAX_BROADCAST_VALUES = 100_000
@@ -75,13 +75,22 @@ def restrict_to_keys(raw: DataFrame, column: str, registry: Registry, filters: d
 
     The keys of a registry that was measured to be small become an IN list, which reaches the file scan; otherwise
     this is a semi join. ``ignore_case`` compares lower-cased keys: still done right after the scan, but not in it.
+
+    A key inside JSON text (``country.iso3``) is taken out alone, so that only rows that stay are parsed whole; texts that do not
+    tell the key stay too, for the filter on the finished table to decide.
     """
     keys = source_keys(registry, filters, key).withColumnRenamed(key, "__key")
-    value = reduce(lambda c, field: c[field], column.split(".")[1:], quoted(column.split(".")[0])) \
-        if column not in raw.columns else quoted(column)
+    top, *fields = [column] if column in raw.columns else column.split(".")
+    in_text = bool(fields) and isinstance(raw.schema[top].dataType, T.StringType)
+    value = reduce(lambda c, field: c[field], fields, quoted(top)) if not in_text \
+        else F.get_json_object(quoted(top), "$." + ".".join(fields))
     if ignore_case:
         keys, value = keys.select(F.lower("__key").alias("__key")).distinct(), F.lower(value)
     if registry.fits_map:
-        return raw.where(value.isin([r[0] for r in keys.collect()]))
+        wanted = value.isin([r[0] for r in keys.collect()])
+        return raw.where(F.coalesce(wanted, F.lit(True)) if in_text else wanted)
     keyed = raw.withColumn("__key", value)
+    if in_text:
+        found = join_spread(keyed, registry.side(keys.withColumn("__wanted", F.lit(True))), "__key")
+        return found.where("__wanted or __key is null").drop("__key", "__wanted")
     return keyed.join(registry.side(keys), "__key", "left_semi").drop("__key")

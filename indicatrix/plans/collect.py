@@ -99,9 +99,11 @@ KINDS = {
 
 
 def _has_field(df: DataFrame, path: str) -> bool:
-    """Whether the table has this column, or this field of a struct column."""
+    """Whether the table has this column, or this field of a struct column, or a column of text that may hold the field."""
     kind = df.schema
     for name in path.split("."):
+        if isinstance(kind, T.StringType):
+            return True
         if not isinstance(kind, T.StructType) or name not in kind.fieldNames():
             return False
         kind = kind[name].dataType

@@ -121,3 +121,20 @@ def test_text_snapshots_read_back(spark, tmp_path):
     back = N.read_snapshot(spark, str(tmp_path), "raw")
     assert rows(back, "id", "t") == rows(df, "id", "t")
     assert rows(S.expand_dict_columns(back, {"s": None}), "id", "`s.a`") == [(1, "x"), (2, None), (3, None)]
+
+
+@pytest.mark.parametrize("bounds", [{}, {"max_rows": 2, "max_map_keys": 1}])
+def test_keys_in_text_spare_the_rest_of_the_rows(spark, bounds):
+    """Rows of other countries name what the registry does not know: they are dropped by their key before they are looked up."""
+    def operation(i, country):
+        return (f"op {i}", "a", "Active", 1, "100.0", "50.0", "2020-01-01T00:00:00Z", "2020-01-01T00:00:00Z", '{"name": "flood"}', "{}", country)
+    texts = ['{"iso3": "AFG", "society_name": "Afghan Red Crescent"}', '{"iso3": "ALB", "society_name": "Nobody"}', '{"iso3": "ALB", "society_name": "Nobody"}',
+             '{"society_name": "Afghan Red Crescent"}', '{"society_name": "Zimbabwe RC"}', None]
+    names = ("name atype_display status_display num_beneficiaries amount_requested amount_funded start_date end_date dtype region "
+             "country").split()
+    raw = spark.createDataFrame([operation(i, t) for i, t in enumerate(texts)],
+                                ", ".join(f"{n} {'int' if n == 'num_beneficiaries' else 'string'}" for n in names))
+    known = registry(spark, **bounds)
+    assert rows(dataset("operations", raw, known, iso3=["AFG"]), "operation_name", "iso3") == [("op 0", "AFG"), ("op 3", "AFG")]
+    with pytest.raises(Exception):
+        dataset("operations", raw, known).collect()
