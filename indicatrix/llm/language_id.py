@@ -10,7 +10,6 @@ the words it has scored, so a text costs one lookup per word.
 from __future__ import annotations
 
 import re
-import sys
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -26,9 +25,8 @@ from .common import of_worker, stored
 LONGEST_PIECE, LONGEST_WORD = 16, 24
 SMOOTHING, UNKNOWN = 0.1, 1e-7
 START = "▁"
-#: Numerals that regular expressions take for parts of words, such as superscripts, fractions and Roman numerals.
-_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
+#: Letters, and numerals that regular expressions take for parts of words, such as superscripts, fractions and Roman numerals.
+LETTERS = re.compile(r"[^\W\d_]+")
 NONE = "und"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -176,7 +174,16 @@ def _lattice(vocabulary: str) -> Lattice:
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    """Runs of letters, in lower case."""
+    found = LETTERS.findall(text.lower()) if text else []
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
+
+
+def has_letter(text: str | None) -> bool:
+    found = LETTERS.search(text) if text else None
+    return found is not None and (found[0].isalpha() or any(map(str.isalpha, text)))
 
 
 def count_words(labelled: DataFrame, flush: int = 200_000) -> DataFrame:
@@ -273,7 +280,7 @@ def _predict(langs: list[str], key: str, vocabulary: str, shared, texts: list[st
     found = scorer(texts) if langs else np.zeros((len(texts), 1))
     best = found.argmax(1)
     sure = 1 / np.exp(found - found.max(1, keepdims=True)).sum(1)
-    lettered = np.array([bool(langs and t and LETTERS.search(t)) for t in texts], bool)
+    lettered = np.array([bool(langs) and has_letter(t) for t in texts], bool)
     names = [langs[b] if ok else NONE for b, ok in zip(best.tolist(), lettered.tolist(), strict=True)]
     return names, np.where(lettered, sure, 0.0)
 

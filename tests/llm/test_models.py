@@ -352,3 +352,8 @@ def test_search_recall(spark):
         scores[ids == q] = -np.inf
         hits.append(len(found[q] & set(ids[np.lexsort((ids, -scores))[:20]].tolist())) / 20)
     assert np.mean(hits) >= 0.9
+
+
+@pytest.mark.parametrize(("text", "found"), [("²", []), ("Ⅷ ½", []), ("x² 一二 ３ é_ж", ["x", "一二", "é", "ж"]), ("", [])])
+def test_numerals_are_no_letters(text, found):
+    assert language_id.words_of(text) == found and language_id.has_letter(text) == bool(found)
