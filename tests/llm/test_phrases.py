@@ -90,7 +90,7 @@ def test_many_blocks_and_ranges(spark, monkeypatch):
 
     rows = corpus()
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
-    for name, value in (("BLOCK", 500), ("SLICE", 100), ("ENTRIES", 40)):
+    for name, value in (("BLOCK", 500), ("SLICE", 100), ("ENTRIES", 4_000)):
         monkeypatch.setattr(phrases, name, value)
     out = phrases.collocations(docs, least=5)
     assert sorted(map(tuple, out.collect())) == by_hand(rows, 5, 2000)
