@@ -5,8 +5,8 @@ about 1.25 tokens. Documents that chose the same token of the same run meet in a
 tokens; a passage that many documents share is chosen by few of them, as its tokens are few among theirs. Runs are repeated
 until a pair at the threshold is missed with a probability below ``1 - recall``. Small buckets are compared pair by pair;
 pairs that meet too seldom over all runs to be similar are left out before their sets are looked at. Large buckets are split
-by further tokens chosen along the path, again and again while that parts their members, and what is left is compared in
-blocks inside tasks, which add up links and return one row per member, not pairs. Blocks are bounded by members and by the
+by further tokens chosen along the path, again and again while that parts their members; leaves that hold about the same
+members become one, and what is left is compared in blocks inside tasks, which add up links and return one row per member, not pairs. Blocks are bounded by members and by the
 bytes of their sets. Every pair's similarity is computed on the whole sets.
 
 Documents with equal sets are one representative throughout, however many copies there are.
@@ -255,6 +255,30 @@ def _leaves(members: DataFrame, similarity: float) -> DataFrame:
     return stored(done.unionByName(open_), "leaves")
 
 
+def _united(leaves: DataFrame) -> DataFrame:
+    """``leaves`` (rep, key, in_leaf) with those that hold about the same members made one.
+
+    Near copies share most tokens, so that one group of them is a leaf for each token. Leaves with the same smallest member
+    become one leaf of all their members where that takes no more comparisons than theirs together (squares of members);
+    then it sends no more sets either. Whoever shared a leaf shares one afterwards. It is done by two orders of the members.
+    """
+    for turn, order in enumerate((F.col("rep"), F.xxhash64("rep"))):
+        low = leaves.groupBy(F.col("key").alias("at")).agg(F.min(order).alias("low"))
+        named = stored(leaves.join(low, F.col("key") == F.col("at")).select("rep", "key", "in_leaf", "low"), "named-leaves")
+        squares = named.groupBy("low").agg(F.sum(F.col("in_leaf").cast("double")).alias("squares"),
+                                           F.min("key").alias("one"), F.max("key").alias("other"))
+        together = named.groupBy("low", "rep").agg(F.lit(1).alias("here"))
+        gains = (together.groupBy("low").agg(F.count(F.lit(1)).alias("in_all")).join(squares, "low")
+                 .where((F.col("one") != F.col("other")) & (F.col("in_all").cast("double") * F.col("in_all") <= F.col("squares")))
+                 .select(F.col("low").alias("of"), "in_all"))
+        gains = stored(gains, "gains")
+        united = together.join(gains, F.col("low") == F.col("of")).select(
+            "rep", F.xxhash64(F.lit(turn), "low").alias("key"), F.col("in_all").alias("in_leaf"))
+        apart = named.join(gains, F.col("low") == F.col("of"), "left_anti").select("rep", "key", "in_leaf")
+        leaves = stored(united.unionByName(apart), "leaves")
+    return leaves
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(rep, root) of all ends of ``edges`` (a, b), by alternating large-star and small-star rounds kept in the shared folder."""
     def star(pairs: DataFrame, large: bool) -> DataFrame:
@@ -331,7 +355,7 @@ def near_classes(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
                     .mapInArrow(_pair_links(similarity), "a long, b long, copies_a long, copies_b long"), "similar")
 
     members = stored(crowded.join(sets.drop("paired"), "rep"), "members")
-    leaves = _leaves(members, similarity)
+    leaves = _united(_leaves(members, similarity))
     whole = members.join(leaves.groupBy("rep").agg(F.collect_list("key").alias("leaves")), "rep").select(
         F.col("rep").alias("of"), "n", "set", "copies", "small", "leaves")
     about = (leaves.join(members.select(F.col("rep").alias("of"), F.octet_length("set").alias("bytes")), F.col("rep") == F.col("of"))

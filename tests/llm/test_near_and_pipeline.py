@@ -82,6 +82,27 @@ def test_classes_and_links_equal_all_pairs(spark, monkeypatch, block):
     assert one.columns == df.columns and sorted((r.doc_id for r in one.collect()), key=repr) == sorted((r.doc_id for r in firsts), key=repr)
 
 
+def test_united_leaves_keep_who_meets_whom(spark):
+    rng = np.random.default_rng(3)
+    groups = [rng.choice(10_000, 60, replace=False) for _ in range(4)]  # near copies: most share any one token
+    leaves = [set(rng.choice(g, 55, replace=False).tolist()) for g in groups for _ in range(12)]
+    leaves += [set(rng.choice(10_000, 40, replace=False).tolist()) for _ in range(30)]  # whoever shares a passage
+    rows = [(int(m) - 5000, k * 7 - 50, len(x)) for k, x in enumerate(leaves) for m in x]
+    df = spark.createDataFrame(rows, "rep long, key long, in_leaf long")
+
+    def together(found):
+        held = defaultdict(set)
+        for r in found:
+            held[r.key].add(r.rep)
+        assert all(r.in_leaf == len(held[r.key]) for r in found) and len(found) == sum(map(len, held.values()))
+        return list(held.values())
+    before, after = together(df.collect()), together(near_join._united(df).collect())
+    assert all(any(x <= y for y in after) for x in before)
+    assert sum(len(x) ** 2 for x in after) <= sum(len(x) ** 2 for x in before)
+    assert sum(map(len, after)) < 0.6 * sum(map(len, before))
+    assert near_join._united(df.where("false")).count() == 0
+
+
 def test_sets_fetched_by_join_when_many(spark, monkeypatch):
     monkeypatch.setattr(near_join, "SENT", 0)
     rows = near_rows(3)
