@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from .common import of_worker, stored
 
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.9999
-#: Members of a bucket that is compared pair by pair; meetings a similar pair has at least.
-SMALL, MEETINGS = 32, 6
+#: Members of a bucket that is compared pair by pair (a set is sent once a pair there, but some times a member in larger
+#: ones); meetings a similar pair has at least.
+SMALL, MEETINGS = 8, 6
 #: Members, and bytes of their sets, of a block in larger ones; a comparison holds two blocks.
 BLOCK, BLOCK_BYTES = 768, 4_000_000
 #: Tokens chosen a step, for one at the first two, where buckets above a block are split on; steps at most; the share of a
@@ -224,22 +225,24 @@ def _leaves(members: DataFrame, similarity: float) -> DataFrame:
     a time, so that hardly any similar pair is parted, for as long as that leaves behind ``GAIN`` of a bucket's pairs. Copies
     that differ little share their tokens and stay together; they are compared in blocks.
     """
-    def split(paths: DataFrame, share: float) -> DataFrame:
-        found = members.select("rep", "set").join(paths.groupBy("rep").agg(F.collect_list("key").alias("large")), "rep")
+    def split(found: DataFrame, share: float) -> DataFrame:
         return stored(found.select("rep", "large", "set").mapInArrow(_next_paths(similarity / share), "rep long, key long, parent long"),
                       "paths")
 
+    def with_sets(paths: DataFrame) -> DataFrame:
+        return members.select("rep", "set").join(paths.groupBy("rep").agg(F.collect_list("key").alias("large")), "rep")
+
     def sizes(paths: DataFrame) -> DataFrame:
         return paths.groupBy(F.col("key").alias("at")).agg(F.count(F.lit(1)).alias("in_leaf"))
 
-    paths = split(members.select("rep", F.explode("large").alias("key")), 1)
+    paths = split(members, 1)
     leaves = paths.join(sizes(paths).where("in_leaf > 1"), F.col("key") == F.col("at")).select("rep", "key", "in_leaf")
     leaves = stored(leaves, "leaves")
     done, open_ = leaves.where(F.col("in_leaf") <= BLOCK), leaves.where(F.col("in_leaf") > BLOCK)
     for _ in range(2, STEPS):
         if open_.isEmpty():
             break
-        paths = split(open_, MORE)
+        paths = split(with_sets(open_), MORE)
         before = open_.select(F.col("key").alias("of"), "in_leaf").distinct()
         after = (paths.groupBy("parent", "key").agg(F.count(F.lit(1)).cast("double").alias("n"))
                  .groupBy("parent").agg(F.sum(F.col("n") * F.col("n")).alias("pairs")))
