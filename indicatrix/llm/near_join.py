@@ -230,7 +230,7 @@ def _leaves(members: DataFrame, similarity: float) -> DataFrame:
                       "paths")
 
     def with_sets(paths: DataFrame) -> DataFrame:
-        return members.select("rep", "set").join(paths.groupBy("rep").agg(F.collect_list("key").alias("large")), "rep")
+        return _only(members.select("rep", "set"), paths).join(paths.groupBy("rep").agg(F.collect_list("key").alias("large")), "rep")
 
     def sizes(paths: DataFrame) -> DataFrame:
         return paths.groupBy(F.col("key").alias("at")).agg(F.count(F.lit(1)).alias("in_leaf"))
@@ -258,6 +258,14 @@ def _leaves(members: DataFrame, similarity: float) -> DataFrame:
     return stored(done.unionByName(open_), "leaves")
 
 
+def _only(members: DataFrame, some: DataFrame) -> DataFrame:
+    """``members`` without those that ``some`` does not name, before their sets are sent, where names fit ``SENT``; else all."""
+    names = some.select(F.col("rep").alias("of")).distinct()
+    if names.limit(SENT + 1).count() > SENT:
+        return members
+    return members.join(F.broadcast(names), F.col("rep") == F.col("of"), "left_semi")
+
+
 def _united(leaves: DataFrame) -> DataFrame:
     """``leaves`` (rep, key, in_leaf) with those that hold about the same members made one.
 
@@ -359,7 +367,7 @@ def near_classes(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
 
     members = stored(crowded.join(sets.drop("paired"), "rep"), "members")
     leaves = _united(_leaves(members, similarity))
-    whole = members.join(leaves.groupBy("rep").agg(F.collect_list("key").alias("leaves")), "rep").select(
+    whole = _only(members, leaves).join(leaves.groupBy("rep").agg(F.collect_list("key").alias("leaves")), "rep").select(
         F.col("rep").alias("of"), "n", "set", "copies", "small", "leaves")
     about = (leaves.join(members.select(F.col("rep").alias("of"), F.octet_length("set").alias("bytes")), F.col("rep") == F.col("of"))
              .groupBy(F.col("key").alias("at")).agg(F.sum("bytes").alias("bytes")))
