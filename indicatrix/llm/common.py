@@ -30,9 +30,11 @@ def of_worker(operator: str, key, make):
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the one that all executors share; only where a session names none (tests) is one made for it."""
+    """A new folder in the one that all executors share; only where a local session names none (tests) is one made for it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

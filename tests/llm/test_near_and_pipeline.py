@@ -1,13 +1,14 @@
 """The similarity join against all pairs, and the pipeline against a plain version of every stage."""
 
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
 from indicatrix.llm import near_join
-from indicatrix.llm.common import stored
+from indicatrix.llm.common import shared_folder, stored
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -116,6 +117,13 @@ def test_no_documents(spark):
     assert near_join.near_classes(df).collect() == [] and near_join.one_per_class(df).collect() == []
 
 
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[3,2,1024]"])
+def test_a_cluster_must_name_its_shared_folder(master):
+    session = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master))
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(session, "x")
+
+
 def test_components_of_long_chains(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(0, 300) if k != 150] + [(900, 901), (902, 901)], "a long, b long")
     got = {r.rep: r.root for r in near_join.components(edges).collect()}
