@@ -5,7 +5,8 @@ about 1.25 tokens. Documents that chose the same token of the same run meet in a
 tokens; a passage that many documents share is chosen by few of them, as its tokens are few among theirs. Runs are repeated
 until a pair at the threshold is missed with a probability below ``1 - recall``. Small buckets are compared pair by pair;
 pairs that meet too seldom over all runs to be similar are left out before their sets are looked at. Large buckets are split
-by further tokens chosen along the path, again and again while that parts their members; leaves that hold about the same
+by further tokens chosen along the path, again and again while that parts their members; of large buckets that hold about the
+same members, as copies that differ little make one for each token, one is tried first. Leaves that hold about the same
 members become one, and what is left is compared in blocks inside tasks, which add up links and return one row per member, not pairs. Blocks are bounded by members and by the
 bytes of their sets. Every pair's similarity is computed on the whole sets.
 
@@ -218,6 +219,46 @@ def _next_paths(similarity: float):
     return run
 
 
+def _split(found: DataFrame, similarity: float) -> DataFrame:
+    return stored(found.select("rep", "large", "set").mapInArrow(_next_paths(similarity), "rep long, key long, parent long"), "paths")
+
+
+def _with_sets(members: DataFrame, paths: DataFrame) -> DataFrame:
+    return _only(members.select("rep", "set"), paths).join(paths.groupBy("rep").agg(F.collect_list("key").alias("large")), "rep")
+
+
+def _gains(before: DataFrame, paths: DataFrame) -> DataFrame:
+    """The keys (of) among ``before`` (rep, key, in_leaf) whose ``paths`` leave behind ``GAIN`` of their pairs."""
+    before = before.select(F.col("key").alias("of"), "in_leaf").distinct()
+    after = (paths.groupBy("parent", "key").agg(F.count(F.lit(1)).cast("double").alias("n"))
+             .groupBy("parent").agg(F.sum(F.col("n") * F.col("n")).alias("pairs")))
+    return stored(before.join(after, F.col("of") == F.col("parent"))
+                  .where(F.col("pairs") <= (1 - GAIN) * F.col("in_leaf").cast("double") * F.col("in_leaf")).select("of"), "gains")
+
+
+def _whole(sets: DataFrame, large: DataFrame, similarity: float) -> DataFrame | None:
+    """Those of the large buckets (rep, key, in_leaf) above a block that are not split, if there are any.
+
+    Copies that differ little are a bucket for each token that they chose, some 25 in all runs. Of buckets with the same
+    smallest member that would make fewer comparisons as one, the one with the smallest key is split on trial. If that does
+    not part its members, all stay whole: then nobody is parted, and a member is sent once and not once a bucket and token.
+    """
+    above = large.where(F.col("in_leaf") > BLOCK)
+    if above.isEmpty():
+        return None
+    low = above.groupBy(F.col("key").alias("at")).agg(F.min("rep").alias("low"))
+    named = stored(above.join(low, F.col("key") == F.col("at")).drop("at"), "named-buckets")
+    squares = named.groupBy("low").agg(F.sum(F.col("in_leaf").cast("double")).alias("squares"), F.min("key").alias("one"),
+                                       F.max("key").alias("other"), F.countDistinct("rep").cast("double").alias("in_all"))
+    alike = squares.where((F.col("one") != F.col("other")) & (F.col("in_all") * F.col("in_all") <= F.col("squares")))
+    alike = stored(named.join(alike.select("low", "one"), "low").drop("low"), "alike")
+    tried = alike.where("key = one")
+    if tried.isEmpty():
+        return None
+    gains = _gains(tried, _split(_with_sets(sets, tried), similarity / MORE))
+    return stored(alike.join(gains, F.col("one") == F.col("of"), "left_anti").drop("one"), "whole")
+
+
 def _leaves(members: DataFrame, similarity: float) -> DataFrame:
     """The buckets in which members of large buckets are compared: rows (rep, key, in_leaf).
 
@@ -225,30 +266,18 @@ def _leaves(members: DataFrame, similarity: float) -> DataFrame:
     a time, so that hardly any similar pair is parted, for as long as that leaves behind ``GAIN`` of a bucket's pairs. Copies
     that differ little share their tokens and stay together; they are compared in blocks.
     """
-    def split(found: DataFrame, share: float) -> DataFrame:
-        return stored(found.select("rep", "large", "set").mapInArrow(_next_paths(similarity / share), "rep long, key long, parent long"),
-                      "paths")
-
-    def with_sets(paths: DataFrame) -> DataFrame:
-        return _only(members.select("rep", "set"), paths).join(paths.groupBy("rep").agg(F.collect_list("key").alias("large")), "rep")
-
     def sizes(paths: DataFrame) -> DataFrame:
         return paths.groupBy(F.col("key").alias("at")).agg(F.count(F.lit(1)).alias("in_leaf"))
 
-    paths = split(members, 1)
+    paths = _split(members, similarity)
     leaves = paths.join(sizes(paths).where("in_leaf > 1"), F.col("key") == F.col("at")).select("rep", "key", "in_leaf")
     leaves = stored(leaves, "leaves")
     done, open_ = leaves.where(F.col("in_leaf") <= BLOCK), leaves.where(F.col("in_leaf") > BLOCK)
     for _ in range(2, STEPS):
         if open_.isEmpty():
             break
-        paths = split(with_sets(open_), MORE)
-        before = open_.select(F.col("key").alias("of"), "in_leaf").distinct()
-        after = (paths.groupBy("parent", "key").agg(F.count(F.lit(1)).cast("double").alias("n"))
-                 .groupBy("parent").agg(F.sum(F.col("n") * F.col("n")).alias("pairs")))
-        gains = (before.join(after, F.col("of") == F.col("parent"))
-                 .where(F.col("pairs") <= (1 - GAIN) * F.col("in_leaf").cast("double") * F.col("in_leaf")).select("of"))
-        gains = stored(gains, "gains")
+        paths = _split(_with_sets(members, open_), similarity / MORE)
+        gains = _gains(open_, paths)
         whole = open_.join(gains, F.col("key") == F.col("of"), "left_anti")
         parted = paths.join(gains, F.col("parent") == F.col("of"), "left_semi")
         split_on = parted.join(sizes(parted).where("in_leaf > 1"), F.col("key") == F.col("at")).select("rep", "key", "in_leaf")
@@ -365,8 +394,16 @@ def near_classes(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     linked = stored(hits.join(side("a"), "a").join(side("b"), "b").select("a", "b", "copies_a", "copies_b", "set_a", "set_b")
                     .mapInArrow(_pair_links(similarity), "a long, b long, copies_a long, copies_b long"), "similar")
 
+    large = buckets.where(~is_small).select("rep", "key", F.col("members").alias("in_leaf"))
+    kept = _whole(sets, large, similarity)
+    if kept is not None:
+        split_on = (large.join(kept.select(F.col("key").alias("of")).distinct(), F.col("key") == F.col("of"), "left_anti")
+                    .groupBy("rep").agg(F.collect_list("key").alias("large")))
+        crowded = crowded.drop("large").join(split_on, "rep", "left").withColumn(
+            "large", F.coalesce("large", F.array().cast("array<long>")))
     members = stored(crowded.join(sets.drop("paired"), "rep"), "members")
-    leaves = _united(_leaves(members, similarity))
+    leaves = _leaves(members, similarity)
+    leaves = _united(leaves if kept is None else leaves.unionByName(kept))
     whole = _only(members, leaves).join(leaves.groupBy("rep").agg(F.collect_list("key").alias("leaves")), "rep").select(
         F.col("rep").alias("of"), "n", "set", "copies", "small", "leaves")
     about = (leaves.join(members.select(F.col("rep").alias("of"), F.octet_length("set").alias("bytes")), F.col("rep") == F.col("of"))

@@ -104,6 +104,26 @@ def test_united_leaves_keep_who_meets_whom(spark):
     assert near_join._united(df.where("false")).count() == 0
 
 
+def test_one_of_the_buckets_of_near_copies_is_split(spark, monkeypatch):
+    """Paths grow with the copies, by a few rows each; before, each of their buckets was split."""
+    monkeypatch.setattr(near_join, "BLOCK", 20)
+    made = []
+
+    def counting(df, name):
+        made.append(out := stored(df, name))
+        return out if name != "paths" else made.append(("paths", out.count())) or out
+    monkeypatch.setattr(near_join, "stored", counting)
+    for copies in (100, 200):
+        made.clear()
+        rng = np.random.default_rng(copies)
+        crowd = [f"w{int(x)}" for x in rng.integers(0, 5000, 200)]
+        rows = [(k, edited(rng, crowd, int(rng.integers(0, 4)))) for k in range(copies)]
+        rows += [(1000 + k, " ".join(f"v{int(x)}" for x in rng.integers(0, 5000, 40))) for k in range(50)]
+        got = near_join.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sorted((r.doc_id, r.class_id, r.n_links) for r in got) == sorted(plain_classes(rows))
+        assert sum(x[1] for x in made if isinstance(x, tuple) and x[0] == "paths") <= 40 * copies
+
+
 def test_sets_fetched_by_join_when_many(spark, monkeypatch):
     monkeypatch.setattr(near_join, "SENT", 0)
     rows = near_rows(3)
