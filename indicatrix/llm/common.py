@@ -48,6 +48,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_in_buckets(df: DataFrame, name: str, by: str, n: int, apart: str) -> DataFrame:
+    """``df`` written once as a table in ``n`` buckets of ``by``, which is grouped and joined by it without being sent.
+
+    Rows are kept apart by ``apart``: who asks for one value of it does not read the others.
+    """
+    path = shared_folder(df.sparkSession, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.option("path", path).partitionBy(apart).bucketBy(n, by).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def crc_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the identifier as text modulo ``modulus``; a null identifier counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -1,15 +1,17 @@
 """Katz backoff language model: n-grams counted over all training texts, evaluated recursively on every text.
 
-Texts become blocks of about a million tokens, each with its distinct words. Every block sends its words (hash and count in
-training texts) to the partition of the word table that the hash names; the table adds them up and answers with each word's
-number and count, in the order it was asked.
+Texts become blocks of about a million tokens, each with its distinct words. Blocks are stored in buckets, so that answers go
+to them and they are not sent themselves. Every block sends its words (hash and count in training texts) to the partition of
+the word table that the hash names; the table adds them up and answers with each word's number and count, in the order it was
+asked, and whether no other block has the word.
 
 Each order from two on is then one exchange of packed arrays. A block sends its distinct n-grams, each once with its count in
 the block's training texts, to the partition of that order's count table that the context (all words but the last) names. An
 n-gram thus arrives at most once per block, however often it occurs. A context with more than a partition's share of all
 tokens is spread over several partitions by the last word; what belongs together of it is a few sums per partition. The
-partition adds the counts up and answers, in the order asked, with each n-gram's count and, per context, what its backoff
-weight needs; answers are stored, and the counts of counts, which give the Good-Turing discounts, are added up.
+partition adds the counts up and answers, in the order asked, with each n-gram's count, whether no other block has it and, per
+context, what its backoff weight needs; answers are stored, and the counts of counts, which give the Good-Turing discounts,
+are added up. What follows a context that no other block has is counted in its block; only its counts of counts are sent.
 
 An n-gram that was seen has its discounted relative frequency; any other has the context's backoff weight times the
 probability that the next lower order gives, down to single words, where unknown words are one more word that holds the mass
@@ -30,10 +32,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import parts_for, stored
+from .common import parts_for, stored, stored_in_buckets
 
 BLOCK, PART = 1_000_000, 1_500_000
 WORD_BYTES = 6  # of text to a word and its space, about
+BUCKETS = 10_000  # of blocks, at most
 CUTOFF = 5  # counts above it are not discounted
 #: The first word of a text follows this; it is no word and is never predicted. Unknown words, 0 too, are in no context asked for.
 BEGIN = 0
@@ -107,7 +110,7 @@ def _blocks(n_parts: int, size: int):
         out = [(block, 0, -1, len(flat), docs, _squeeze(rank[flat]), _squeeze(np.array(lengths, np.uint32)),
                 _squeeze(np.array(held, np.uint8)), _squeeze(place[often]))]
         hashes, counts = hashes[order], counts[order]
-        out += [(block, 0, p, int(e - s), None, _squeeze(hashes[s:e]), _squeeze(counts[s:e]), None, None)
+        out += [(block, 0, p, int(e - s), None, _squeeze(np.diff(hashes[s:e], prepend=np.uint64(0))), _squeeze(counts[s:e]), None, None)
                 for p, (s, e) in enumerate(itertools.pairwise(ends.tolist())) if e > s]
         return out
 
@@ -139,10 +142,10 @@ def _word_table(n_parts: int, cutoff: int):
     def run(asked: pa.Table) -> pa.Table:
         rows = asked.select(["block", "part", "a", "b"]).to_pylist()
         part = rows[0]["part"]
-        hashes = [_expand(r["a"], np.uint64) for r in rows]
+        hashes = [np.cumsum(_expand(r["a"], np.uint64)) for r in rows]
         words, place = np.unique(np.concatenate(hashes), return_inverse=True)
         counts = np.bincount(place, np.concatenate([_expand(r["b"], np.uint32) for r in rows]), len(words)).astype(np.int64)
-        known = counts > 0
+        known, alone = counts > 0, np.bincount(place, minlength=len(words)) == 1
         rank = np.empty(len(words), np.int64)
         rank[np.argsort(-counts, kind="stable")] = np.arange(len(words))  # small numbers for frequent words: they pack better
         numbers = np.where(known, rank * n_parts + part + 1, 0)
@@ -150,7 +153,7 @@ def _word_table(n_parts: int, cutoff: int):
         for r, h in zip(rows, hashes, strict=True):
             own = place[at:at + len(h)]
             at += len(h)
-            out.append((r["block"], 1, part, len(h), None, _squeeze(numbers[own]), _squeeze(counts[own]), None, None))
+            out.append((r["block"], 1, part, len(h), None, _squeeze(numbers[own]), _squeeze(2 * counts[own] + alone[own]), None, None))
         totals = np.r_[known.sum(), counts.sum(), np.bincount(np.minimum(counts[known], cutoff + 2), minlength=cutoff + 3)[1:cutoff + 2]]
         out.append((-1, 1, part, 0, totals.tolist(), None, None, None, None))
         return pa.Table.from_batches([_batch(out)])
@@ -210,20 +213,24 @@ def _bits(low: np.ndarray) -> np.ndarray:
 class _Block:
     """A block's tokens. Of each: the n-gram of the order reached that ends there, its count in training, its log10 probability."""
 
-    def __init__(self, rows: pa.Table, words: Words, n_parts: int, n_trained: int):
+    def __init__(self, texts: pa.Table, answers: pa.Table, words: Words, n_parts: int, n_trained: int):
         self.answers = defaultdict(list)
-        for r in sorted(rows.to_pylist(), key=lambda r: r["part"]):
+        for r in sorted(answers.to_pylist(), key=lambda r: r["part"]):
             self.answers[r["kind"]].append(r)
-        (own,) = self.answers[0]
+        (own,) = texts.to_pylist()
         numbers = np.concatenate([_expand(r["a"], np.int64) for r in self.answers[1]])
         counts = np.concatenate([_expand(r["b"], np.int64) for r in self.answers[1]])
         tokens, place = _expand(own["a"], np.uint32).astype(np.int64), _expand(own["d"], np.uint32)
-        numbers, counts = numbers[place], counts[place]
+        by = np.argsort(numbers, kind="stable")  # so numbers are sent in order, which packs better
+        to = np.empty(len(by), np.int64)
+        to[by] = np.arange(len(by))
+        numbers, counts, tokens = numbers[by], counts[by], to[place][tokens]
+        counts, alone = counts >> 1, (counts & 1).astype(bool)
         self.block, self.docs, self.lengths = own["block"], own["docs"], _expand(own["b"], np.uint32).astype(np.int64)
         self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
         self.at = np.arange(len(tokens)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)  # in the text
         self.trained = ~_expand(own["c"], np.uint8).astype(bool)[self.doc]
-        self.number, self.count = numbers[tokens], counts[tokens]
+        self.number, self.count, self.alone = numbers[tokens], counts[tokens], alone[tokens]
         self.known = self.sums(self.count > 0).astype(np.int64)
         self.base = self.sums(words.base(counts)[tokens])
         self.log = np.log10(words.probability(self.count))
@@ -236,20 +243,24 @@ class _Block:
         return np.bincount(self.doc, values, len(self.lengths))
 
     def distinct(self, order: int) -> None:
-        """Finds the distinct n-grams after contexts that training had, by part and, within one, by context (a run)."""
-        before, count = np.r_[0, self.gram[:-1]], np.r_[0, self.count[:-1]]
+        """Finds the distinct n-grams after contexts that training had, by part and, within one, by context (a run).
+
+        Those whose context no other block has come last, in a part that is not sent: from ``self.own`` on.
+        """
+        before, count, alone = (np.r_[x[:1], x[:-1]] for x in (self.gram, self.count, self.alone))
         start = self.at == 0
-        before[start], count[start] = self.size - 1, self.n_trained if order == 2 else 0
+        before[start], count[start], alone[start] = self.size - 1, self.n_trained if order == 2 else 0, False
         self.asked = np.flatnonzero(count > 0)
         grams, one, self.inverse = np.unique(before[self.asked] * self.size + self.word[self.asked], return_index=True,
                                              return_inverse=True)
         one = self.asked[one]
-        over = _spread(count[one], self.n_parts, self.n_tokens)
+        over = np.where(alone[one], 1, _spread(count[one], self.n_parts, self.n_tokens))
         contexts = np.array([np.where(self.at[one] >= k, self.number[one - k], BEGIN) for k in range(order - 1, 0, -1)])
         hashes = _mix(self.number[one]) % over.astype(np.uint64)  # the last word's share of a context that is spread
         for c in contexts.astype(np.uint64):
             hashes = _mix(hashes * np.uint64(0x9E3779B97F4A7C15) + c)
-        part = (hashes % np.uint64(self.n_parts)).astype(np.uint16 if self.n_parts < 1 << 16 else np.int64)
+        part = np.where(alone[one], np.uint64(self.n_parts), hashes % np.uint64(self.n_parts)).astype(
+            np.uint16 if self.n_parts < (1 << 16) - 1 else np.int64)
         self.sort = np.argsort(part, kind="stable")
         self.part, self.one, context = part[self.sort], one[self.sort], (grams // self.size)[self.sort]
         new = np.ones(len(one), bool)
@@ -257,15 +268,36 @@ class _Block:
         self.runs, self.run = np.flatnonzero(new), np.cumsum(new) - 1
         self.over, self.contexts = over[self.sort][self.runs], contexts[:, self.sort[self.runs]]
         self.context_count = count[self.one[self.runs]]
+        self.own = int(np.searchsorted(self.part, self.n_parts))
+        self.own_runs = int(np.searchsorted(self.runs, self.own))
+        self.trained_count = np.bincount(self.inverse, self.trained[self.asked], len(self.one)).astype(np.int64)[self.sort]
+
+    def seen(self, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each context that no other block has: how many of its n-grams count 1, 2, ...; its seen words' lower-order mass.
+
+        ``ratios`` are the discounts of the order below.
+        """
+        counts, run = self.trained_count[self.own:], self.run[self.own:] - self.own_runs
+        n, lower = len(self.runs) - self.own_runs, self.count[self.one[self.own:]]
+        total = self.total[self.one[self.runs[self.own_runs:]]]
+        own = np.bincount(run, np.where(counts > 0, _discounted(lower, ratios), 0) / total[run], n)
+        return np.stack([np.bincount(run, counts == r, n) for r in range(1, CUTOFF + 1)], 1).astype(np.int64), own
 
     def asks(self, order: int) -> list[tuple]:
-        """A row per part: its contexts, the n-grams of each, their last words; counts in the block, of the lower order, its totals."""
+        """A row per part: its contexts, the n-grams of each, their last words; counts in the block, of the lower order, its totals.
+
+        One more row (n: 0) has the counts of counts of what is not sent.
+        """
         self.distinct(order)
-        counts = np.bincount(self.inverse, self.trained[self.asked], len(self.one)).astype(np.int64)[self.sort]
+        counts = self.trained_count
         lower, words = np.where(counts > 0, self.count[self.one], 0), self.number[self.one]
         totals, sizes = self.total[self.one[self.runs]].astype(np.int64), np.diff(np.r_[self.runs, len(self.one)])
-        parts = np.flatnonzero(np.r_[True, self.part[1:] != self.part[:-1]]) if len(self.one) else []
-        ends, out = np.r_[parts, len(self.one)].astype(np.int64), []
+        words = _differences(words, self.runs)
+        parts = np.flatnonzero(np.r_[True, self.part[1:self.own] != self.part[:self.own - 1]]) if self.own else []
+        ends, out = np.r_[parts, self.own].astype(np.int64), []
+        if self.own < len(self.one):
+            out.append((self.block, order, self.block % self.n_parts, 0, _counts_of_counts(counts[self.own:]).tolist(),
+                        None, None, None, None))
         for s, e in itertools.pairwise(ends.tolist()):
             u, v = np.searchsorted(self.runs, (s, e)).tolist()
             contexts = self.contexts[:, u:v].copy()
@@ -275,17 +307,25 @@ class _Block:
                         _squeeze(np.r_[counts[s:e], lower[s:e], totals[u:v]])))
         return out
 
-    def climb(self, order: int, table: Order) -> None:
-        """One order further, with the answers of its count table."""
+    def climb(self, order: int, table: Order, ratios: np.ndarray) -> None:
+        """One order further, with the answers of its count table; ``ratios`` are the discounts of the order below."""
         self.distinct(order)
         size, rows = len(self.log), self.answers[order]
         gram, of_gram, total = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)
-        if rows:
-            counts, bits = (np.concatenate([_expand(r[k], t) for r in rows]) for k, t in (("a", np.int64), ("b", np.uint8)))
+        alone = np.zeros(size, bool)
+        if len(self.one):
+            answered = [np.concatenate([np.empty(0, t), *(_expand(r[k], t) for r in rows)])
+                        for k, t in (("a", np.int64), ("b", np.uint8), ("c", np.int64), ("d", np.float64))]
+            own_low, own_mass = self.seen(ratios)
+            counts = np.r_[answered[0] >> 1, self.trained_count[self.own:]]
+            only = np.r_[(answered[0] & 1).astype(bool), np.ones(len(self.one) - self.own, bool)]
+            bits = np.r_[answered[1], _bits(own_low)]
             needed = np.logical_or.reduceat(counts == 0, self.runs)
+            asked = needed.copy()
+            asked[self.own_runs:] = False
             low, own = np.zeros((len(needed), CUTOFF)), np.zeros(len(needed))
-            low[needed] = np.concatenate([_expand(r["c"], np.int64) for r in rows]).reshape(-1, CUTOFF)
-            own[needed] = np.concatenate([_expand(r["d"], np.float64) for r in rows])
+            low[asked], own[asked] = answered[2].reshape(-1, CUTOFF), answered[3]
+            low[self.own_runs:], own[self.own_runs:] = own_low, np.where(needed[self.own_runs:], own_mass, 0)
             for k in np.flatnonzero(self.over > 1).tolist():
                 sums = table.spread[tuple(self.contexts[:, k].tolist())]
                 low[k], own[k], bits[k] = sums[:-1], sums[-1], _bits(sums[:-1])
@@ -297,17 +337,43 @@ class _Block:
             back[self.sort] = np.arange(len(counts))
             back = back[self.inverse]
             gram[self.asked], of_gram[self.asked], total[self.asked] = self.inverse, counts[back], totals[self.run][back]
+            alone[self.asked] = only[back]
             self.log[self.asked] = np.log10(kept)[back] + np.where(counts[back] > 0, 0, self.log[self.asked])
-        self.gram, self.count, self.total = gram, of_gram, total
+        self.gram, self.count, self.total, self.alone = gram, of_gram, total, alone
+
+
+def _differences(values: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """Values by what they differ from the one before, the first of each run as it is."""
+    out = np.diff(values, prepend=0)
+    out[runs] = values[runs]
+    return out
+
 
+def _from_differences(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    sums, runs = np.cumsum(values), np.cumsum(sizes) - sizes
+    return sums - np.repeat(sums[runs] - values[runs], sizes)
 
-def _count_table(order: int, ratios: np.ndarray):
+
+def _counts_of_counts(counts: np.ndarray) -> np.ndarray:
+    return np.bincount(np.minimum(counts, CUTOFF + 2), minlength=CUTOFF + 3)[1:CUTOFF + 2]
+
+
+def _count_table(order: int, ratios: np.ndarray, last: bool):
     """One part of an order's count table: answers to its blocks in the order asked, and a row of totals (block -1).
 
-    ``ratios`` are the discounts of the order below, which the mass of a context's seen words there needs.
+    ``ratios`` are the discounts of the order below, which the mass of a context's seen words there needs. After the ``last``
+    order it does not matter which n-grams one block alone has.
     """
     def run(asked: pa.Table) -> pa.Table:
-        rows = asked.to_pylist()
+        n_r, rows = np.zeros(CUTOFF + 1, np.int64), []
+        for r in asked.to_pylist():
+            if r["n"]:
+                rows.append(r)
+            else:
+                n_r += r["docs"]
+        if not rows:
+            nothing = _squeeze(np.empty(0))
+            return pa.Table.from_batches([_batch([(-1, order, -1, 0, n_r.tolist(), nothing, nothing, nothing, None)])])
         contexts = [_expand(r["a"], np.int64).reshape(order - 1, -1) for r in rows]
         for c in contexts:
             c[0] = np.cumsum(c[0])
@@ -318,8 +384,9 @@ def _count_table(order: int, ratios: np.ndarray):
         context = np.empty(len(sort), np.int64)  # each run's, numbered
         context[sort] = np.cumsum(new) - 1
         n, contexts = int(new.sum()), contexts[:, sort[new]]
-        sizes = np.concatenate([_expand(r["b"], np.int64) for r in rows])
-        words = np.concatenate([_expand(r["c"], np.int64) for r in rows])
+        sizes = [_expand(r["b"], np.int64) for r in rows]
+        words = np.concatenate([_from_differences(_expand(r["c"], np.int64), own) for r, own in zip(rows, sizes, strict=True)])
+        sizes = np.concatenate(sizes)
         trained, lower, totals = (np.concatenate(x) for x in zip(*(
             np.split(_expand(r["d"], np.int64), [r["n"], 2 * r["n"]]) for r in rows), strict=True))
         sort = np.lexsort((words, of := np.repeat(context, sizes)))
@@ -328,6 +395,7 @@ def _count_table(order: int, ratios: np.ndarray):
         place[sort] = np.cumsum(new) - 1
         group = of[sort[new]]
         count = np.bincount(place, trained, len(group)).astype(np.int64)
+        alone = np.zeros(len(group), bool) if last else np.bincount(place, minlength=len(group)) == 1
         below, total = np.zeros(len(group), np.int64), np.ones(n)
         below[place[trained > 0]] = lower[trained > 0]
         total[context] = totals
@@ -335,35 +403,38 @@ def _count_table(order: int, ratios: np.ndarray):
         low = np.stack([np.bincount(group, count == r, n) for r in range(1, CUTOFF + 1)], 1).astype(np.int64)
         bits, out, shared, at, run = _bits(low), [], [], 0, 0
         for r, runs in zip(rows, n_runs, strict=True):
-            counts, here = count[place[at:at + r["n"]]], context[run:run + runs]
+            grams, here = place[at:at + r["n"]], context[run:run + runs]
+            counts = count[grams]
             first = np.cumsum(sizes[run:run + runs]) - sizes[run:run + runs]
             needed = here[np.logical_or.reduceat(counts == 0, first)]
             shared.append(here[np.array(r["docs"], np.int64)])
-            out.append((r["block"], order, r["part"], r["n"], None, _squeeze(counts), _squeeze(bits[here]),
+            out.append((r["block"], order, r["part"], r["n"], None, _squeeze(2 * counts + alone[grams]), _squeeze(bits[here]),
                         _squeeze(low[needed].ravel()), _squeeze(own[needed])))
             at, run = at + r["n"], run + runs
         shared = np.unique(np.concatenate(shared))
-        n_r = np.bincount(np.minimum(count, CUTOFF + 2), minlength=CUTOFF + 3)[1:CUTOFF + 2]
+        n_r += _counts_of_counts(count)
         out.append((-1, order, rows[0]["part"], 0, n_r.tolist(), _squeeze(contexts[:, shared].T.ravel()),
                     _squeeze(low[shared].ravel()), _squeeze(own[shared]), None))
         return pa.Table.from_batches([_batch(out)])
     return run
 
 
-def _asks(order: int, words: Words, orders: list[Order], n_parts: int, n_trained: int):
-    def run(rows: pa.Table) -> pa.Table:
-        block = _Block(rows, words, n_parts, n_trained)
-        for k, table in enumerate(orders, 2):
-            block.climb(k, table)
-        return pa.Table.from_batches([_batch(block.asks(order))])
+def _climbed(texts: pa.Table, answers: pa.Table, words: Words, orders: list[Order], n_parts: int, n_trained: int) -> _Block:
+    block = _Block(texts, answers, words, n_parts, n_trained)
+    for k, (below, table) in enumerate(itertools.pairwise([words, *orders]), 2):
+        block.climb(k, table, below.ratios)
+    return block
+
+
+def _asks(order: int, *about):
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_batch(_climbed(texts, answers, *about).asks(order))])
     return run
 
 
-def _documents(words: Words, orders: list[Order], n_parts: int, n_trained: int):
-    def run(rows: pa.Table) -> pa.Table:
-        block = _Block(rows, words, n_parts, n_trained)
-        for k, table in enumerate(orders, 2):
-            block.climb(k, table)
+def _documents(words: Words, *about):
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        block = _climbed(texts, answers, words, *about)
         return pa.table({"n_tokens": block.lengths, "n_known": block.known,
                          "train_tokens": np.full(len(block.lengths), words.n_tokens), "base_score": block.base,
                          "score": block.sums(block.log), "doc_id": pa.array(block.docs, pa.int64())})
@@ -386,21 +457,25 @@ def katz_scores(docs: DataFrame, held_out: Column, *, order: int = 2, text: str
                        F.col(text).alias("text"))
     n_bytes, n_trained = rows.agg(F.sum(F.octet_length("text")), F.count_if(~F.col("held_out"))).first()
     n_parts = parts_for((n_bytes or 0) / WORD_BYTES, part)
-    blocks = stored(rows.mapInArrow(_blocks(n_parts, block), _SCHEMA), "blocks")
-    answers = stored(blocks.where("part >= 0").groupBy("part").applyInArrow(_word_table(n_parts, CUTOFF), _SCHEMA), "words")
+    blocks = rows.mapInArrow(_blocks(n_parts, block), _SCHEMA).withColumn("text", F.col("part") < 0)
+    blocks = stored_in_buckets(blocks, "blocks", "block", min(n_parts, BUCKETS), "text")
+    answers = stored(blocks.where("not text").drop("text").groupBy("part").applyInArrow(_word_table(n_parts, CUTOFF), _SCHEMA), "words")
     totals = np.array([r.docs for r in answers.where("block = -1").select("docs").collect()] or [[0] * (CUTOFF + 3)], float).sum(0)
     words = Words(int(totals[0]), int(totals[1]), totals[2:]).mass(totals[2:])
-    texts = blocks.where("part = -1")
+    texts = blocks.where("text").drop("text")
     n_all = texts.agg(F.sum("n")).first()[0] or 0
 
     n_parts = parts_for(n_all, part)
-    known, orders = texts.unionAll(answers.where("block >= 0")), []
+    known, orders = answers.where("block >= 0"), []
+
+    def in_blocks(what, schema: str) -> DataFrame:
+        return texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(what, schema)
+
     for k in range(2, order + 1):
-        asked = known.groupBy("block").applyInArrow(_asks(k, words, orders, n_parts, n_trained), _SCHEMA)
+        asked = in_blocks(_asks(k, words, orders, n_parts, n_trained), _SCHEMA)
         below = orders[-1].ratios if orders else words.ratios
-        answers = stored(asked.groupBy("part").applyInArrow(_count_table(k, below), _SCHEMA), f"counts{k}")
+        answers = stored(asked.groupBy("part").applyInArrow(_count_table(k, below, k == order), _SCHEMA), f"counts{k}")
         orders = [*orders, Order(answers.where("block = -1").select("docs", "a", "b", "c").collect())]
         known = known.unionAll(answers.where("block >= 0"))
-    return known.groupBy("block").applyInArrow(
-        _documents(words, orders, n_parts, n_trained), "n_tokens long, n_known long, train_tokens long, base_score double, "
-        "score double, doc_id long")
+    return in_blocks(_documents(words, orders, n_parts, n_trained), "n_tokens long, n_known long, train_tokens long, "
+                     "base_score double, score double, doc_id long")

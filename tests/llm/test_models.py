@@ -296,6 +296,16 @@ def test_katz_word_table_grows_with_the_input(spark):
     assert sum(p.n for p in parts) == 40 * 501 and max(p.n for p in parts) <= 1500  # of 4 shuffle partitions, over 5,000 each
 
 
+def test_katz_sends_nothing_after_contexts_of_one_block(spark):
+    rows = [(k, " ".join(f"w{k * 20 + i} w{k * 20 + i // 2}" for i in range(20)) + " all of them", k % 4 == 3) for k in range(6)]
+    df = spark.createDataFrame([*rows, (50, "w1 w2 w3 all of", True)], "doc_id long, text string, out boolean").coalesce(1)
+    got = katz.katz_scores(df, F.col("out"), order=3, block=40, part=1000).collect()
+    want = sorted(plain_katz_of([*rows, (50, "w1 w2 w3 all of", True)], 3))
+    for mine, row in zip(sorted((r.doc_id, r.n_tokens, r.score) for r in got), want, strict=True):
+        assert mine[:2] == row[:2] and mine[2] == pytest.approx(row[2], rel=1e-9)
+    assert max(sum(p.n for p in sent(spark, order)) for order in (2, 3)) < 80  # of 264 tokens in blocks of 40
+
+
 def test_katz_without_training_or_rows(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     (row,) = katz.katz_scores(df, F.lit(True)).collect()
