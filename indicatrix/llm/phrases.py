@@ -15,6 +15,7 @@ told by a bitmap of ``BITMAP`` bits at most, whatever the input: bits that diffe
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,8 @@ from .common import LOWER, UPPER, numbered, stored
 LEAST, TOP, LONGEST, CONTAINED = 30, 2000, 4, 80
 #: Words of a block; bytes that are split into words at once; entries of a task's filter, and of a merged range, about.
 BLOCK, SLICE, ENTRIES = 1_000_000, 4_000_000, 3_000_000
+#: Words whose n-grams are made at once.
+MADE = 100_000
 #: The bitmap has 2 to this power bits at most.
 BITMAP = 27
 #: Shares over which candidates that hold one word are spread when its count is looked up.
@@ -197,11 +200,21 @@ def counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
         return keys[first], np.diff(np.r_[first, len(keys)])
     order = np.argsort(keys[:, 0], kind="stable") if keys.shape[1] == 1 else np.lexsort((keys[:, 1], keys[:, 0]))
     keys = keys[order]
+    counts = None if counts is None else counts[order]
+    del order
     first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)])
-    totals = np.diff(np.r_[first, len(keys)]) if counts is None else np.add.reduceat(counts[order], first)
+    totals = np.diff(np.r_[first, len(keys)]) if counts is None else np.add.reduceat(counts, first)
+    del counts
     return keys[first], totals
 
 
+def _joined(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """``counted`` of all in ``held``, which is emptied: its numbers are not kept beside their copy."""
+    both = [np.concatenate([c for _, c in held]), np.concatenate([k for k, _ in held])]
+    held.clear()
+    return counted(both.pop(), both.pop())
+
+
 def encode(keys: np.ndarray, counts: np.ndarray, layout: Layout, part: int, part_bits: int) -> bytes:
     """The counting quotient filter of sorted distinct numbers whose upper ``part_bits`` are ``part``.
 
@@ -273,23 +286,22 @@ def _count(layout: Layout, part_bits: int, shorter: Layout | None, bitmap, bitma
             yield int(parts[a]), encode(keys[a:b], counts[a:b], layout, int(parts[a]), part_bits)
 
     def rows(found):
-        batch = list(found)
-        for at in range(0, len(batch), 64):
-            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in batch[at:at + 64]], pa.int32()),
-                                              pa.array([d for _, d in batch[at:at + 64]], pa.binary())], ["part", "filter"])
+        while batch := list(itertools.islice(found, 64)):
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in batch], pa.int32()),
+                                              pa.array([d for _, d in batch], pa.binary())], ["part", "filter"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for batch in batches:
             for words in batch.column("words"):
-                held.append(counted(grams(np.frombuffer(words.as_buffer(), "<u4"))))
+                ids = np.frombuffer(words.as_buffer(), "<u4")
+                held.append(counted(np.concatenate([grams(ids[at:at + MADE + layout.n - 1]) for at in range(0, len(ids), MADE)])))
                 if sum(len(k) for k, _ in held) > entries:
-                    held = [counted(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))]
+                    held.append(_joined(held))
                     if len(held[0][0]) > entries // 2:
-                        yield from rows(sent(*held[0]))
-                        held = []
+                        yield from rows(sent(*held.pop()))
         if held:
-            yield from rows(sent(*counted(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))))
+            yield from rows(sent(*_joined(held)))
     return run
 
 
@@ -297,12 +309,8 @@ def _merge(layout: Layout, part_bits: int, least: int, bitmap_bits: int, longest
     """Filters, those of a part side by side, to rows of frequent n-grams and, per part, its slice of the bitmap."""
     names = ["part", "bits", *[f"w{k + 1}" for k in range(longest)], "a"]
 
-    def merged(part, held):
-        keys, counts = counted(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
-        return [(keys, counts)]
-
     def finish(part, held):
-        keys, counts = merged(part, held)[0]
+        keys, counts = _joined(held)
         keys, counts = keys[counts >= least], counts[counts >= least]
         bits = np.zeros(1 << (bitmap_bits - part_bits), np.uint8)
         bits[(layout.top(keys, bitmap_bits) & _mask(bitmap_bits - part_bits)).astype(np.int64)] = 1
@@ -326,7 +334,7 @@ def _merge(layout: Layout, part_bits: int, least: int, bitmap_bits: int, longest
                 held.append(decode(data.as_buffer(), layout, part, part_bits))
                 pending += len(held[-1][0])
                 if pending > max(entries // 2, len(held[0][0])):
-                    held, pending = merged(part, held), 0
+                    held, pending = [_joined(held)], 0
         if held:
             yield from finish(part, held)
     return run, f"part int, bits binary, {', '.join(f'w{k + 1} long' for k in range(longest))}, a long"

@@ -99,3 +99,28 @@ def test_many_blocks_and_ranges(spark, monkeypatch):
 def test_empty_table_has_no_phrases(spark):
     assert collocations(spark.createDataFrame([], "doc_id long, text string, lang string")).collect() == []
     assert collocations(spark.createDataFrame([("en", None), (None, "a")], "lang string, text string")).collect() == []
+
+
+@pytest.mark.parametrize("n, bits, most", [(2, 20, 110), (3, 24, 160)])
+def test_memory_of_a_task_that_counts(n, bits, most):
+    """A task holds its numbers and one sorted copy, and makes n-grams of a part of its words at once (memory in MB)."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from indicatrix.llm import phrases
+
+    rng = np.random.default_rng(n)
+    ids = [rng.integers(0, 1 << bits, 500_000, dtype=np.uint32) for _ in range(6)]
+    batches = [pa.record_batch({"words": pa.array([x.tobytes()], pa.binary())}) for x in ids]
+    layout = Layout(n, bits)
+    tracemalloc.start()
+    found = {}
+    for batch in phrases._count(layout, 4, None, None, 0, 2_000_000)(iter(batches)):
+        for part, data in zip(batch["part"].to_pylist(), batch["filter"].to_pylist(), strict=True):
+            found[part] = found.get(part, 0) + int(decode(data, layout, part, 4)[1].sum())
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    inside = [np.all([x[k:len(x) - n + 1 + k] for k in range(n)], axis=0) for x in ids]
+    assert sum(found.values()) == sum(int(x.sum()) for x in inside)
+    assert peak < most, peak
