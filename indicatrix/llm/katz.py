@@ -48,18 +48,47 @@ _TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()),
 
 
 def _squeeze(values: np.ndarray) -> bytes:
-    """A compressed array: its bytes by place, so that high bytes, mostly zeros, stand together."""
+    """A compressed array: its bytes by place, so that like ones stand together, without upper ones that are 0 in all values."""
     values = np.ascontiguousarray(values)
-    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
-    return len(values).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(planes.tobytes(), asbytes=True)
+    width = values.itemsize
+    if values.dtype.kind in "iu" and len(values) and values.min() >= 0:
+        width = max(1, -(-int(values.max()).bit_length() // 8))
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize)[:, :width].T)
+    return len(values).to_bytes(7, "little") + bytes([width]) + pa.Codec("zstd", 1).compress(planes, asbytes=True)
 
 
 def _expand(data: bytes, dtype) -> np.ndarray:
-    n, size = int.from_bytes(data[:8], "little"), np.dtype(dtype).itemsize
-    if not n:
-        return np.empty(0, dtype)
-    planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], n * size), np.uint8).reshape(size, n)
-    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+    n, width = int.from_bytes(data[:7], "little"), data[7]
+    out = np.zeros(n, dtype)
+    if n:
+        planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], n * width), np.uint8).reshape(width, n)
+        out.view(np.uint8).reshape(n, -1)[:, :width] = planes.T
+    return out
+
+
+def _order(*keys: np.ndarray) -> np.ndarray:
+    """Places by the first of ``keys`` (not negative), then the next; stable."""
+    bits = [int(k.max(initial=0)).bit_length() for k in keys]
+    if sum(bits) > 63:
+        return np.lexsort(keys[::-1])
+    one = keys[0].astype(np.int64)
+    for k, width in zip(keys[1:], bits[1:], strict=True):
+        one = (one << width) | k
+    return np.argsort(one, kind="stable")
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What np.unique gives with the first places and the inverse; keys and places are sorted as one number where that fits."""
+    bits = len(keys).bit_length()
+    if int(keys.max(initial=0)).bit_length() + bits > 63:
+        return np.unique(keys, return_index=True, return_inverse=True)
+    both = np.sort((keys << bits) | np.arange(len(keys)))
+    place, both = both & ((1 << bits) - 1), both >> bits
+    new = np.ones(len(keys), bool)
+    new[1:] = both[1:] != both[:-1]
+    inverse = np.empty(len(keys), np.int64)
+    inverse[place] = np.cumsum(new) - 1
+    return both[new], place[new], inverse
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -235,7 +264,7 @@ class _Block:
         self.base = self.sums(words.base(counts)[tokens])
         self.log = np.log10(words.probability(self.count))
         self.total = np.full(len(tokens), words.total)  # what the discounted count was divided by
-        self.word = self.gram = np.where(self.count > 0, tokens, len(numbers))
+        self.word = self.gram = np.where(self.count > 0, tokens, 0)  # unknown words, whose number is 0, come first
         self.size = len(numbers) + 2
         self.n_parts, self.n_tokens, self.n_trained = n_parts, words.n_tokens, n_trained
 
@@ -249,18 +278,22 @@ class _Block:
         """
         before, count, alone = (np.r_[x[:1], x[:-1]] for x in (self.gram, self.count, self.alone))
         start = self.at == 0
-        before[start], count[start], alone[start] = self.size - 1, self.n_trained if order == 2 else 0, False
+        before, count[start], alone[start] = before + 1, self.n_trained if order == 2 else 0, False
+        before[start] = 0
         self.asked = np.flatnonzero(count > 0)
-        grams, one, self.inverse = np.unique(before[self.asked] * self.size + self.word[self.asked], return_index=True,
-                                             return_inverse=True)
+        grams, one, self.inverse = _distinct(before[self.asked] * self.size + self.word[self.asked])
         one = self.asked[one]
-        over = np.where(alone[one], 1, _spread(count[one], self.n_parts, self.n_tokens))
-        contexts = np.array([np.where(self.at[one] >= k, self.number[one - k], BEGIN) for k in range(order - 1, 0, -1)])
-        hashes = _mix(self.number[one]) % over.astype(np.uint64)  # the last word's share of a context that is spread
-        for c in contexts.astype(np.uint64):
-            hashes = _mix(hashes * np.uint64(0x9E3779B97F4A7C15) + c)
-        part = np.where(alone[one], np.uint64(self.n_parts), hashes % np.uint64(self.n_parts)).astype(
-            np.uint16 if self.n_parts < (1 << 16) - 1 else np.int64)
+        shared = np.flatnonzero(~alone[one])
+        sent = one[shared]
+        spread = _spread(count[sent], self.n_parts, self.n_tokens)
+        hashes = _mix(self.number[sent]) % spread.astype(np.uint64)  # the last word's share of a context that is spread
+        words = [np.where(self.at[sent] >= k, self.number[sent - k], BEGIN) for k in range(order - 1, 0, -1)]
+        for c in words:
+            hashes = _mix(hashes * np.uint64(0x9E3779B97F4A7C15) + c.astype(np.uint64))
+        over, contexts = np.ones(len(one), np.int64), np.zeros((order - 1, len(one)), np.int64)
+        over[shared], contexts[:, shared] = spread, words
+        part = np.full(len(one), self.n_parts, np.uint16 if self.n_parts < (1 << 16) - 1 else np.int64)
+        part[shared] = hashes % np.uint64(self.n_parts)
         self.sort = np.argsort(part, kind="stable")
         self.part, self.one, context = part[self.sort], one[self.sort], (grams // self.size)[self.sort]
         new = np.ones(len(one), bool)
@@ -379,7 +412,7 @@ def _count_table(order: int, ratios: np.ndarray, last: bool):
             c[0] = np.cumsum(c[0])
         n_runs = [c.shape[1] for c in contexts]
         contexts = np.concatenate(contexts, 1)
-        sort = np.lexsort(contexts[::-1])
+        sort = _order(*contexts)
         new = np.r_[True, (contexts[:, sort[1:]] != contexts[:, sort[:-1]]).any(0)]
         context = np.empty(len(sort), np.int64)  # each run's, numbered
         context[sort] = np.cumsum(new) - 1
@@ -389,7 +422,7 @@ def _count_table(order: int, ratios: np.ndarray, last: bool):
         sizes = np.concatenate(sizes)
         trained, lower, totals = (np.concatenate(x) for x in zip(*(
             np.split(_expand(r["d"], np.int64), [r["n"], 2 * r["n"]]) for r in rows), strict=True))
-        sort = np.lexsort((words, of := np.repeat(context, sizes)))
+        sort = _order(of := np.repeat(context, sizes), words)
         new = np.r_[True, (of[sort[1:]] != of[sort[:-1]]) | (words[sort[1:]] != words[sort[:-1]])]
         place = np.empty(len(sort), np.int64)
         place[sort] = np.cumsum(new) - 1
